@@ -1,0 +1,5 @@
+"""Intentionally empty: the ledger domain served here has batch inputs only.
+
+No reference behaviour needs watermarks, stateful operators or continuous sinks, so
+no streaming operator is offered.
+"""
