@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .families import core_and_marts  # noqa: F401
+from .families import core_and_marts, features_and_eda  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 
