@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from .families import core_and_marts, features_and_eda  # noqa: F401
+from .families import (  # noqa: F401
+    core_and_marts,
+    dashboard_queries,
+    features_and_eda,
+    segments_and_clusters,
+)
 from .registry import ORACLES, QUERIES
 
 

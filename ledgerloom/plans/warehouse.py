@@ -72,7 +72,7 @@ class Warehouse:
             self._fingerprint = ledger_fingerprint(self.raw()).first()["sha256"]
         return self._fingerprint
 
-    def _stage(self, name: str, build) -> DataFrame:
+    def stage(self, name: str, build) -> DataFrame:
         path = f"{self.root}/{name}"
         if name not in self._written:
             build().write.mode("overwrite").parquet(path)
@@ -80,7 +80,7 @@ class Warehouse:
         return self.spark.read.parquet(path)
 
     def clean(self) -> DataFrame:
-        return self._stage("clean", lambda: cleaning.clean_ledger(self.raw()))
+        return self.stage("clean", lambda: cleaning.clean_ledger(self.raw()))
 
     # -- core and marts -----------------------------------------------------------------
 
@@ -89,14 +89,14 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         if name in MARTS:
-            return self._stage(name, lambda: self.build_mart(name))
+            return self.stage(name, lambda: self.build_mart(name))
         builder = {
             "customers": core.build_customers,
             "products": core.build_products,
             "invoices": core.build_invoices,
             "invoice_lines": core.build_lines,
         }[name]
-        return self._stage(name, lambda: builder(self.clean(), self.source_system, self.fingerprint()))
+        return self.stage(name, lambda: builder(self.clean(), self.source_system, self.fingerprint()))
 
     def build_mart(self, name: str) -> DataFrame:
         lines, invoices = self.table("invoice_lines"), self.table("invoices")
