@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schema import LEDGER_COLUMNS
+
 # Every character Unicode calls white space; Spark's plain trim removes blanks only.
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
@@ -81,3 +83,25 @@ def right_closed_label(value: Column, floor, bins) -> Column:
     for upper, name in bins:
         label = label.when(value <= upper, F.lit(name))
     return label.otherwise(F.lit(None).cast("string"))
+
+
+def attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row frame to every row, evaluated once as a scalar subquery."""
+    packed = row.select(F.struct(*[F.col(f"`{c}`") for c in row.columns])).scalar()
+    return df.withColumn("_attached", packed).select(
+        *[F.col(f"`{c}`") for c in df.columns], *[F.col(f"_attached.`{c}`").alias(c) for c in row.columns]
+    )
+
+
+def canonical_row(ledger: DataFrame) -> Column:
+    """A ledger row as one text, the same for numeric and textual input columns."""
+
+    def text(name: str) -> Column:
+        column = F.col(f"`{name}`")
+        if name in ("Quantity", "Price", "Customer ID"):
+            column = as_number(ledger, name).cast("decimal(38,6)")
+        elif name == "InvoiceDate":
+            column = F.date_format(as_timestamp(ledger, name), "yyyy-MM-dd HH:mm:ss")
+        return F.coalesce(column.cast("string"), F.lit("\\N"))
+
+    return F.concat_ws("|", *[text(c) for c in [*LEDGER_COLUMNS, "source_sheet"]])

@@ -2,8 +2,8 @@
 
 Equal values are first collapsed to one row with a count (map-side combined), then the value
 axis is cut into buckets whose bounds are literals taken from a mergeable sketch.  Ranks are a
-prefix sum over at most ``BUCKETS`` bucket totals plus a running sum inside one bucket, so no
-task ever sees more than one bucket of distinct values.  The sketch only balances the work:
+prefix sum over at most ``MAX_BUCKETS`` bucket totals plus a running sum inside one bucket, so
+no task ever sees more than one bucket of distinct values.  The sketch only balances the work:
 any bounds give the same exact ranks.
 """
 
@@ -12,14 +12,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+MAX_BUCKETS = 256
+ROWS_PER_BUCKET = 500_000
 
 
-def bucket_bounds(df: DataFrame, *columns: str) -> dict[str, list]:
-    """Ascending distinct cut points per column: one pass, at most BUCKETS values each."""
-    levels = [i / BUCKETS for i in range(1, BUCKETS)]
-    sketch = df.agg(*[F.percentile_approx(c, levels, 10 * BUCKETS).alias(c) for c in columns]).first()
-    return {c: sorted(set(sketch[c] or [])) for c in columns}
+def bucket_bounds(df: DataFrame, *columns: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> dict[str, list]:
+    """Ascending cut points per column from one pass; none while one bucket is small enough."""
+    levels = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
+    sketch = df.agg(
+        *[F.percentile_approx(c, levels, 10 * MAX_BUCKETS).alias(c) for c in columns],
+        *[F.count(c).alias(f"{c}|rows") for c in columns],
+    ).first()
+    bounds = {}
+    for c in columns:
+        wanted = min(MAX_BUCKETS, -(-sketch[f"{c}|rows"] // rows_per_bucket))
+        picked = [sketch[c][round(i * MAX_BUCKETS / wanted) - 1] for i in range(1, wanted)] if wanted > 1 else []
+        bounds[c] = sorted(set(picked))
+    return bounds
 
 
 def bucket_of(value: Column, bounds: list) -> Column:
@@ -40,7 +49,7 @@ def value_ranks(df: DataFrame, value: str, keys: list[str] = (), bounds: list |
     """One row per distinct value: ``n`` copies holding the 1-based ranks ``lo..hi`` of ``total``.
 
     Ranks are ascending within each key combination; null values are left out.  Without
-    ``bounds`` each key combination is one bucket, right for many small groups.
+    ``bounds`` each key combination is one bucket, right for small inputs and many small groups.
     """
     keys = list(keys)
     counted = (
@@ -57,7 +66,7 @@ def value_ranks(df: DataFrame, value: str, keys: list[str] = (), bounds: list |
         ).withColumn("lo", F.col("hi") - F.col("n") + 1)
 
     bucketed = counted.withColumn("_bucket", bucket_of(F.col(value), bounds))
-    # At most BUCKETS rows per key combination from here to the join.
+    # At most MAX_BUCKETS rows per key combination from here to the join.
     per_key = Window.partitionBy(*keys)
     offsets = (
         bucketed.groupBy(*keys, "_bucket")

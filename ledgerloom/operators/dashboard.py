@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import month_start, spine, week_ending_monday
-from ..functions.expressions import count_if, percent, ratio, right_closed_label, round_half_even
+from ..functions.expressions import attach_row, count_if, percent, ratio, right_closed_label, round_half_even
 from ..schema import (
     CRM_ACTIONS,
     CRM_DEFAULT,
@@ -272,9 +272,7 @@ def segment_summary(segmented: DataFrame) -> DataFrame:
     population = segmented.agg(
         F.count(F.lit(1)).alias("customers"), _total("monetary").alias("revenue")
     )
-    customers = population.select("customers").scalar()
-    revenue = population.select("revenue").scalar()
-    return (
+    per_segment = (
         segmented.groupBy(F.col("rfm_segment").alias("segment"))
         .agg(
             F.count("customer_id").alias("customer_count"),
@@ -283,8 +281,11 @@ def segment_summary(segmented: DataFrame) -> DataFrame:
             round_half_even(mean("recency_days"), 1).alias("avg_recency_days"),
             round_half_even(mean("frequency"), 1).alias("avg_frequency"),
         )
-        .withColumn("customer_share_pct", percent(F.col("customer_count"), customers))
-        .withColumn("revenue_share_pct", percent(F.col("total_revenue"), revenue))
+    )
+    return (
+        attach_row(per_segment, population)
+        .withColumn("customer_share_pct", percent(F.col("customer_count"), F.col("customers")))
+        .withColumn("revenue_share_pct", percent(F.col("total_revenue"), F.col("revenue")))
         .select(
             "segment", "customer_count", "customer_share_pct", "total_revenue", "revenue_share_pct",
             "avg_spend", "avg_recency_days", "avg_frequency",

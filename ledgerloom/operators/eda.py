@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import count_if, money, ratio
+from ..functions.expressions import attach_row, count_if, money, ratio
 from ..functions.ranks import exact_quantiles
 from ..schema import DEFAULT_SOURCE_SYSTEM
 from .marts import is_sale, namespace
@@ -26,7 +26,7 @@ def sales_distribution(mart_daily_sales: DataFrame) -> DataFrame:
     )
     levels = {"median_net_sales": 0.5, "p95_net_sales": 0.95}
     quantiles = exact_quantiles(mart_daily_sales, "net_sales", levels)
-    return edges.withColumns({name: quantiles.select(name).scalar() for name in levels})
+    return attach_row(edges, quantiles)
 
 
 def customer_transaction_behavior(snapshot: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def spending_distribution(snapshot: DataFrame) -> DataFrame:
     levels = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
     quantiles = exact_quantiles(snapshot, "monetary", levels)
     top = snapshot.agg(F.max("monetary").alias("max_monetary"))
-    return top.withColumns({name: quantiles.select(name).scalar() for name in levels})
+    return attach_row(top, quantiles)
 
 
 def product_popularity(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expressions import count_if
+from ..functions.expressions import attach_row, count_if
 from ..functions.ranks import bucket_bounds, value_ranks
 
 RFM_COLUMNS = ["recency_days", "frequency", "monetary"]
@@ -148,11 +148,12 @@ def scaled_features(frame: DataFrame) -> DataFrame:
         }
     )
     names = ["recency_scaled", "frequency_scaled", "monetary_scaled"]
-    centre = {n: transformed.agg(F.avg(n)).scalar() for n in names}
-    spread = {n: transformed.agg(F.stddev_pop(n)).scalar() for n in names}
-    return transformed.withColumns(
-        {
-            n: (F.col(n) - centre[n]) / F.when(spread[n] > 0, spread[n]).otherwise(F.lit(1.0))
-            for n in names
-        }
+    moments = transformed.agg(
+        *[F.avg(n).alias(f"{n}_mean") for n in names], *[F.stddev_pop(n).alias(f"{n}_spread") for n in names]
     )
+
+    def standard(name: str) -> Column:
+        spread = F.when(F.col(f"{name}_spread") > 0, F.col(f"{name}_spread")).otherwise(F.lit(1.0))
+        return ((F.col(name) - F.col(f"{name}_mean")) / spread).alias(name)
+
+    return attach_row(transformed, moments).select(*raw.columns, *[standard(n) for n in names])

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .families import (  # noqa: F401
+    audit_queries,
     core_and_marts,
     dashboard_queries,
     features_and_eda,
+    metric_queries,
     segments_and_clusters,
 )
 from .registry import ORACLES, QUERIES

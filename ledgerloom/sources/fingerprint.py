@@ -5,27 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expressions import as_number, as_timestamp
-from ..schema import LEDGER_COLUMNS
+from ..functions.expressions import canonical_row
 
 
 def ledger_fingerprint(ledger: DataFrame) -> DataFrame:
-    """One row (rows, sha256): equal exactly when the multisets of ledger rows agree.
+    """One row (rows, sha256) that identifies the multiset of ledger rows, up to hash collisions.
 
     Each row is rendered as text and hashed; the sum of the 48-bit row hashes does not depend
     on row or file order, so the pass is a single distributed aggregate of any size.
     """
-
-    def text(name):
-        column = F.col(f"`{name}`")
-        if name in ("Quantity", "Price", "Customer ID"):
-            column = as_number(ledger, name).cast("decimal(38,6)")
-        elif name == "InvoiceDate":
-            column = F.date_format(as_timestamp(ledger, name), "yyyy-MM-dd HH:mm:ss")
-        return F.coalesce(column.cast("string"), F.lit("\\N"))
-
-    row = F.concat_ws("|", *[text(c) for c in [*LEDGER_COLUMNS, "source_sheet"]])
-    digest = F.conv(F.substring(F.md5(row), 1, 12), 16, 10).cast("decimal(15,0)")
+    digest = F.conv(F.substring(F.md5(canonical_row(ledger)), 1, 12), 16, 10).cast("decimal(15,0)")
     return ledger.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(digest), F.lit(0)).alias("_sum")).select(
         "rows",
         F.sha2(F.concat_ws(":", F.col("rows").cast("string"), F.col("_sum").cast("string")), 256).alias("sha256"),
