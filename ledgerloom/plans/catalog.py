@@ -7,6 +7,7 @@ from .families import (  # noqa: F401
     core_and_marts,
     dashboard_queries,
     features_and_eda,
+    ingest_and_cleaning,
     metric_queries,
     segments_and_clusters,
 )

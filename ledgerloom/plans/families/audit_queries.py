@@ -171,12 +171,12 @@ query(
     UNION ALL SELECT 'cross-sheet only', sum(n - 1 - inside)::BIGINT, NULL FROM raw_groups""",
     RAW,
 )
-_LEDGER_SELECT = """"Invoice", "StockCode", "Description", "Quantity", strftime("InvoiceDate", '%Y-%m-%d %H:%M:%S') AS "InvoiceDate",
+LEDGER_SELECT = """"Invoice", "StockCode", "Description", "Quantity", strftime("InvoiceDate", '%Y-%m-%d %H:%M:%S') AS "InvoiceDate",
     "Price", "Customer ID", "Country", source_sheet"""
 query(
     "a10_duplicate_samples",
     lambda w: a.duplicate_samples(w.raw()),
-    f"""SELECT {_LEDGER_SELECT} FROM (
+    f"""SELECT {LEDGER_SELECT} FROM (
         SELECT r.*, count(*) OVER (PARTITION BY "Invoice", "StockCode", "Description", "Quantity", "InvoiceDate", "Price",
             "Customer ID", "Country") AS n FROM raw_ledger AS r) AS c
     WHERE n > 1 ORDER BY c."Invoice", c."StockCode", c."InvoiceDate", pos LIMIT 12""",
@@ -334,7 +334,7 @@ _DRAW = """md5(concat_ws(':', '42', concat_ws('|', coalesce("Invoice", '\\N'), c
 
 
 def _sample_sql(n, where):
-    return f"""SELECT {_LEDGER_SELECT} FROM (SELECT *, {_DRAW} AS draw FROM raw_ledger WHERE {where}
+    return f"""SELECT {LEDGER_SELECT} FROM (SELECT *, {_DRAW} AS draw FROM raw_ledger WHERE {where}
         ORDER BY draw LIMIT {n}) AS s"""
 
 
