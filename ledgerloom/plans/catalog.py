@@ -9,6 +9,7 @@ from .families import (  # noqa: F401
     features_and_eda,
     ingest_and_cleaning,
     metric_queries,
+    quality_queries,
     segments_and_clusters,
 )
 from .registry import ORACLES, QUERIES
