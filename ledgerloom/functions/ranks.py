@@ -116,7 +116,8 @@ def continuous_quantiles(ranks: DataFrame, value: str, levels: dict[str, float],
     )
 
 
-def exact_quantiles(df: DataFrame, value: str, levels: dict[str, float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, levels: dict[str, float], bounds: list | None = None) -> DataFrame:
     """One row of exact continuous quantiles over the whole frame."""
-    bounds = bucket_bounds(df, value)[value]
+    if bounds is None:
+        bounds = bucket_bounds(df, value)[value]
     return continuous_quantiles(value_ranks(df, value, bounds=bounds), value, levels)

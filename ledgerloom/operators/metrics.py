@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import spine, week_ending_monday
 from ..functions.expressions import count_if, money, ratio, sum_if
-from ..functions.ranks import exact_quantiles
+from ..functions.ranks import bucket_bounds, exact_quantiles
 from .marts import header_days, is_merchandise_return, is_sale
 
 
@@ -126,8 +126,9 @@ def transaction_taxonomy(lines: DataFrame) -> DataFrame:
 def flag_extremes(clean: DataFrame, level: float = 0.999) -> DataFrame:
     """Mark quantities and prices beyond the given quantile of the whole ledger."""
     size = clean.withColumn("_size", F.abs("Quantity"))
-    quantity_limit = exact_quantiles(size, "_size", {"limit": level}).scalar()
-    price_limit = exact_quantiles(clean, "Price", {"limit": level}).scalar()
+    bounds = bucket_bounds(size, "_size", "Price")
+    quantity_limit = exact_quantiles(size, "_size", {"limit": level}, bounds["_size"]).scalar()
+    price_limit = exact_quantiles(clean, "Price", {"limit": level}, bounds["Price"]).scalar()
     return clean.withColumns(
         {
             "is_extreme_quantity": F.abs("Quantity") > quantity_limit,

@@ -17,7 +17,8 @@ FILE_BITS = 22
 # A listing of this many paths stays near 10 MB, safe to send to every executor.
 MAX_BROADCAST_FILES = 50_000
 
-# The file listing and the file metadata column write the slashes after a scheme differently.
+# The file listing and the file metadata column write the slashes after a scheme differently,
+# so the listing carries every spelling and rows match without a per-row rewrite.
 _SCHEME = re.compile(r"^([a-z0-9]+):/+")
 
 
@@ -37,8 +38,9 @@ def _file_table(spark: SparkSession, files: list[str]) -> DataFrame:
         return (int(part.group(1)) if part else 0, path)
 
     rows = [
-        (_SCHEME.sub(r"\1:/", path), index)
+        (spelling, index)
         for index, path in enumerate(sorted(files, key=written_order))
+        for spelling in {_SCHEME.sub(r"\1:/", path), _SCHEME.sub(r"\1:///", path), path}
     ]
     return spark.createDataFrame(rows, "_path string, _file long")
 
@@ -52,7 +54,7 @@ def read_sheet(spark: SparkSession, path: str, name: str, position: int) -> Data
         listing = F.broadcast(listing)
     located = sheet.select(
         "*",
-        F.regexp_replace("_metadata.file_path", _SCHEME.pattern, "$1:/").alias("_path"),
+        F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.row_index").alias("_row"),
     )
     base = position << (ROW_BITS + FILE_BITS)
