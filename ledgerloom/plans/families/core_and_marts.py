@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ...operators import core, marts
@@ -151,3 +153,28 @@ query(
         average_order_value, {whole('tenure_days')}, {day('first_purchase_date', 'last_purchase_date')}
     FROM mart_snapshot""",
 )
+
+
+def _sql_over_views(w):
+    w.register_views()
+    return w.spark.sql(
+        """
+        SELECT m.calendar_day, count(DISTINCT m.customer_id) AS buyers, sum(m.net_spend) AS net_spend
+        FROM mart_customer_daily AS m
+        JOIN customers AS c ON c.customer_id = m.customer_id AND c.source_system = :system
+        WHERE m.calendar_day <= :as_of AND c.primary_country = :country AND m.order_frequency > 0
+        GROUP BY m.calendar_day
+        """,
+        args={"system": w.source_system, "as_of": date(2000, 6, 30), "country": "NATION_3"},
+    )
+
+
+query(
+    "m05_sql_over_views",
+    _sql_over_views,
+    """SELECT strftime(m.calendar_day, '%Y-%m-%d') AS calendar_day, count(DISTINCT m.customer_id) AS buyers,
+        sum(m.net_spend)::DOUBLE AS net_spend
+    FROM mart_buyer_day AS m JOIN core_customers AS c USING (customer_id)
+    WHERE m.calendar_day <= DATE '2000-06-30' AND c.primary_country = 'NATION_3' AND m.order_frequency > 0
+    GROUP BY m.calendar_day""",
+)

@@ -22,7 +22,12 @@ from ..sources.fingerprint import ledger_fingerprint
 # Snapshot day for the adapted order tables: the day after the last possible order.
 REFERENCE_DATE = date(2001, 8, 2)
 
-MARTS = ["mart_daily_sales", "mart_customer_daily", "mart_customer_snapshot"]
+MART_ORDER = {
+    "mart_daily_sales": ["calendar_day", "country"],
+    "mart_customer_daily": ["calendar_day"],
+    "mart_customer_snapshot": ["primary_country"],
+}
+MARTS = list(MART_ORDER)
 
 
 class Warehouse:
@@ -72,10 +77,18 @@ class Warehouse:
             self._fingerprint = ledger_fingerprint(self.raw()).first()["sha256"]
         return self._fingerprint
 
-    def stage(self, name: str, build) -> DataFrame:
+    def stage(self, name: str, build, sort_by: list[str] = ()) -> DataFrame:
+        """Write a table once and read it back.
+
+        ``sort_by`` orders rows inside each task's files only (no shuffle), so that row groups
+        cover narrow ranges and later filters on these columns skip most of them.
+        """
         path = f"{self.root}/{name}"
         if name not in self._written:
-            build().write.mode("overwrite").parquet(path)
+            frame = build()
+            if sort_by:
+                frame = frame.sortWithinPartitions(*sort_by)
+            frame.write.mode("overwrite").parquet(path)
             self._written.add(name)
         return self.spark.read.parquet(path)
 
@@ -89,7 +102,7 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         if name in MARTS:
-            return self.stage(name, lambda: self.build_mart(name))
+            return self.stage(name, lambda: self.build_mart(name), MART_ORDER[name])
         builder = {
             "customers": core.build_customers,
             "products": core.build_products,
@@ -98,6 +111,11 @@ class Warehouse:
         }[name]
         return self.stage(name, lambda: builder(self.clean(), self.source_system, self.fingerprint()))
 
+    def register_views(self) -> None:
+        """Expose core tables and marts to ``spark.sql`` under their own names."""
+        for name in [*CORE_TABLES, *MARTS]:
+            self.table(name).createOrReplaceTempView(name)
+
     def build_mart(self, name: str) -> DataFrame:
         lines, invoices = self.table("invoice_lines"), self.table("invoices")
         if name == "mart_daily_sales":
