@@ -51,12 +51,11 @@ def eligible_ledger(
 
 
 def _per_invoice(rows: DataFrame, *keys: str) -> DataFrame:
-    """Line measures summed per invoice within the given keys."""
+    """Measures of eligible lines per invoice; each line is a sale or a return, never both."""
     total, quantity = F.col("line_total"), F.col("quantity")
     return rows.groupBy("invoice_number", *keys).agg(
         sum_if(total, is_sale()).alias("sale_value"),
         sum_if(total, is_merchandise_return()).alias("return_value"),
-        F.sum(total).alias("net_value"),
         count_if(is_sale()).alias("sale_lines"),
         sum_if(quantity, is_sale()).alias("units_sold"),
         (-sum_if(quantity, is_merchandise_return())).alias("units_returned"),
@@ -82,7 +81,7 @@ def daily_sales(
             money(F.sum("sale_value")).alias("gross_sales"),
             money(F.sum("sale_value")).alias("valid_sales_revenue"),
             money(F.sum("return_value")).alias("return_value"),
-            money(F.sum("net_value")).alias("net_sales"),
+            money(F.sum("sale_value") + F.sum("return_value")).alias("net_sales"),
             count_if(F.col("sale_lines") > 0).alias("distinct_invoices"),
             F.sum("units_sold").alias("units_sold"),
             F.sum("units_returned").alias("units_returned"),
@@ -103,7 +102,7 @@ def customer_daily(
             count_if(F.col("sale_lines") > 0).alias("order_frequency"),
             money(F.sum("sale_value")).alias("gross_spend"),
             money(F.sum("return_value")).alias("return_value"),
-            money(F.sum("net_value")).alias("net_spend"),
+            money(F.sum("sale_value") + F.sum("return_value")).alias("net_spend"),
             F.sum("sale_lines").alias("valid_transaction_count"),
         )
     )

@@ -48,14 +48,15 @@ class Warehouse:
         self.reference_date = reference_date
         label = hashlib.sha256(folder.encode()).hexdigest()[:12]
         self.root = root or f"{scratch_dir(spark)}/ledgerloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:8]}"
-        self._written: set[str] = set()
+        # Staged files never change, so one opened DataFrame per table serves every query.
+        self._frames: dict[str, DataFrame] = {}
         self._fingerprint: str | None = None
 
     # -- raw and clean ------------------------------------------------------------------
 
     def raw(self) -> DataFrame:
         path = f"{self.root}/raw"
-        if "raw" not in self._written:
+        if "raw" not in self._frames:
             ledger = adapter.adapter_ledger(self.spark, self.folder).withColumnsRenamed(
                 {
                     "invoice": "Invoice",
@@ -69,8 +70,9 @@ class Warehouse:
                 }
             )
             sheets.write_raw_snapshot(ledger, path, adapter.SOURCE_ORDER)
-            self._written.add("raw")
-        return sheets.read_sheets(self.spark, sheets.snapshot_sheets(path, adapter.SHEETS))
+            folders = sheets.snapshot_sheets(path, adapter.SHEETS)
+            self._frames["raw"] = sheets.read_sheets(self.spark, folders)
+        return self._frames["raw"]
 
     def fingerprint(self) -> str:
         if self._fingerprint is None:
@@ -83,14 +85,15 @@ class Warehouse:
         ``sort_by`` orders rows inside each task's files only (no shuffle), so that row groups
         cover narrow ranges and later filters on these columns skip most of them.
         """
-        path = f"{self.root}/{name}"
-        if name not in self._written:
+        if name not in self._frames:
+            path = f"{self.root}/{name}"
             frame = build()
             if sort_by:
                 frame = frame.sortWithinPartitions(*sort_by)
             frame.write.mode("overwrite").parquet(path)
-            self._written.add(name)
-        return self.spark.read.parquet(path)
+            # The known schema saves the job that would infer it from file footers.
+            self._frames[name] = self.spark.read.schema(frame.schema).parquet(path)
+        return self._frames[name]
 
     def clean(self) -> DataFrame:
         return self.stage("clean", lambda: cleaning.clean_ledger(self.raw()))
