@@ -13,21 +13,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BUCKETS = 256
-ROWS_PER_BUCKET = 500_000
+ROWS_PER_BUCKET = 1_000_000
 
 
 def bucket_bounds(df: DataFrame, *columns: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> dict[str, list]:
-    """Ascending cut points per column from one pass; none while one bucket is small enough."""
-    levels = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-    sketch = df.agg(
-        *[F.percentile_approx(c, levels, 10 * MAX_BUCKETS).alias(c) for c in columns],
-        *[F.count(c).alias(f"{c}|rows") for c in columns],
-    ).first()
-    bounds = {}
-    for c in columns:
-        wanted = min(MAX_BUCKETS, -(-sketch[f"{c}|rows"] // rows_per_bucket))
-        picked = [sketch[c][round(i * MAX_BUCKETS / wanted) - 1] for i in range(1, wanted)] if wanted > 1 else []
-        bounds[c] = sorted(set(picked))
+    """Ascending cut points per column; none where one bucket is small enough.
+
+    Only columns with more rows than a bucket holds are sketched, all in one further pass.
+    """
+    rows = df.agg(*[F.count(c).alias(c) for c in columns]).first()
+    wanted = {c: min(MAX_BUCKETS, -(-rows[c] // rows_per_bucket)) for c in columns}
+    large = [c for c in columns if wanted[c] > 1]
+    bounds: dict[str, list] = {c: [] for c in columns}
+    if large:
+        levels = {c: [i / wanted[c] for i in range(1, wanted[c])] for c in large}
+        sketch = df.agg(*[F.percentile_approx(c, levels[c], 10 * MAX_BUCKETS).alias(c) for c in large]).first()
+        bounds.update({c: sorted(set(sketch[c])) for c in large})
     return bounds
 
 

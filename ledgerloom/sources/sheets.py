@@ -42,7 +42,10 @@ def _file_table(spark: SparkSession, files: list[str]) -> DataFrame:
         for index, path in enumerate(sorted(files, key=written_order))
         for spelling in {_SCHEME.sub(r"\1:/", path), _SCHEME.sub(r"\1:///", path), path}
     ]
-    return spark.createDataFrame(rows, "_path string, _file long")
+    # Grouping declares the path unique, which lets Catalyst drop the join wherever the source
+    # position is not used.
+    listing = spark.createDataFrame(rows, "_path string, _file long")
+    return listing.groupBy("_path").agg(F.min("_file").alias("_file"))
 
 
 def read_sheet(spark: SparkSession, path: str, name: str, position: int) -> DataFrame:
