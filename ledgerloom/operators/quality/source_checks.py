@@ -9,8 +9,9 @@ from ...functions.expressions import any_of, count_if, differs, sum_if
 from ...schema import CORE_TABLES, FLAG_COLUMNS, LEDGER_COLUMNS, PAYLOAD_COLUMNS
 from ..core import core_rows
 from ..marts import is_merchandise_return, is_sale, namespace
+from .core_checks import customer_totals
 from .frames import line_business_rules
-from .results import compared, item_violations, side_by_side, union_results
+from .results import item_violations, side_by_side, union_results
 
 _REQUIRED = [c for c in LEDGER_COLUMNS if c not in ("Customer ID", "Description")] + ["source_sheet", *FLAG_COLUMNS]
 
@@ -133,8 +134,6 @@ def provenance(core: dict[str, DataFrame], source_system: str, checksum: str) ->
 
 def financial_diagnostics(core: dict[str, DataFrame], source_system: str) -> DataFrame:
     """How far stored invoice and customer totals are from the sums of their lines."""
-    from .core_checks import customer_totals
-
     lines = namespace(core["invoice_lines"], source_system)
     per_invoice = lines.groupBy("invoice_number").agg(F.sum("line_total").alias("found"))
     invoices = namespace(core["invoices"], source_system).join(per_invoice, "invoice_number").select(
