@@ -39,5 +39,81 @@ FROM sets x LEFT JOIN classes c ON c.s = list_sort(x.s) LEFT JOIN lowest l ON l.
 """
 
 
+OP7_HOST_RULES = r"""
+WITH texts AS (
+  SELECT doc_id, source, coalesce(text, '') AS t FROM documents
+), words AS (
+  SELECT doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM texts
+), grams AS (
+  SELECT doc_id, unnest(range(1, len(w) - 3)) AS p, unnest(list_transform(range(1, len(w) - 3), lambda i: list_slice(w, i, i + 4))) AS g
+  FROM words WHERE len(w) >= 5
+), repeated AS (
+  SELECT doc_id, p FROM (
+    SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS times FROM grams
+  ) WHERE times > 1
+), covered AS (
+  SELECT doc_id, sum(least(5, coalesce(following - p, 5)))::BIGINT AS n FROM (
+    SELECT doc_id, p, lead(p) OVER (PARTITION BY doc_id ORDER BY p) AS following FROM repeated
+  ) GROUP BY doc_id
+), rows AS (
+  SELECT x.doc_id, x.source, len(w)::BIGINT AS n_words,
+    length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines,
+    coalesce(c.n, 0)::BIGINT AS n_repeat_words
+  FROM words x LEFT JOIN covered c USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM rows
+), hosts AS (
+  SELECT source, count(*) AS n, count(*) FILTER (
+    base_failed OR 100 * n_symbols > 10 * word_chars OR 100 * n_dup_lines > 30 * n_lines) AS f
+  FROM judged GROUP BY source
+), moments AS (
+  SELECT sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) AS squares, count(*) / sum(n) AS per FROM hosts
+), prior AS (
+  SELECT m, CASE WHEN squares - m * m - m * (1 - m) * per > 0
+    THEN least(1000.0, greatest(1.0, m * (1 - m) / (squares - m * m - m * (1 - m) * per) - 1)) ELSE 1000.0 END AS strength
+  FROM moments
+), bad AS (
+  SELECT source FROM hosts, prior WHERE (f + m * strength) / (n + strength) > 0.5
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT EXISTS (SELECT 1 FROM bad b WHERE b.source IS NOT DISTINCT FROM j.source) AS kept
+FROM judged j
+"""
+
+# The checksum is stated bit by bit: a table of 256 entries from the polynomial, then one step per byte.
+OP5_BYTE_SHARDS = """
+WITH RECURSIVE bits AS (
+  SELECT i, i AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), entries AS (
+  SELECT list(c ORDER BY i) AS e FROM bits WHERE k = 8
+), codes AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 16 AS size, hex(encode(coalesce(text, ''))) AS h FROM documents
+), sums AS (
+  SELECT doc_id, size, CASE WHEN size = 16 THEN 0 ELSE xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(0, size - 16), lambda k: ('0x' || substr(h, (2 * k + 1)::BIGINT, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, e[(xor(c, b) & 255) + 1]))) END AS text_crc32
+  FROM codes, entries
+), placed AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total,
+    row_number() OVER (ORDER BY doc_id) AS number FROM sums
+), cut AS (
+  SELECT *, least(39, ((2 * before + size) * 40) // (2 * total))::INTEGER AS shard FROM placed
+)
+SELECT doc_id, size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
+  (number - min(number) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM cut
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": OP1_NEAR_DEDUP}
+    return {
+        "op1_near_dedup": OP1_NEAR_DEDUP,
+        "op5_byte_shards": OP5_BYTE_SHARDS,
+        "op7_host_rules": OP7_HOST_RULES,
+    }

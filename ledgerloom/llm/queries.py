@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import odd_sketch
+from ledgerloom.llm import byte_shards, host_rules, odd_sketch
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,7 +18,20 @@ def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return odd_sketch.near_duplicates(_table(spark, folder, "documents"), width=2, percent=80)
 
 
+def op5_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 40 contiguous shards of nearly equal bytes."""
+    return byte_shards.balanced_shards(_table(spark, folder, "documents"), shards=40)
+
+
+def op7_host_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule measures, base verdict and host-aware verdict of every document; the host is its source."""
+    judged = host_rules.host_verdicts(_table(spark, folder, "documents"), host="source")
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
+        "op5_byte_shards": op5_byte_shards,
+        "op7_host_rules": op7_host_rules,
     }
