@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import byte_shards, host_rules, odd_sketch
+from ledgerloom.llm import bpe, byte_shards, host_rules, odd_sketch, spaced_seed
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,9 +30,21 @@ def op7_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts and digests of the ids and of the decoded text of every document."""
+    return bpe.encoded(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_spaced_seed(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and benchmark item that share a passage, with the place and extent of the longest overlap."""
+    return spaced_seed.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
         "op5_byte_shards": op5_byte_shards,
         "op7_host_rules": op7_host_rules,
+        "op6_bpe": op6_bpe,
+        "op4_spaced_seed": op4_spaced_seed,
     }
