@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe, byte_shards, host_rules, odd_sketch, spaced_seed
+from ledgerloom.llm import bpe, byte_shards, chunk_dedup, host_rules, odd_sketch, spaced_seed
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,6 +40,12 @@ def op4_spaced_seed(spark: SparkSession, folder: str) -> DataFrame:
     return spaced_seed.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op2_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every passage of a document that occurs earlier in the corpus, with the document that has it first."""
+    found = chunk_dedup.repeated_passages(_table(spark, folder, "documents"))
+    return found.select("doc_id", "first_doc_id", "start", "stop", "n_words", "n_chunks")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
@@ -47,4 +53,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_host_rules": op7_host_rules,
         "op6_bpe": op6_bpe,
         "op4_spaced_seed": op4_spaced_seed,
+        "op2_chunk_dedup": op2_chunk_dedup,
     }
