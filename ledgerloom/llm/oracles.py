@@ -111,9 +111,23 @@ FROM cut
 """
 
 
+OP9_ZIP_WARC = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS response FROM payloads
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < response THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < response THEN response END AS refers_to
+FROM firsts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_near_dedup": OP1_NEAR_DEDUP,
         "op5_byte_shards": OP5_BYTE_SHARDS,
         "op7_host_rules": OP7_HOST_RULES,
+        "op9_zip_warc": OP9_ZIP_WARC,
     }

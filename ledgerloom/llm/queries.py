@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe, byte_shards, chunk_dedup, host_rules, odd_sketch, spaced_seed
+from ledgerloom.llm import bpe, byte_shards, chunk_dedup, host_rules, odd_sketch, spaced_seed, url_templates, zip_warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -46,6 +46,17 @@ def op2_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "first_doc_id", "start", "stop", "n_words", "n_chunks")
 
 
+def op9_zip_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written to ZIP-packaged archives and read back by ranges."""
+    return zip_warc.archived(_table(spark, folder, "pages"))
+
+
+def op10_url_templates(spark: SparkSession, folder: str) -> DataFrame:
+    """Host, path, listed rule and verdict of every page; unlisted URLs by their path template."""
+    found = url_templates.judged(_table(spark, folder, "pages"), _table(spark, folder, "labels"))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
@@ -54,4 +65,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_bpe": op6_bpe,
         "op4_spaced_seed": op4_spaced_seed,
         "op2_chunk_dedup": op2_chunk_dedup,
+        "op9_zip_warc": op9_zip_warc,
+        "op10_url_templates": op10_url_templates,
     }
