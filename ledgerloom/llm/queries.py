@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe, byte_shards, chunk_dedup, host_rules, odd_sketch, spaced_seed, url_templates, zip_warc
+from ledgerloom.llm import bpe, byte_shards, chunk_dedup, gated_lm, host_rules, odd_sketch, spaced_seed, url_templates, zip_warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -57,6 +57,11 @@ def op10_url_templates(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_gated_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Smoothed corpus scores and the language model's log-likelihood of every document."""
+    return gated_lm.document_scores(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
@@ -67,4 +72,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_chunk_dedup": op2_chunk_dedup,
         "op9_zip_warc": op9_zip_warc,
         "op10_url_templates": op10_url_templates,
+        "op3_gated_lm": op3_gated_lm,
     }
