@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import bpe, byte_shards, chunk_dedup, gated_lm, host_rules, odd_sketch, spaced_seed, url_templates, zip_warc
+from ledgerloom.llm import bpe, byte_shards, chunk_dedup, gated_lm, host_rules, odd_sketch, pii_tagger, spaced_seed, url_templates, zip_warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,15 +62,21 @@ def op3_gated_lm(spark: SparkSession, folder: str) -> DataFrame:
     return gated_lm.document_scores(_table(spark, folder, "documents"))
 
 
+def op8_pii_tagger(spark: SparkSession, folder: str) -> DataFrame:
+    """Pattern counts and all spans of personal data in every document."""
+    return pii_tagger.personal_data(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
+        "op2_chunk_dedup": op2_chunk_dedup,
+        "op3_gated_lm": op3_gated_lm,
+        "op4_spaced_seed": op4_spaced_seed,
         "op5_byte_shards": op5_byte_shards,
-        "op7_host_rules": op7_host_rules,
         "op6_bpe": op6_bpe,
-        "op4_spaced_seed": op4_spaced_seed,
-        "op2_chunk_dedup": op2_chunk_dedup,
+        "op7_host_rules": op7_host_rules,
+        "op8_pii_tagger": op8_pii_tagger,
         "op9_zip_warc": op9_zip_warc,
         "op10_url_templates": op10_url_templates,
-        "op3_gated_lm": op3_gated_lm,
     }
