@@ -147,10 +147,10 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with every repeated passage cut out of its text but for the first occurrence; all columns kept."""
-    spans = repeated_passages(docs, min_words).groupBy(F.col("doc_id").alias("span_id"), F.col("text_key").alias("span_key"))
+    spans = repeated_passages(docs, min_words).groupBy(F.col("doc_id").alias("__span_id"), F.col("text_key").alias("__span_key"))
     spans = staged(spans.agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("__spans")), "spans")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("span_id")) & (F.xxhash64("text") == F.col("span_key"))
-    marked = docs.join(spans, same, "left").drop("span_id", "span_key")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__span_id")) & (F.xxhash64("text") == F.col("__span_key"))
+    marked = docs.join(spans, same, "left").drop("__span_id", "__span_key")
     raw = F.col("text").cast("binary")
     # the bytes before each passage, then those after the last; chunk borders may fall inside a character, which
     # belongs to the passage whose first byte it starts in, so incomplete characters are dropped when decoding

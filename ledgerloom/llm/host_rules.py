@@ -128,6 +128,6 @@ def host_verdicts(docs: DataFrame, host: str = "source") -> DataFrame:
 
 def kept_documents(docs: DataFrame, host: str = "source") -> DataFrame:
     """The rows of ``docs`` that pass, all columns kept."""
-    dropped = host_verdicts(docs, host).where(~F.col("kept")).select(F.col("doc_id").alias("dropped_id"), F.col("text_key").alias("dropped_key"))
-    same = F.col("doc_id").eqNullSafe(F.col("dropped_id")) & (F.xxhash64("text") == F.col("dropped_key"))
+    dropped = host_verdicts(docs, host).where(~F.col("kept")).select(F.col("doc_id").alias("__dropped_id"), F.col("text_key").alias("__dropped_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("__dropped_id")) & (F.xxhash64("text") == F.col("__dropped_key"))
     return docs.join(dropped, same, "left_anti")

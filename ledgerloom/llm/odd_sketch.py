@@ -1,14 +1,16 @@
 """Near-duplicate documents by MinHash bands, odd-sketch estimates and exact confirmation.
 
-A text is the set of its distinct word shingles. ``BANDS * ROWS`` MinHash samples are drawn from it.
-Texts that agree on all rows of a band meet in that band's bucket. All samples of a text are also
-folded into one parity bitmap, the odd sketch: sample (i, value) flips one bit. The XOR of two sketches
-has one bit for each differing sample (up to collisions, which the estimator undoes), so its
-population count gives the similarity of a pair that met, from 128 bytes and without the sets. Pairs
-whose estimate is near or above the threshold are confirmed on their full sets.
-
-A pair at similarity 0.8 misses all 48 bands of 6 rows with probability 5e-7; its estimate has a standard
-deviation of 0.024, and pairs are confirmed down to ``MARGIN`` = 0.13 below the threshold.
+A text is the set of its distinct word shingles. ``BANDS * ROWS`` MinHash values are drawn from it by as many
+permutations; texts that agree on all rows of a band meet in that band's bucket. The ``SAMPLE`` smallest
+shingle hashes (the bottom-k form of MinHash samples; the whole set, if it is no larger) are folded into one
+parity bitmap, the odd sketch: each sample flips one bit. The XOR of two sketches has one bit for each sample
+that only one text has (up to collisions, which the estimator undoes), so its population count gives the
+similarity of a pair that met, from 256 bytes and without the sets. Pairs whose estimate is near or above
+the threshold are confirmed on their full sets.
+
+A pair at similarity 0.8 misses all 48 bands of 6 rows with probability 5e-7. Its estimate has a standard
+deviation of about 0.006 for sets up to ``SAMPLE`` and 0.017 beyond; pairs are confirmed down to ``MARGIN_WHOLE`` or
+``MARGIN_SAMPLED`` below the threshold, five deviations and more.
 
 Buckets are never expanded into all their pairs:
 
@@ -16,7 +18,9 @@ Buckets are never expanded into all their pairs:
 2. Every class is tried against one leader of each of its buckets; the leader with the best estimate is
    confirmed. A group of near copies thereby falls together at a cost linear in its size.
 3. Only buckets that still hold several components are searched, and only across components. A bucket
-   of over ``BLOCK`` members is cut into blocks, and each pair of blocks is one task's work.
+   of over ``BLOCK`` members is cut into blocks, and each pair of blocks is one task's work. Twice, the
+   best-looking pair of each two components is confirmed, which joins what belongs together. Then
+   every likely pair that is still across components is confirmed, so no link is left out.
 
 Defined results: a null, empty or blank text has an empty set (size 0) and is linked with nothing; fewer words
 than a shingle make one shingle of all words. Rows that repeat a doc_id are judged by their own texts.
@@ -31,7 +35,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.links import components
@@ -39,16 +43,17 @@ from ledgerloom.llm.staging import staged
 from ledgerloom.llm.text import hashed_words, mix, row_ranges
 
 BANDS, ROWS = 48, 6
-SKETCH_BITS = 1024
-MARGIN = 0.13
-BLOCK = 2000
-_SAMPLES = BANDS * ROWS
+SAMPLE = 1024
+SKETCH_BITS = 2048
+MARGIN_WHOLE, MARGIN_SAMPLED = 0.035, 0.1
+BLOCK = 1000
+BEST_ROUNDS = 2
+_PERMUTATIONS = BANDS * ROWS
 _WORDS = SKETCH_BITS // 64
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(7001))
-_MULTIPLY = (_rng.integers(0, 2**31, _SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
-_FLIP = _rng.integers(0, 2**32, _SAMPLES, dtype=np.uint32)[:, None]
-_SALT = _rng.integers(0, 2**63, _SAMPLES, dtype=np.uint64)
+_MULTIPLY = (_rng.integers(0, 2**31, _PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
+_FLIP = _rng.integers(0, 2**32, _PERMUTATIONS, dtype=np.uint32)[:, None]
 _STEPS = _rng.integers(0, 2**62, 64, dtype=np.uint64) * _U(2) + _U(1)
 _CHUNK = 1024  # shingles hashed at once, so that the working set stays in the processor's cache
 
@@ -71,26 +76,24 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
-def samples(shingles: np.ndarray) -> np.ndarray:
-    """MinHash samples: the smallest value of the set under each of the permutations of 32-bit numbers."""
+def least_values(shingles: np.ndarray) -> np.ndarray:
+    """The smallest value of the set under each of the permutations of 32-bit numbers."""
     low = shingles.astype(np.uint32)
-    least = np.full(_SAMPLES, 0xFFFFFFFF, np.uint32)
+    least = np.full(_PERMUTATIONS, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(low), _CHUNK):
         np.minimum(least, ((low[None, at : at + _CHUNK] ^ _FLIP) * _MULTIPLY).min(axis=1), out=least)
     return least
 
 
-def fold(samples_of_texts: np.ndarray) -> np.ndarray:
-    """Odd sketches, one row of 64-bit words per text: bit h(i, sample_i) is flipped for every i."""
-    at = mix(samples_of_texts.astype(np.uint64) + _SALT[None, :]) & _U(SKETCH_BITS - 1)
-    sketch = np.zeros((len(at), _WORDS), np.uint64)
-    text = np.repeat(np.arange(len(at)), at.shape[1])
-    np.bitwise_xor.at(sketch, (text, (at >> _U(6)).ravel().astype(np.int64)), _U(1) << (at.ravel() & _U(63)))
-    return sketch
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity bitmap of the smallest SAMPLE hashes of a sorted set, as 64-bit words."""
+    at = (mix(shingles[:SAMPLE]) & _U(SKETCH_BITS - 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=SKETCH_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.uint64)
 
 
-def band_keys(samples_of_texts: np.ndarray) -> np.ndarray:
-    values = samples_of_texts.astype(np.uint64).reshape(-1, BANDS, ROWS)
+def band_keys(least: np.ndarray) -> np.ndarray:
+    values = least.astype(np.uint64).reshape(-1, BANDS, ROWS)
     keys = (values * _STEPS[None, None, :ROWS]).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)[None, :] * _STEPS[ROWS]
     return mix(keys)
 
@@ -103,18 +106,18 @@ def _lists(values: np.ndarray) -> pa.Array:
 def _sign(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, drawn = [], [], []
+            sizes, digests, sketches, drawn = [], [], [], []
             for shingles in shingle_sets(batch.column(1), width):
                 sizes.append(len(shingles))
                 digests.append(blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
-                drawn.append(samples(shingles))
+                sketches.append(odd_sketch(shingles))
+                drawn.append(least_values(shingles))
             if not sizes:
                 continue
-            drawn = np.stack(drawn)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                    _lists(fold(drawn)), _lists(band_keys(drawn)),
+                    _lists(np.stack(sketches)), _lists(band_keys(np.stack(drawn))),
                 ],
                 ["doc_id", "text_key", "n", "digest", "sketch", "keys"],
             )
@@ -130,11 +133,25 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return staged(signed.withColumn("rid", F.monotonically_increasing_id()), "signatures")
 
 
-def estimate(sketch_a: str, sketch_b: str):
-    """Similarity from the population count of the XOR of two odd sketches."""
-    differing = sum((F.bit_count(F.col(sketch_a)[i].bitwiseXOR(F.col(sketch_b)[i])) for i in range(_WORDS)), start=F.lit(0))
-    filled = F.least(F.lit(0.999), 2.0 * differing / SKETCH_BITS)
-    return 1.0 + F.log1p(-filled) * (SKETCH_BITS / (4.0 * _SAMPLES))
+def _similarity(differing, n_a, n_b, least, most, log1p):
+    """Jaccard estimate and its margin from the XOR's population count and the set sizes.
+
+    The count undoes to the number d of samples on one side only. The two samples share (k_a + k_b - d) / 2
+    hashes; they cover the smaller of the two sampled shares of the intersection.
+    """
+    d = log1p(-least(0.999, 2.0 * differing / SKETCH_BITS)) * (-SKETCH_BITS / 2.0)
+    k_a, k_b = least(n_a, SAMPLE), least(n_b, SAMPLE)
+    common = (k_a + k_b - d) / 2.0 * most(n_a / k_a, n_b / k_b)
+    return common / (n_a + n_b - common)
+
+
+def _estimate():
+    differing = sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(_WORDS)), start=F.lit(0))
+    as_column = lambda x: x if isinstance(x, Column) else F.lit(x)
+    return _similarity(
+        differing, F.col("n_a").cast("double"), F.col("n_b").cast("double"),
+        lambda x, y: F.least(as_column(x), as_column(y)), F.greatest, F.log1p,
+    )
 
 
 def _sets(width: int):
@@ -174,7 +191,8 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
 def _likely(percent: int):
     """Sizes that allow the threshold at all, and an estimate not clearly below it."""
     sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    return sizes & (estimate("sketch_a", "sketch_b") >= percent / 100 - MARGIN)
+    margin = F.when(F.greatest("n_a", "n_b") <= SAMPLE, MARGIN_WHOLE).otherwise(MARGIN_SAMPLED)
+    return sizes & (_estimate() >= percent / 100 - margin)
 
 
 def _to_leaders(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -182,54 +200,83 @@ def _to_leaders(members: DataFrame, classes: DataFrame, percent: int) -> DataFra
     tries = members.where("rid <> leader").select(F.col("rid").alias("a"), F.col("leader").alias("b")).distinct()
     sketches = classes.select("rid", "n", "sketch")
     tries = tries.join(sketches.toDF("a", "n_a", "sketch_a"), "a").join(sketches.toDF("b", "n_b", "sketch_b"), "b")
-    likely = tries.where(_likely(percent)).select("a", "b", estimate("sketch_a", "sketch_b").alias("e"))
+    likely = tries.where(_likely(percent)).select("a", "b", _estimate().alias("e"))
     return likely.groupBy("a").agg(F.max_by("b", F.struct("e", "b")).alias("b"))
 
 
-def _across(percent: int):
-    low = percent / 100 - MARGIN
+def _across(percent: int, best: bool):
+    low = percent / 100
 
     def run(group: pa.Table) -> pa.Table:
-        """Likely pairs of one bucket, or of two blocks of it, that lie in different components."""
-        rid, root = group["rid"].to_numpy(), group["root"].to_numpy()
-        size, side = group["n"].to_numpy(), group["side"].to_numpy()
-        sketch = np.frombuffer(group["sketch"].combine_chunks().flatten().to_numpy(), np.uint64).reshape(-1, _WORDS)
-        order = np.lexsort((rid, side))
-        rid, root, size, side, sketch = rid[order], root[order], size[order], side[order], sketch[order]
+        """Likely pairs of one bucket, or of two blocks of it, that lie in different components.
+
+        ``best`` keeps the best-looking pair of each two components. Otherwise every likely pair is
+        given, once: in the first bucket that both texts share.
+        """
+        order = np.lexsort((group["rid"].to_numpy(), group["side"].to_numpy()))
+        rid, root, size, side = (group[c].to_numpy()[order] for c in ("rid", "root", "n", "side"))
+        sketch = np.frombuffer(group["sketch"].combine_chunks().flatten().to_numpy(), np.uint64).reshape(-1, _WORDS)[order]
+        keys = group["keys"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)[order]
+        here = group["key"][0].as_py()
         cut = int(np.searchsorted(side, 1))
         found = []
         for at in range(cut if cut < len(rid) else len(rid)):
             rest = slice(cut, None) if cut < len(rid) else slice(at + 1, None)
             other = np.flatnonzero((root[rest] != root[at]) & (100 * np.minimum(size[rest], size[at]) >= percent * np.maximum(size[rest], size[at])))
-            if not len(other):
-                continue
-            other = other + (rest.start or 0)
+            other = other + rest.start
             differing = np.bitwise_count(sketch[other] ^ sketch[at]).sum(axis=1, dtype=np.int64)
-            alike = 1 + np.log1p(-np.minimum(0.999, 2 * differing / SKETCH_BITS)) * (SKETCH_BITS / (4 * _SAMPLES))
-            other = other[alike >= low]
-            found.append((np.full(len(other), rid[at]), rid[other]))
-        a = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
-        b = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
-        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+            alike = _similarity(differing, float(size[at]), size[other], np.minimum, np.maximum, np.log1p)
+            margin = np.where(np.maximum(size[other], size[at]) <= SAMPLE, MARGIN_WHOLE, MARGIN_SAMPLED)
+            likely = alike >= low - margin
+            other, alike = other[likely], alike[likely]
+            if best and len(other):
+                ranked = np.argsort(-alike, kind="stable")
+                ranked = ranked[np.unique(root[other[ranked]], return_index=True)[1]]
+                other, alike = other[ranked], alike[ranked]
+            elif len(other):
+                shared = keys[other] == keys[at]
+                first = keys[at][shared.argmax(axis=1)] == here
+                other, alike = other[first], alike[first]
+            if len(other):
+                found.append((np.full(len(other), at), other, alike))
+        if not found:
+            return pa.table({c: pa.array([], t) for c, t in _PAIR.items()})
+        a, b, alike = (np.concatenate(x) for x in zip(*found))
+        lower, upper = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        if best:
+            ranked = np.lexsort((-alike, upper, lower))
+            new = np.ones(len(ranked), bool)
+            new[1:] = (np.diff(lower[ranked]) != 0) | (np.diff(upper[ranked]) != 0)
+            keep = ranked[new]
+            a, b, alike, lower, upper = a[keep], b[keep], alike[keep], lower[keep], upper[keep]
+        columns = (np.minimum(rid[a], rid[b]), np.maximum(rid[a], rid[b]), alike, lower, upper)
+        return pa.table({c: pa.array(v, t) for (c, t), v in zip(_PAIR.items(), columns)})
 
     return run
 
 
-def _within_open_buckets(members: DataFrame, classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+_PAIR = {"a": pa.int64(), "b": pa.int64(), "e": pa.float64(), "lower": pa.int64(), "upper": pa.int64()}
+
+
+def _within_open_buckets(members: DataFrame, classes: DataFrame, roots: DataFrame, percent: int, best: bool) -> DataFrame:
     """Likely pairs across components in the buckets that hold more than one component."""
     placed = members.join(roots.toDF("rid", "found_root"), "rid", "left")
     placed = staged(placed.select("key", "rid", F.coalesce("found_root", "rid").alias("root")), "placed")
     still_open = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
     still_open = staged(still_open.where("low < high").select("key", "members"), "open-buckets")
-    rows = placed.join(still_open, "key").join(classes.select("rid", "n", "sketch"), "rid")
+    rows = placed.join(still_open, "key").join(classes.select("rid", "n", "sketch", "keys"), "rid")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
-        "key", "rid", "root", "n", "sketch", F.least("block", "with").alias("p"), F.greatest("block", "with").alias("q"),
+        "key", "rid", "root", "n", "sketch", "keys", F.least("block", "with").alias("p"), F.greatest("block", "with").alias("q"),
         (F.col("block") > F.col("with")).cast("int").alias("side"),
     )
-    return rows.groupBy("key", "p", "q").applyInArrow(_across(percent), "a long, b long").distinct()
+    schema = "a long, b long, e double, lower long, upper long"
+    pairs = rows.groupBy("key", "p", "q").applyInArrow(_across(percent, best), schema)
+    if best:
+        pairs = pairs.groupBy("lower", "upper").agg(F.max_by(F.struct("a", "b"), F.struct("e", "a", "b")).alias("pair")).select("pair.*")
+    return pairs.select("a", "b")
 
 
 def _judged(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -246,8 +293,10 @@ def _judged(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     links = confirmed(_to_leaders(members, classes, percent), classes, docs, width, percent)
     roots = components(links)
-    more = confirmed(_within_open_buckets(members, classes, roots, percent), classes, docs, width, percent)
-    roots = components(links.unionByName(more))
+    for best in (*[True] * BEST_ROUNDS, False):
+        more = confirmed(_within_open_buckets(members, classes, roots, percent, best), classes, docs, width, percent)
+        links = links.unionByName(more)
+        roots = components(links)
 
     placed = first.join(roots.toDF("class", "root"), "class", "left").select("digest", "class_id", F.coalesce("root", "class").alias("root"))
     placed = staged(placed, "placed-classes")
@@ -277,7 +326,7 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     judged = _judged(docs, width, percent)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
     first = judged.where("root is not null").groupBy("root").agg(F.min(order).alias("f")).select("f.doc_id", "f.text_key")
-    stay = first.unionByName(judged.where("root is null").select("doc_id", "text_key")).toDF("stay_id", "stay_key")
+    stay = first.unionByName(judged.where("root is null").select("doc_id", "text_key")).toDF("__stay_id", "__stay_key")
     marked = docs.withColumn("__text_key", F.xxhash64("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("stay_id")) & (F.col("__text_key") == F.col("stay_key"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__stay_id")) & (F.col("__text_key") == F.col("__stay_key"))
     return marked.join(stay, same, "left_semi").dropDuplicates(["doc_id", "__text_key"]).drop("__text_key")

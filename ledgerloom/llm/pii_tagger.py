@@ -464,6 +464,10 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
 
 def without_personal_data(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span in ``text`` replaced by its kind, all columns kept."""
+    """``docs`` with every span in ``text`` replaced by its kind, all columns kept; a column n_chars follows the text."""
     weights = docs.sparkSession.sparkContext.broadcast(trained(docs))
-    return docs.mapInArrow(_find(weights, True), docs.schema)
+    clean = docs.mapInArrow(_find(weights, True), docs.schema)
+    if "n_chars" not in docs.columns:
+        return clean
+    length = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
+    return clean.withColumn("n_chars", length)

@@ -195,6 +195,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any benchmark passage, all columns kept."""
-    found = staged(overlaps(docs, benchmark).select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")).distinct(), "contaminated")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("hit_id")) & (F.xxhash64("text") == F.col("hit_key"))
+    found = staged(overlaps(docs, benchmark).select(F.col("doc_id").alias("__hit_id"), F.col("text_key").alias("__hit_key")).distinct(), "contaminated")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__hit_id")) & (F.xxhash64("text") == F.col("__hit_key"))
     return docs.join(found, same, "left_anti")
