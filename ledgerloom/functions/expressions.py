@@ -19,17 +19,38 @@ def strip(column: Column) -> Column:
 
 
 def as_number(df: DataFrame, name: str) -> Column:
-    """Numeric value of a column; text that is no number becomes null."""
-    if isinstance(df.schema[name].dataType, T.NumericType):
-        return F.col(f"`{name}`")
-    return F.col(f"`{name}`").try_cast("double")
+    """Numeric value of a column; NaN, and text that is no number, become null. Infinities stay."""
+    column, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    if isinstance(kind, T.NumericType) and not isinstance(kind, (T.DoubleType, T.FloatType)):
+        return column
+    number = column if isinstance(kind, T.NumericType) else column.try_cast("double")
+    return F.when(~F.isnan(number), number)
+
+
+def as_whole_number(df: DataFrame, name: str) -> Column:
+    """A number without a fraction as a long; anything else becomes null."""
+    number = as_number(df, name)
+    return F.when(number.cast("double") == F.floor(number.cast("double")), number.try_cast("bigint"))
+
+
+def is_fractional(df: DataFrame, name: str) -> Column:
+    """Whether a cell holds a number that is no whole number a long can hold."""
+    return truth(as_number(df, name).isNotNull() & as_whole_number(df, name).isNull())
+
+
+# Date texts read besides ISO dates: month first, as the public CSV export of the ledger writes them.
+DATE_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy")
 
 
 def as_timestamp(df: DataFrame, name: str) -> Column:
-    """Wall-clock timestamp of a column; text that is no date becomes null."""
-    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
-        return F.col(f"`{name}`")
-    return F.col(f"`{name}`").try_cast("timestamp_ntz")
+    """Wall-clock timestamp of a column, ISO or one of ``DATE_FORMATS``; other text becomes null."""
+    column, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        return column
+    iso = column.try_cast("timestamp_ntz")
+    if not isinstance(kind, T.StringType):
+        return iso
+    return F.coalesce(iso, *[F.try_to_timestamp(column, F.lit(f)).cast("timestamp_ntz") for f in DATE_FORMATS])
 
 
 def truth(condition: Column) -> Column:
@@ -77,12 +98,12 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.when(whole > 0, round_half_even(share, digits)).otherwise(F.lit(0.0))
 
 
-def right_closed_label(value: Column, floor, bins) -> Column:
-    """Label of the right-closed bin holding the value; null outside all bins."""
-    label = F.when(value <= floor, F.lit(None).cast("string"))
-    for upper, name in bins:
-        label = label.when(value <= upper, F.lit(name))
-    return label.otherwise(F.lit(None).cast("string"))
+def right_closed_label(value: Column, bins) -> Column:
+    """Label of the right-closed bin holding the value; the first bin has no lower, the last no upper bound."""
+    label = F.lit(bins[-1][1])
+    for upper, name in reversed(bins[:-1]):
+        label = F.when(value <= upper, F.lit(name)).otherwise(label)
+    return label
 
 
 def attach_row(df: DataFrame, row: DataFrame) -> DataFrame:

@@ -1,10 +1,10 @@
-"""Exact order statistics without a global sort partition.
+"""Exact order statistics without a global sort, by one plan for every size.
 
-Equal values are first collapsed to one row with a count (map-side combined), then the value
-axis is cut into buckets whose bounds are literals taken from a mergeable sketch.  Ranks are a
-prefix sum over at most ``MAX_BUCKETS`` bucket totals plus a running sum inside one bucket, so
-no task ever sees more than one bucket of distinct values.  The sketch only balances the work:
-any bounds give the same exact ranks.
+Equal values are first collapsed to one row with a count (map-side combined). A value's place on a fixed
+logarithmic scale, which grows with the value and does not depend on the data, gives it three nested
+buckets, coarse to fine. A rank is the sum of the sizes of all lower buckets on each level plus a running sum
+inside the finest bucket. A window never holds more than ``FAN_OUT`` buckets, whatever the number of rows, and
+nothing is counted or sampled on the driver.
 """
 
 from __future__ import annotations
@@ -12,78 +12,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 256
-ROWS_PER_BUCKET = 1_000_000
+LEVEL_BITS = 16
+FAN_OUT = 1 << LEVEL_BITS
+# log1p of the largest double is below 710; infinities and NaN share the last bucket and are ordered inside it
+_TOP = 710.0
+_SCALE = float(1 << 36)
 
 
-def bucket_bounds(df: DataFrame, *columns: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> dict[str, list]:
-    """Ascending cut points per column; none where one bucket is small enough.
+def scale_position(value: Column) -> Column:
+    """A long that never falls as the value grows: signed log1p, to about 1.5e-11."""
+    number = value.cast("double")
+    size = F.least(F.log1p(F.abs(number)), F.lit(_TOP))
+    return F.floor(F.when(number < 0, -size).otherwise(size) * _SCALE).cast("bigint")
 
-    Only columns with more rows than a bucket holds are sketched, all in one further pass.
-    """
-    rows = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    wanted = {c: min(MAX_BUCKETS, -(-rows[c] // rows_per_bucket)) for c in columns}
-    large = [c for c in columns if wanted[c] > 1]
-    bounds: dict[str, list] = {c: [] for c in columns}
-    if large:
-        levels = {c: [i / wanted[c] for i in range(1, wanted[c])] for c in large}
-        sketch = df.agg(*[F.percentile_approx(c, levels[c], 10 * MAX_BUCKETS).alias(c) for c in large]).first()
-        bounds.update({c: sorted(set(sketch[c])) for c in large})
-    return bounds
-
-
-def bucket_of(value: Column, bounds: list) -> Column:
-    """Number of bounds below the value, as a balanced decision tree of literals."""
 
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value <= F.lit(bounds[middle]), search(low, middle)).otherwise(
-            search(middle + 1, high)
-        )
+def _lower_sizes(sizes: DataFrame, within: list[str], bucket: str, name: str) -> DataFrame:
+    """Adds the total size of all lower buckets of the same parent."""
+    order = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
+    return sizes.withColumn(name, F.sum("_size").over(order.orderBy(bucket)) - F.col("_size"))
 
-    return search(0, len(bounds))
 
-
-def value_ranks(df: DataFrame, value: str, keys: list[str] = (), bounds: list | None = None) -> DataFrame:
+def value_ranks(df: DataFrame, value: str, keys: list[str] = ()) -> DataFrame:
     """One row per distinct value: ``n`` copies holding the 1-based ranks ``lo..hi`` of ``total``.
 
-    Ranks are ascending within each key combination; null values are left out.  Without
-    ``bounds`` each key combination is one bucket, right for small inputs and many small groups.
+    Ranks are ascending within each key combination; null values are left out.
     """
     keys = list(keys)
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    if not bounds:
-        order = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-        return counted.select(
-            "*",
-            F.sum("n").over(order.orderBy(value)).alias("hi"),
-            F.sum("n").over(order).alias("total"),
-        ).withColumn("lo", F.col("hi") - F.col("n") + 1)
-
-    bucketed = counted.withColumn("_bucket", bucket_of(F.col(value), bounds))
-    # At most MAX_BUCKETS rows per key combination from here to the join.
-    per_key = Window.partitionBy(*keys)
-    offsets = (
-        bucketed.groupBy(*keys, "_bucket")
-        .agg(F.sum("n").alias("_size"))
-        .select(
-            *keys,
-            "_bucket",
-            (F.sum("_size").over(per_key.orderBy("_bucket")) - F.col("_size")).alias("_offset"),
-            F.sum("_size").over(per_key).alias("total"),
-        )
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    counted = counted.withColumn("_fine", scale_position(F.col(value)))
+    middle, coarse = F.shiftright("_fine", LEVEL_BITS), F.shiftright("_fine", 2 * LEVEL_BITS)
+
+    fine = counted.groupBy(*keys, "_fine").agg(F.sum("n").alias("_size"))
+    fine = fine.withColumn("_middle", middle).withColumn("_coarse", coarse)
+    per_middle = fine.groupBy(*keys, "_coarse", "_middle").agg(F.sum("_size").alias("_size"))
+    per_coarse = per_middle.groupBy(*keys, "_coarse").agg(F.sum("_size").alias("_size"))
+
+    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    per_coarse = _lower_sizes(per_coarse.withColumn("total", F.sum("_size").over(whole)), keys, "_coarse", "_below_coarse")
+    per_middle = _lower_sizes(per_middle, [*keys, "_coarse"], "_middle", "_below_middle")
+    fine = _lower_sizes(fine, [*keys, "_middle"], "_fine", "_below_fine")
+    below = fine.drop("_size").join(per_middle.drop("_size", "_coarse"), [*keys, "_middle"])
+    below = below.join(per_coarse.drop("_size"), [*keys, "_coarse"]).select(
+        *keys, "_fine", "total", (F.col("_below_coarse") + F.col("_below_middle") + F.col("_below_fine")).alias("_below")
     )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(value)
+    inside = Window.partitionBy(*keys, "_fine").orderBy(value)
     return (
-        bucketed.withColumn("_running", F.sum("n").over(inside))
-        .join(offsets, [*keys, "_bucket"])
-        .withColumn("hi", F.col("_offset") + F.col("_running"))
+        counted.withColumn("_running", F.sum("n").over(inside))
+        .join(below, [*keys, "_fine"])
+        .withColumn("hi", F.col("_below") + F.col("_running"))
         .withColumn("lo", F.col("hi") - F.col("n") + 1)
         .select(*keys, value, "n", "lo", "hi", "total")
     )
@@ -117,8 +93,6 @@ def continuous_quantiles(ranks: DataFrame, value: str, levels: dict[str, float],
     )
 
 
-def exact_quantiles(df: DataFrame, value: str, levels: dict[str, float], bounds: list | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, levels: dict[str, float]) -> DataFrame:
     """One row of exact continuous quantiles over the whole frame."""
-    if bounds is None:
-        bounds = bucket_bounds(df, value)[value]
-    return continuous_quantiles(value_ranks(df, value, bounds=bounds), value, levels)
+    return continuous_quantiles(value_ranks(df, value), value, levels)

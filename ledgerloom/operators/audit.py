@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.calendar import month_start, spine
 from ..functions.expressions import as_number, as_timestamp, attach_row, canonical_row, count_if, percent, strip, truth
-from ..functions.ranks import bucket_bounds, exact_quantiles
+from ..functions.ranks import exact_quantiles
 from ..schema import LEDGER_COLUMNS
 from .cleaning import duplicate_groups, flag_duplicates
 
@@ -238,9 +238,8 @@ def issue_table(ledger: DataFrame, level: float = 0.999) -> DataFrame:
         {"_quantity": as_number(ledger, "Quantity"), "_price": as_number(ledger, "Price")}
     ).withColumn("_size", F.abs("_quantity"))
     quantity, price, size = F.col("_quantity"), F.col("_price"), F.col("_size")
-    bounds = bucket_bounds(numbers, "_size", "_price")
-    size_limit = exact_quantiles(numbers, "_size", {"limit": level}, bounds["_size"]).scalar()
-    price_limit = exact_quantiles(numbers, "_price", {"limit": level}, bounds["_price"]).scalar()
+    size_limit = exact_quantiles(numbers, "_size", {"limit": level}).scalar()
+    price_limit = exact_quantiles(numbers, "_price", {"limit": level}).scalar()
     issues = {
         "quantity <= 0": quantity <= 0,
         "quantity < 0": quantity < 0,
@@ -455,7 +454,7 @@ def sheet_overlaps(ledger: DataFrame) -> DataFrame:
         F.col("previous_max").alias("end"),
     ).select("s.sheet", "s.side", "pair", "start", "end")
     inside = (
-        dated.join(F.broadcast(sides), F.col("source_sheet") == F.col("sheet"))
+        dated.join(sides, F.col("source_sheet") == F.col("sheet"))
         .where(F.col("moment").between(F.col("start"), F.col("end")))
         .groupBy("pair")
         .agg(

@@ -10,15 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import as_number, as_timestamp, strip, truth
+from ..functions.expressions import as_number, as_timestamp, as_whole_number, strip, truth
 from ..schema import CLEAN_COLUMNS, LEDGER_COLUMNS, NON_PRODUCT_CODES, NON_PRODUCT_PREFIX
-from ..sources.sheets import FILE_BITS, ROW_BITS, require_ledger_columns
+from ..sources.sheets import require_ledger_columns, sheet_position
 
 _KEY = [f"`{c}`" for c in LEDGER_COLUMNS]
 
 
 def normalise(ledger: DataFrame) -> DataFrame:
-    """Trim text, upper-case stock codes and coerce numbers and dates; bad values become null."""
+    """Trim text, upper-case stock codes and coerce numbers and dates; bad values and fractional ids become null."""
     ledger = require_ledger_columns(ledger)
     if "source_order" not in ledger.columns:
         ledger = ledger.withColumn("source_order", F.monotonically_increasing_id())
@@ -29,7 +29,7 @@ def normalise(ledger: DataFrame) -> DataFrame:
         as_number(ledger, "Quantity").alias("Quantity"),
         as_timestamp(ledger, "InvoiceDate").alias("InvoiceDate"),
         as_number(ledger, "Price").cast("double").alias("Price"),
-        as_number(ledger, "Customer ID").cast("bigint").alias("Customer ID"),
+        as_whole_number(ledger, "Customer ID").alias("Customer ID"),
         strip(F.col("Country")).alias("Country"),
         "source_sheet",
         "source_order",
@@ -131,7 +131,11 @@ def clean_sheets(sheets: dict[str, DataFrame]) -> DataFrame:
         frame = frame.select(
             "*",
             F.lit(name).alias("source_sheet"),
-            (F.lit(i << (ROW_BITS + FILE_BITS)) + F.monotonically_increasing_id()).alias("source_order"),
+            sheet_position(
+                i,
+                F.shiftright(F.monotonically_increasing_id(), 33),
+                F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1),
+            ).alias("source_order"),
         )
         ledger = frame if ledger is None else ledger.unionByName(frame, allowMissingColumns=True)
     return clean_ledger(ledger)

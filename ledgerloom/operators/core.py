@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import money, round_half_even, sum_if
 from ..functions.ranks import continuous_quantiles, value_ranks
 from ..schema import CORE_SCHEMAS, FLAG_COLUMNS, PHYSICAL, PRODUCT_TYPES
+from ..sources.sheets import SHEET_SHIFT
 
 # Rows per block of source positions when numbering retained rows.
 BLOCK_BITS = 20
@@ -182,7 +183,9 @@ def build_invoices(clean: DataFrame, source_system: str, fingerprint: str) -> Da
 def build_lines(clean: DataFrame, source_system: str, fingerprint: str) -> DataFrame:
     numbered = number_rows(core_rows(clean))
     key = F.concat_ws(":", F.lit(source_system), "source_sheet", F.col("source_row_number").cast("string"))
-    lines = numbered.withColumn("source_line_key", key).withColumn("line_id", F.xxhash64("source_line_key"))
+    # sheet ordinal above, line number below: unique for any number of lines
+    line_id = F.shiftleft(F.shiftright("source_order", SHEET_SHIFT), SHEET_SHIFT) + F.col("source_row_number")
+    lines = numbered.withColumn("source_line_key", key).withColumn("line_id", line_id)
     return _finish(lines, "invoice_lines", source_system, fingerprint)
 
 

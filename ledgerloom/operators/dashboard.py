@@ -15,10 +15,8 @@ from ..functions.expressions import attach_row, count_if, percent, ratio, right_
 from ..schema import (
     CRM_ACTIONS,
     CRM_DEFAULT,
-    FREQUENCY_FLOOR,
     FREQUENCY_TIERS,
     MONETARY_BRACKETS,
-    MONETARY_FLOOR,
 )
 from .eda import mean
 
@@ -236,8 +234,8 @@ def rfm_snapshot(snapshot: DataFrame, country: str | None = None) -> DataFrame:
     )
 
 
-def _binned(df: DataFrame, value: str, floor, bins, label_column: str) -> DataFrame:
-    label = right_closed_label(F.coalesce(value, F.lit(0)), floor, bins)
+def _binned(df: DataFrame, value: str, bins, label_column: str) -> DataFrame:
+    label = right_closed_label(F.coalesce(value, F.lit(0)), bins)
     counted = df.groupBy(label.alias(label_column)).agg(F.count(F.lit(1)).alias("n"))
     names = df.sparkSession.createDataFrame(
         [(i, name) for i, (_, name) in enumerate(bins)], f"position int, {label_column} string"
@@ -257,11 +255,11 @@ def _binned(df: DataFrame, value: str, floor, bins, label_column: str) -> DataFr
 
 
 def frequency_tiers(snapshot: DataFrame) -> DataFrame:
-    return _binned(snapshot, "frequency", FREQUENCY_FLOOR, FREQUENCY_TIERS, "tier")
+    return _binned(snapshot, "frequency", FREQUENCY_TIERS, "tier")
 
 
 def monetary_brackets(snapshot: DataFrame) -> DataFrame:
-    return _binned(snapshot, "monetary", MONETARY_FLOOR, MONETARY_BRACKETS, "bracket")
+    return _binned(snapshot, "monetary", MONETARY_BRACKETS, "bracket")
 
 
 # --- segments ----------------------------------------------------------------------------------------

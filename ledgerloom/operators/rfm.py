@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import attach_row, count_if
-from ..functions.ranks import bucket_bounds, value_ranks
+from ..functions.ranks import value_ranks
 
 RFM_COLUMNS = ["recency_days", "frequency", "monetary"]
 SCORE_COLUMNS = {
@@ -62,13 +62,13 @@ def _rank_score(rank: Column, total: Column) -> Column:
     return F.greatest(F.lit(1), F.floor((5 * (rank - 1) + steps - 1) / steps).cast("bigint"))
 
 
-def value_scores(active: DataFrame, metric: str, bounds: list, *, higher_is_better: bool) -> DataFrame:
+def value_scores(active: DataFrame, metric: str, *, higher_is_better: bool) -> DataFrame:
     """Score of every distinct value: the tie group's median quintile, halves to even.
 
     Quintiles grow with the rank, so the median over ranks lo..hi is the mean of the scores of
     its one or two middle ranks.
     """
-    ranks = value_ranks(active, metric, bounds=bounds)
+    ranks = value_ranks(active, metric)
     low, high, total = F.col("lo"), F.col("hi"), F.col("total")
     if not higher_is_better:
         low, high = total - high + 1, total - low + 1
@@ -81,13 +81,14 @@ def value_scores(active: DataFrame, metric: str, bounds: list, *, higher_is_bett
 def rfm_scores(frame: DataFrame) -> DataFrame:
     """Add the three 1-5 scores and their concatenation; inactive customers score 1."""
     active = frame.where(F.col("frequency") > 0)
-    bounds = bucket_bounds(active, *RFM_COLUMNS)
     scored = frame
     for metric, score in SCORE_COLUMNS.items():
-        table = value_scores(active, metric, bounds[metric], higher_is_better=metric != "recency_days")
-        scored = scored.join(table, metric, "left").withColumn(
-            score, F.when(F.col("frequency") > 0, F.coalesce(score, F.lit(1))).otherwise(F.lit(1))
-        )
+        # A score is a step function of the value: at most five value ranges, looked up without a join.
+        table = value_scores(active, metric, higher_is_better=metric != "recency_days")
+        steps = table.groupBy(F.col(score).alias("score")).agg(F.min(metric).alias("low"), F.max(metric).alias("high"))
+        packed = steps.agg(F.collect_list(F.struct("score", "low", "high")).alias("_steps"))
+        held = F.get(F.filter("_steps", lambda step: (F.col(metric) >= step["low"]) & (F.col(metric) <= step["high"])), F.lit(0))
+        scored = attach_row(scored, packed).withColumn(score, F.when(F.col("frequency") > 0, F.coalesce(held["score"], F.lit(1))).otherwise(F.lit(1))).drop("_steps")
     scores = list(SCORE_COLUMNS.values())
     return scored.select(
         *frame.columns, *scores, F.concat(*[F.col(s).cast("string") for s in scores]).alias("rfm_score")

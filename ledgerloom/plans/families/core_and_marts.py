@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ...operators import core, marts
-from ..oracle import FLAGS, SYSTEM
+from ..oracle import FLAGS, LINE_ID, SYSTEM
 from ..registry import day, moment, query, real, whole
 
 _PRINT = "(SELECT print FROM led_print)"
@@ -94,8 +94,8 @@ query(
 )
 query(
     "b10_invoice_lines",
-    lambda w: core.build_lines(w.clean(), w.source_system, w.fingerprint()).drop("line_id"),
-    f"""SELECT source_system, source_line_key, source_sheet, source_row_number, source_file_sha256,
+    lambda w: core.build_lines(w.clean(), w.source_system, w.fingerprint()),
+    f"""SELECT {LINE_ID} AS line_id, source_system, source_line_key, source_sheet, source_row_number, source_file_sha256,
         invoice_number, stock_code, customer_id, description, {moment('invoice_date')},
         quantity::BIGINT AS quantity, {real('unit_price', 'line_total')}, {FLAGS} FROM core_lines""",
 )

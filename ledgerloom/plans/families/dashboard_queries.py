@@ -11,10 +11,8 @@ from ...operators.rfm import snapshot_segments
 from ...schema import (
     CRM_ACTIONS,
     CRM_DEFAULT,
-    FREQUENCY_FLOOR,
     FREQUENCY_TIERS,
     MONETARY_BRACKETS,
-    MONETARY_FLOOR,
 )
 from ..registry import day, query, real, whole
 
@@ -266,9 +264,10 @@ query(
 )
 
 
-def _bins_sql(column, floor, bins, label):
-    rows, low = [], floor
+def _bins_sql(column, bins, label):
+    rows, low = [], "-'infinity'::DOUBLE"
     for i, (high, name) in enumerate(bins):
+        high = "'infinity'::DOUBLE" if high is None else high
         rows.append(f"({i}, '{name}', {low}, {high})")
         low = high
     return f"""SELECT b.position::BIGINT AS position, b.{label}, count(s.customer_id) AS customer_count,
@@ -281,12 +280,12 @@ def _bins_sql(column, floor, bins, label):
 query(
     "d14_frequency_tiers",
     lambda w: d.frequency_tiers(_snapshot(w)),
-    _bins_sql("frequency", FREQUENCY_FLOOR, FREQUENCY_TIERS, "tier"),
+    _bins_sql("frequency", FREQUENCY_TIERS, "tier"),
 )
 query(
     "d15_monetary_brackets",
     lambda w: d.monetary_brackets(_snapshot(w)),
-    _bins_sql("monetary", MONETARY_FLOOR, MONETARY_BRACKETS, "bracket"),
+    _bins_sql("monetary", MONETARY_BRACKETS, "bracket"),
 )
 query(
     "d16_segment_summary",

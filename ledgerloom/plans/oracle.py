@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from ..schema import DEFAULT_SOURCE_SYSTEM, FLAG_COLUMNS, NON_PRODUCT_CODES, PHYSICAL, PRODUCT_TYPES
-from ..sources.adapter import ADAPTER_SQL, ADAPTER_TABLES, SOURCE_ORDER
+from ..sources.adapter import ADAPTER_SQL, ADAPTER_TABLES, SHEETS, SOURCE_ORDER
 
 AS_OF = "DATE '2001-08-02'"
 SYSTEM = DEFAULT_SOURCE_SYSTEM
@@ -18,6 +18,8 @@ _KEY = "invoice, stock_code, description, quantity, invoice_date, price, custome
 _CODES = ", ".join(f"'{c}'" for c in NON_PRODUCT_CODES)
 _TYPES = " ".join(f"WHEN '{code}' THEN '{kind}'" for code, kind in PRODUCT_TYPES.items())
 FLAGS = ", ".join(FLAG_COLUMNS)
+# sheets in reading order, 2^51 line numbers for each
+LINE_ID = f"((list_position({SHEETS}, source_sheet) - 1)::BIGINT * 2251799813685248 + source_row_number)"
 
 BLOCKS = {
     "led_raw": f"""

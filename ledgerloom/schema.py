@@ -72,23 +72,21 @@ PRODUCT_TYPES = {
 
 INVOICE_TYPES = ["CANCELLATION", "BAD_DEBT_ADJUSTMENT", "INVENTORY_ADJUSTMENT", "SALE"]
 
-# (upper bound inclusive, label); lower bound of the first bin is exclusive.
-FREQUENCY_FLOOR = -1
+# (upper bound inclusive, label); the first bin has no lower bound, the last no upper bound.
 FREQUENCY_TIERS = [
     (0, "0 Orders (Registered/No Purchase)"),
     (1, "1 Order (One-Time)"),
     (4, "2-4 Orders (Occasional)"),
     (9, "5-9 Orders (Frequent)"),
-    (1_000_000, "10+ Orders (VIP Power Buyers)"),
+    (None, "10+ Orders (VIP Power Buyers)"),
 ]
-MONETARY_FLOOR = -1_000_000_000_000
 MONETARY_BRACKETS = [
     (0, "<= £0 (Net Negative)"),
     (500, "< £500 (Low Spend)"),
     (2_000, "£500 - £2,000 (Medium)"),
     (5_000, "£2,000 - £5,000 (High)"),
     (20_000, "£5,000 - £20,000 (Premium)"),
-    (1_000_000_000_000, "£20,000+ (Enterprise VIP)"),
+    (None, "£20,000+ (Enterprise VIP)"),
 ]
 
 CRM_DEFAULT = "Standard automated engagement."

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Broadcast is chosen by Spark from measured sizes only; nothing in this package hints one on
@@ -35,7 +33,7 @@ def tune(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """The folder for staged tables: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder. On a cluster a
+    Only a local session without that setting gets a folder, below its warehouse. On a cluster a
     machine-local folder would not be visible to other executors, so its absence is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,6 +41,6 @@ def scratch_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    path = tempfile.mkdtemp(prefix="ledgerloom-")
+    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/ledgerloom-scratch"
     spark.conf.set("spark.checkpoint.dir", path)
     return path

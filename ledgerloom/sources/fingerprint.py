@@ -1,8 +1,8 @@
-"""Order-free content fingerprints of ledgers and per-file checksums."""
+"""Content fingerprints of ledgers, and fingerprints of text as it arrived."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import canonical_row
@@ -14,15 +14,22 @@ def ledger_fingerprint(ledger: DataFrame) -> DataFrame:
     Each row is rendered as text and hashed; the sum of the 48-bit row hashes does not depend
     on row or file order, so the pass is a single distributed aggregate of any size.
     """
-    digest = F.conv(F.substring(F.md5(canonical_row(ledger)), 1, 12), 16, 10).cast("decimal(15,0)")
+    digest = F.conv(F.substring(F.md5(canonical_row(ledger)), 1, 12), 16, 10).cast("decimal(28,0)")
     return ledger.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(digest), F.lit(0)).alias("_sum")).select(
         "rows",
         F.sha2(F.concat_ws(":", F.col("rows").cast("string"), F.col("_sum").cast("string")), 256).alias("sha256"),
     )
 
 
-def file_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """sha256 and size per file, for sources made of files below Spark's 2 GB binary limit."""
-    return spark.read.format("binaryFile").load(path).select(
-        "path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
+def arrival_fingerprint(text_ledger: DataFrame, position: list[str]) -> DataFrame:
+    """One row (rows, sha256) over the raw cells and the place of every row, for the decision to reuse a snapshot.
+
+    Cells are taken as they were read, before any coercion, and written as JSON, so no two different rows look
+    alike; a row that moved, or a cell that was damaged in another way, changes the result.
+    """
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in text_ledger.columns]), {"ignoreNullFields": "false"})
+    place = F.to_json(F.struct(*[F.col(f"`{c}`").alias(f"p{i}") for i, c in enumerate(position)]))
+    digest = F.conv(F.substring(F.sha2(F.concat(place, row), 256), 1, 15), 16, 10).cast("decimal(28,0)")
+    return text_ledger.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(digest), F.lit(0)).alias("_sum")).select(
+        "rows", F.sha2(F.concat_ws(":", F.col("rows").cast("string"), F.col("_sum").cast("string")), 256).alias("sha256")
     )

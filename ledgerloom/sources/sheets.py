@@ -4,18 +4,17 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import LEDGER_COLUMNS, TEXT_LEDGER_SCHEMA
 
-# Bits of the source position: sheet | file | row inside the file.
-ROW_BITS = 36
+# Bits of the source position: sheet | file | row inside the file. A position that does not fit is an error.
+SHEET_BITS = 12
 FILE_BITS = 22
-
-# A listing of this many paths stays near 10 MB, safe to send to every executor.
-MAX_BROADCAST_FILES = 50_000
+ROW_BITS = 29
+SHEET_SHIFT = FILE_BITS + ROW_BITS
 
 # The file listing and the file metadata column write the slashes after a scheme differently,
 # so the listing carries every spelling and rows match without a per-row rewrite.
@@ -32,14 +31,24 @@ def require_ledger_columns(ledger: DataFrame) -> DataFrame:
     return ledger
 
 
-def _file_table(spark: SparkSession, files: list[str]) -> DataFrame:
-    def written_order(path: str):
-        part = re.search(r"part-(\d+)", path)
-        return (int(part.group(1)) if part else 0, path)
+def sheet_position(sheet: int, file: Column, row: Column) -> Column:
+    """The sortable source position of a row."""
+    if sheet >= 1 << SHEET_BITS:
+        raise ValueError(f"more than {1 << SHEET_BITS} sheets")
+    fits = (file < 1 << FILE_BITS) & (row < 1 << ROW_BITS)
+    packed = F.lit(sheet << SHEET_SHIFT) + F.shiftleft(file.cast("bigint"), ROW_BITS) + row
+    return F.when(fits, packed).otherwise(F.raise_error(F.lit("source position out of range")).cast("bigint"))
+
 
+def _part_number(path: str) -> int | None:
+    part = re.search(r"part-(\d+)", path.rsplit("/", 1)[-1])
+    return int(part.group(1)) if part else None
+
+
+def _file_table(spark: SparkSession, files: list[str]) -> DataFrame:
     rows = [
         (spelling, index)
-        for index, path in enumerate(sorted(files, key=written_order))
+        for index, path in enumerate(sorted(files, key=lambda p: (_part_number(p) or 0, p)))
         for spelling in {_SCHEME.sub(r"\1:/", path), _SCHEME.sub(r"\1:///", path), path}
     ]
     # Grouping declares the path unique, which lets Catalyst drop the join wherever the source
@@ -52,20 +61,22 @@ def read_sheet(spark: SparkSession, path: str, name: str, position: int) -> Data
     """One Parquet sheet plus ``source_sheet`` and the sortable ``source_order``."""
     sheet = spark.read.parquet(path)
     files = sheet.inputFiles()
-    listing = _file_table(spark, files)
-    if len(files) <= MAX_BROADCAST_FILES:
-        listing = F.broadcast(listing)
+    parts = [_part_number(f) for f in files]
     located = sheet.select(
         "*",
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.row_index").alias("_row"),
     )
-    base = position << (ROW_BITS + FILE_BITS)
+    if None not in parts and len(set(parts)) == len(parts):
+        # Files of a snapshot carry their order in their name.
+        located = located.withColumn("_file", F.regexp_extract("_path", r"part-(\d+)[^/]*$", 1).cast("bigint"))
+    else:
+        located = located.join(_file_table(spark, files), "_path", "left")
     file = F.coalesce("_file", F.raise_error(F.lit("row comes from an unlisted file")).cast("bigint"))
-    return located.join(listing, "_path", "left").select(
+    return located.select(
         *[F.col(f"`{c}`") for c in sheet.columns],
         F.lit(name).alias("source_sheet"),
-        (F.lit(base) + F.shiftleft(file, ROW_BITS) + F.col("_row")).alias("source_order"),
+        sheet_position(position, file, F.col("_row")).alias("source_order"),
     )
 
 

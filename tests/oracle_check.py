@@ -2,8 +2,7 @@
 
 Usage: python tests/oracle_check.py SF_DIR [--large-plans] [name-prefix ...]
 
-``--large-plans`` turns broadcasting off and cuts ranks into many small buckets, so the plans that
-large inputs get are the ones compared.
+``--large-plans`` turns broadcasting off, so the plans that large inputs get are the ones compared.
 """
 
 from __future__ import annotations
@@ -61,7 +60,6 @@ def compare(spark, con, name, run, sql, folder):
 
 if __name__ == "__main__":
     import __spark_entry__ as entry
-    from ledgerloom.functions import ranks
     from ledgerloom.session import build_session
 
     large = "--large-plans" in sys.argv
@@ -69,10 +67,9 @@ if __name__ == "__main__":
     prefixes = tuple(prefixes)
     extra = {}
     if large:
-        ranks.bucket_bounds.__kwdefaults__["rows_per_bucket"] = 200
         extra = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
     spark = build_session(
-        master="local[8]",
+        master="local[4]",
         **extra,
         **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false",
            "spark.ui.showConsoleProgress": "false"},

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.expressions import count_if, is_fractional
 from ledgerloom.operators.cleaning import clean_ledger, clean_sheets, duplicate_counters, duplicate_groups, normalise
 from ledgerloom.operators.validation import validate_ledger, validation_report
 from ledgerloom.schema import CLEAN_COLUMNS, FLAG_COLUMNS
@@ -107,3 +108,18 @@ def test_one_group_of_copies_may_dominate(spark, ledger):
     groups = duplicate_groups(normalise(many))
     assert [r["copies"] for r in groups.collect()] == [20_000]
     assert duplicate_counters(many).first()["within_sheet_duplicates_detected"] == 20_000
+
+
+def test_cells_that_are_no_numbers_or_dates(spark, ledger):
+    rows = ledger(
+        {"Invoice": "1", "Quantity": "NaN", "Price": "NaN"}, {"Invoice": "2", "Customer ID": "12345.7"}, {"Invoice": "3", "Customer ID": "NaN"},
+        {"Invoice": "4", "InvoiceDate": "12/1/2010 8:26"}, {"Invoice": "5", "InvoiceDate": "1/31/2011"}, {"Invoice": "6", "InvoiceDate": "31/1/2011"},
+        {"Invoice": "7", "Customer ID": "12345.0"}, {"Invoice": "8", "Customer ID": "1e30"},
+    )
+    got = {r["Invoice"]: r for r in clean_ledger(rows).collect()}
+    assert got["1"]["Quantity"] is None and got["1"]["Price"] is None and not got["1"]["has_valid_price"] and not got["1"]["is_valid_sale"]
+    assert [got[k]["Customer ID"] for k in "2378"] == [None, None, 12345, None]
+    assert [str(got[k]["InvoiceDate"]) for k in "456"] == ["2010-12-01 08:26:00", "2011-01-31 00:00:00", "None"]
+    counted = rows.agg(count_if(is_fractional(rows, "Customer ID")).alias("n")).first()["n"]
+    assert counted == 2
+    assert "non_numeric_quantity:1" in validation_report(rows).first()["errors"]

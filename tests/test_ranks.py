@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.calendar import week_ending_monday
 from ledgerloom.functions.expressions import round_half_even
-from ledgerloom.functions.ranks import bucket_bounds, continuous_quantiles, exact_quantiles, value_ranks
+from ledgerloom.functions.ranks import continuous_quantiles, exact_quantiles, scale_position, value_ranks
 
 
 @pytest.fixture(scope="module")
@@ -19,22 +19,27 @@ def values(spark):
     return frame.cache(), pd.DataFrame({"k": keys, "v": data})
 
 
-@pytest.mark.parametrize("rows_per_bucket", [10**9, 300])
-def test_ranks_equal_brute_force(values, rows_per_bucket):
+def test_ranks_equal_brute_force(values):
     frame, local = values
-    bounds = bucket_bounds(frame, "v", rows_per_bucket=rows_per_bucket)["v"]
-    assert bool(bounds) == (rows_per_bucket == 300)
-    got = {r["v"]: (r["n"], r["lo"], r["hi"], r["total"]) for r in value_ranks(frame, "v", bounds=bounds).collect()}
+    got = {r["v"]: (r["n"], r["lo"], r["hi"], r["total"]) for r in value_ranks(frame, "v").collect()}
     low, high = local.v.rank(method="min"), local.v.rank(method="max")
     want = {v: (int(h - l + 1), int(l), int(h), len(local)) for v, l, h in zip(local.v, low, high)}
     assert got == want
 
 
-def test_any_bounds_give_the_same_ranks(values):
-    frame, _ = values
-    plain = sorted(map(tuple, value_ranks(frame, "v").select("v", "lo", "hi").collect()))
-    odd = sorted(map(tuple, value_ranks(frame, "v", bounds=[-1.0, 5.0, 5.5, 1e9]).select("v", "lo", "hi").collect()))
-    assert plain == odd
+def test_ranks_of_extreme_and_close_values(spark):
+    numbers = [0.0, -0.0, 1e-300, -1e-300, 1e-12, 2e-12, 1.0, 1.0 + 2**-52, -1.0, 5e9, 5e9 + 1, 1e308, -1e308, float("inf"), float("-inf")]
+    frame = spark.createDataFrame([(v,) for v in numbers + [1.0, None]], "v double")
+    got = {r["v"]: (r["lo"], r["hi"]) for r in value_ranks(frame, "v").collect()}
+    local = pd.Series(numbers + [1.0])
+    low, high = local.rank(method="min"), local.rank(method="max")
+    assert got == {v: (int(l), int(h)) for v, l, h in zip(local, low, high)}
+
+
+def test_scale_never_falls(spark):
+    numbers = sorted(np.random.default_rng(3).normal(0, 1, 4000) * 10.0 ** np.random.default_rng(4).integers(-20, 20, 4000))
+    places = [r[0] for r in spark.createDataFrame([(float(v),) for v in numbers], "v double").coalesce(1).select(scale_position(F.col("v"))).collect()]
+    assert places == sorted(places)
 
 
 def test_quantiles_equal_numpy_overall_and_per_key(values):
@@ -43,8 +48,7 @@ def test_quantiles_equal_numpy_overall_and_per_key(values):
     got = exact_quantiles(frame, "v", levels).first()
     for name, level in levels.items():
         assert got[name] == pytest.approx(np.quantile(local.v, level), abs=1e-9)
-    bounds = bucket_bounds(frame, "v", rows_per_bucket=300)["v"]
-    per_key = continuous_quantiles(value_ranks(frame, "v", ["k"], bounds), "v", {"m": 0.5}, ["k"])
+    per_key = continuous_quantiles(value_ranks(frame, "v", ["k"]), "v", {"m": 0.5}, ["k"])
     assert {r["k"]: pytest.approx(r["m"]) for r in per_key.collect()} == local.groupby("k").v.median().to_dict()
 
 

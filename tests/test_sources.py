@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.pipeline import run_clean
-from ledgerloom.sources.fingerprint import file_checksums, ledger_fingerprint
-from ledgerloom.sources.manifest import file_sizes
-from ledgerloom.sources.sheets import read_sheets, read_text_sheets, snapshot_sheets, write_raw_snapshot
+from ledgerloom.sources.fingerprint import arrival_fingerprint, ledger_fingerprint
+from ledgerloom.sources.manifest import source_files
+from ledgerloom.sources.sheets import TEXT_POSITION, read_sheets, read_text_sheets, sheet_position, snapshot_sheets, write_raw_snapshot
 from ledgerloom.sources.store import CoreStore
 
 
@@ -49,14 +49,42 @@ def test_fingerprint_ignores_order_and_sees_one_changed_cell(spark, text_sheets)
     assert ledger_fingerprint(changed).first()["sha256"] != print_["sha256"]
 
 
-def test_file_checksums_and_sizes(spark, text_sheets):
-    import hashlib
+def test_source_files_have_names_sizes_and_times(spark, text_sheets):
     import pathlib
 
-    path = text_sheets["first"]
-    content = pathlib.Path(path).read_bytes()
-    assert file_checksums(spark, path).first()["sha256"] == hashlib.sha256(content).hexdigest()
-    assert file_sizes(spark, path).first()["bytes"] == len(content)
+    rows = {r["source_sheet"]: r for r in source_files(spark, text_sheets).collect()}
+    for name, path in text_sheets.items():
+        files = [p for p in ([pathlib.Path(path)] if pathlib.Path(path).is_file() else pathlib.Path(path).glob("*.csv"))]
+        assert rows[name]["bytes"] in {f.stat().st_size for f in files} and rows[name]["changed_at"] is not None
+
+
+def test_arrival_fingerprint_sees_order_and_damage(spark, tmp_path):
+    def arrived(name, lines):
+        (tmp_path / name).mkdir(exist_ok=True)
+        (tmp_path / name / "x.csv").write_text("Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n" + "\n".join(lines))
+        return arrival_fingerprint(read_text_sheets(spark, {"s": str(tmp_path / name)}), TEXT_POSITION).first()["sha256"]
+
+    rows = ["1,A,x,?5,2011-01-01,1,1,UK", "2,B,y|z,2,2011-01-01,1.0000001,1,UK"]
+    first = arrived("a", rows)
+    assert arrived("a", rows) == first
+    assert arrived("a", rows[::-1]) != first
+    assert arrived("a", [rows[0].replace("?5", "abc"), rows[1]]) != first
+    assert arrived("a", [rows[0], rows[1].replace("1.0000001", "1.0000002")]) != first
+
+
+def test_many_sheets_keep_their_order_and_misfits_are_errors(spark):
+    frames = [spark.range(2).select(sheet_position(i, F.lit(3), F.col("id")).alias("p")).collect() for i in (0, 31, 32, 33, 4095)]
+    places = [r["p"] for rows in frames for r in rows]
+    assert places == sorted(places) and len(set(places)) == len(places) and places[0] >= 0
+    with pytest.raises(ValueError):
+        sheet_position(4096, F.lit(0), F.lit(0))
+    with pytest.raises(Exception, match="out of range"):
+        spark.range(1).select(sheet_position(0, F.lit(1 << 22), F.col("id"))).collect()
+
+
+def test_digest_sums_do_not_overflow(spark):
+    total = spark.range(3).select(F.lit("9" + "0" * 25).cast("decimal(28,0)").alias("d")).agg(F.sum("d")).first()[0]
+    assert int(total) == 27 * 10**25
 
 
 def test_publish_replaces_one_namespace_atomically(spark, house, tmp_path):
