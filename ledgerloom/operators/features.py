@@ -22,13 +22,20 @@ def customer_features(
     as_of: date,
     *,
     source_system: str = DEFAULT_SOURCE_SYSTEM,
+    checked: bool = True,
 ) -> DataFrame:
-    """One row per customer from activity up to and including ``as_of``."""
+    """One row per customer from activity up to and including ``as_of``.
+
+    ``checked`` warns if later activity exists and raises if the result breaks the feature contract.
+    """
+    if checked:
+        warn_on_leakage(mart_customer_daily, as_of)
     bounded = mart_customer_daily.where(F.col("calendar_day") <= F.lit(as_of))
     described = describe_customers(
         namespace(customers, source_system), customer_lifetime(bounded), as_of
     )
-    return described.withColumn("reference_date", F.lit(as_of)).select(*FEATURE_COLUMNS)
+    features = described.withColumn("reference_date", F.lit(as_of)).select(*FEATURE_COLUMNS)
+    return validate_features(features) if checked else features
 
 
 def feature_violations(features: DataFrame) -> DataFrame:

@@ -250,10 +250,10 @@ def missing_columns(core: Core) -> list[str]:
 
 
 def required_columns_check(core: Core) -> DataFrame:
-    """Per table, the number of contract columns the stored table lacks."""
+    """Per table, the number of contract columns it lacks; give it tables opened with the schema of their files."""
     missing = missing_columns(core)
     return union_results(
-        frame.limit(1).agg(F.lit(sum(m.startswith(f"{table}.") for m in missing)).alias("n")).select(
+        frame.agg(F.lit(sum(m.startswith(f"{table}.") for m in missing)).alias("n")).select(
             *compared(F.lit("schema.required_columns"), F.lit(table), F.lit(0), F.col("n"))
         )
         for table, frame in core.items()
@@ -275,7 +275,10 @@ def nullability_check(core: Core) -> DataFrame:
 
 
 def decimal_storage_check(core: Core) -> DataFrame:
-    """Money columns not stored as decimals of the contracted precision and scale 2, per table."""
+    """Money columns not stored as decimals of the contracted precision and scale 2, per table.
+
+    As above, the tables have to be opened with the schema of their files to say anything about storage.
+    """
     frames = []
     for table, frame in core.items():
         wrong = 0
@@ -284,7 +287,7 @@ def decimal_storage_check(core: Core) -> DataFrame:
                 stored = frame.schema[column].dataType if column in frame.columns else None
                 wrong += stored != T.DecimalType(precision, 2)
         frames.append(
-            frame.limit(1).agg(F.lit(wrong).alias("n")).select(
+            frame.agg(F.lit(wrong).alias("n")).select(
                 *compared(F.lit("financial.decimal_storage"), F.lit(table), F.lit(0), F.col("n"))
             )
         )

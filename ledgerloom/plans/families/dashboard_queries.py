@@ -4,17 +4,10 @@ from __future__ import annotations
 
 from datetime import date
 
-
-
 from ...operators import dashboard as d
 from ...operators.rfm import snapshot_segments
-from ...schema import (
-    CRM_ACTIONS,
-    CRM_DEFAULT,
-    FREQUENCY_TIERS,
-    MONETARY_BRACKETS,
-)
-from ..registry import day, query, real, whole
+from ...schema import CRM_ACTIONS, CRM_DEFAULT, FREQUENCY_TIERS, MONETARY_BRACKETS
+from ..registry import STATEMENTS, day, query, real, whole
 
 START, END, COUNTRY = date(1996, 1, 1), date(2000, 12, 31), "NATION_3"
 _SPAN = "calendar_day BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'"
@@ -347,3 +340,37 @@ query(
     LEFT JOIN rfm_summary AS s ON s.segment = n.segment""",
     RFM_BLOCKS,
 )
+
+# --- the windowed queries once more over the whole marts ---------------------------------------------
+
+
+def _over_everything(sql, extra=None):
+    """The same statement without its date and country window."""
+
+    def opened(text):
+        return text.replace(_HERE, "TRUE").replace(_SPAN, "TRUE").replace(" WHERE primary_country = 'NATION_3'", "")
+
+    return opened(sql), {name: opened(block) for name, block in (extra or {}).items()} or None
+
+
+def _whole_trend(w):
+    return d.daily_sales_trend(_sales(w))
+
+
+def _whole_shares(w):
+    return d.country_shares(d.sales_by_country(_sales(w)), d.sales_kpis(_sales(w)).select("net_sales").scalar())
+
+
+_WHOLE = {
+    "d04_daily_sales_trend": _whole_trend,
+    "d05_sales_by_country": lambda w: d.sales_by_country(_sales(w)),
+    "d06_merchandise_breakdown": lambda w: d.merchandise_breakdown(_sales(w)),
+    "d08_customer_daily_trend": lambda w: d.customer_daily_trend(_buyers(w)),
+    "d10_rfm_snapshot": lambda w: d.rfm_snapshot(_snapshot(w)),
+    "d12_resample_weekly": lambda w: d.resample_trend(_whole_trend(w), "Weekly"),
+    "d12_resample_monthly": lambda w: d.resample_trend(_whole_trend(w), "Monthly"),
+    "d13_country_shares": _whole_shares,
+    "d17_cumulative_net_sales": lambda w: d.cumulative_net_sales(_whole_trend(w)),
+}
+for _name, _run in _WHOLE.items():
+    query(f"{_name}_whole", _run, *_over_everything(*STATEMENTS[_name]))

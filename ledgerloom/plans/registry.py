@@ -13,6 +13,8 @@ from .warehouse import Warehouse, warehouse
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+# What each oracle text was composed from, for families that register a variant of it.
+STATEMENTS: dict[str, tuple[str, dict[str, str] | None]] = {}
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -38,6 +40,7 @@ def query(name: str, run: Callable[[Warehouse], DataFrame], sql: str | None = No
     QUERIES[name] = lambda spark, folder: portable(run(warehouse(spark, folder)))
     if sql is not None:
         ORACLES[name] = compose(sql, extra)
+        STATEMENTS[name] = (sql, extra)
 
 
 # --- small helpers that spell oracle select lists ------------------------------------------

@@ -103,6 +103,19 @@ class Warehouse:
     def core(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in CORE_TABLES}
 
+    def stored_core(self) -> dict[str, DataFrame]:
+        """The core tables opened with the schema that their files have, not the declared one."""
+        for name in CORE_TABLES:
+            self.table(name)
+        return {name: self.spark.read.parquet(f"{self.root}/{name}") for name in CORE_TABLES}
+
+    def close(self) -> None:
+        """Remove this run's staged tables; the folder is this warehouse's own."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self._frames.clear()
+        _OPEN.pop((self.spark.sparkContext.applicationId, self.folder), None)
+
     def table(self, name: str) -> DataFrame:
         if name in MARTS:
             return self.stage(name, lambda: self.build_mart(name), MART_ORDER[name])
