@@ -4,14 +4,16 @@ A seed is a fixed mask over a window of words: only the marked positions are has
 an ignored position does not hide the passage. All masks are applied at every position of every benchmark
 item and of every document; equal hashes are joined. A hit fixes how item and document lie on each
 other; along that line every word is then compared, and the passage counts where a window of ``VERIFY``
-words has at least ``EQUAL_PERCENT`` hundredths equal. The words around a hit decide, not the hit.
+words has at least ``EQUAL_PERCENT`` hundredths equal. The words around a hit decide, not the hit. The masks are chosen
+so that any two substitutions in a window of ``VERIFY`` words leave one of them a place to hit: no passage that
+would pass the verification is missed.
 
 Most document positions hit nothing. A bitmap of fixed size (8 MB) with one bit for each benchmark hash drops them
 inside the scan; it is broadcast, and its size does not depend on the data. A bitmap that fills up lets
 more rows through to the join but never changes the result.
 
-Items of fewer words than ``SPAN`` use one dense mask of ``SHORT_SPAN`` words; items shorter than that are too short
-to show anything and never match. Items of equal text are one item with the smallest id.
+Items of fewer than ``VERIFY`` words count only if all their words are equal; those of fewer than ``SPAN`` use one dense
+mask of ``SHORT_SPAN`` words, and items shorter than that show nothing and never match. Items of equal text are one item with the smallest id.
 Defined results: null or blank texts contain nothing; rows repeating a doc_id are judged by their own texts;
 an empty benchmark or document table gives no rows and drops nothing.
 """
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.staging import staged
 from ledgerloom.llm.text import hashed_words, mix, row_ranges
 
-MASKS = ("110101100111", "111001011011", "101110011101", "110011101011")
+MASKS = ("10101111", "11100111", "11101101")
 SPAN = len(MASKS[0])
 SHORT_SPAN = 6
 VERIFY = 12
@@ -147,7 +149,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(same) < window:
                 continue
             sums = np.concatenate([[0], np.cumsum(same)])
-            good = np.flatnonzero(100 * (sums[window:] - sums[:-window]) >= EQUAL_PERCENT * window)
+            percent = EQUAL_PERCENT if window == VERIFY else 100
+            good = np.flatnonzero(100 * (sums[window:] - sums[:-window]) >= percent * window)
             if len(good):
                 begin, end = int(good[0]), int(good[-1]) + window
                 kept.append(row)
