@@ -18,9 +18,9 @@ Buckets are never expanded into all their pairs:
 2. Every class is tried against one leader of each of its buckets; the leader with the best estimate is
    confirmed. A group of near copies thereby falls together at a cost linear in its size.
 3. Only buckets that still hold several components are searched, and only across components. A bucket
-   of over ``BLOCK`` members is cut into blocks, and each pair of blocks is one task's work. Twice, the
-   best-looking pair of each two components is confirmed, which joins what belongs together. Then
-   every likely pair that is still across components is confirmed, so no link is left out.
+   of over ``BLOCK`` members is cut into blocks, and each pair of blocks is one task's work. First the best-looking
+   pair of each two components is confirmed, which joins what belongs together. Then every likely
+   pair that is still across components is confirmed, so no link is left out.
 
 Defined results: a null, empty or blank text has an empty set (size 0) and is linked with nothing; fewer words
 than a shingle make one shingle of all words. Rows that repeat a doc_id are judged by their own texts.
@@ -47,7 +47,7 @@ SAMPLE = 1024
 SKETCH_BITS = 2048
 MARGIN_WHOLE, MARGIN_SAMPLED = 0.035, 0.1
 BLOCK = 1000
-BEST_ROUNDS = 2
+EARLY_ROUNDS = 2  # of joining components before the last search
 _PERMUTATIONS = BANDS * ROWS
 _WORDS = SKETCH_BITS // 64
 _U = np.uint64
@@ -292,11 +292,11 @@ def _judged(docs: DataFrame, width: int, percent: int) -> DataFrame:
     members = staged(keyed.join(buckets, "key"), "members")
 
     links = confirmed(_to_leaders(members, classes, percent), classes, docs, width, percent)
-    roots = components(links)
-    for best in (*[True] * BEST_ROUNDS, False):
+    roots = staged(components(links, rounds=EARLY_ROUNDS), "roots")
+    for best in (True, False):
         more = confirmed(_within_open_buckets(members, classes, roots, percent, best), classes, docs, width, percent)
         links = links.unionByName(more)
-        roots = components(links)
+        roots = staged(components(links, rounds=EARLY_ROUNDS if best else None), "roots")
 
     placed = first.join(roots.toDF("class", "root"), "class", "left").select("digest", "class_id", F.coalesce("root", "class").alias("root"))
     placed = staged(placed, "placed-classes")
