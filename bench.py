@@ -55,12 +55,15 @@ def main() -> None:
 
     registered = catalog.queries()
 
+    def written(df, name):
+        df.write.mode("overwrite").parquet(f"{house.root}/bench/{name}")
+
     def clean_pipeline():
-        run_noop(cleaning.clean_ledger(house.raw()))
+        written(cleaning.clean_ledger(house.raw()), "clean")
 
     def core_load():
-        for frame in core.build_core(house.clean(), house.source_system, house.fingerprint()).values():
-            run_noop(frame)
+        for name, frame in core.build_core(house.clean(), house.source_system, house.fingerprint()).items():
+            written(frame, name)
 
     def validation_suite():
         registered["q54_run_suite"](spark, folder).collect()
@@ -81,11 +84,11 @@ def main() -> None:
         timings[name] = round(statistics.median(samples), 3)
     timings["staging_from_raw_tables_cold"] = round(staging, 3)
 
-    total = round(sum(v for k, v in timings.items() if k != "staging_from_raw_tables_cold"), 3)
+    total = round(sum(timings.values()), 3)
     print(
         json.dumps(
             {
-                "metric": "sum of median query seconds, warm",
+                "metric": "sum of median query seconds, warm, and of cold staging",
                 "value": total,
                 "unit": "sec",
                 "queries": timings,
@@ -95,6 +98,7 @@ def main() -> None:
             }
         )
     )
+    house.close()
     spark.stop()
 
 
