@@ -42,6 +42,14 @@ def test_scale_never_falls(spark):
     assert places == sorted(places)
 
 
+def test_only_coarse_buckets_meet_in_one_task(values):
+    plan = value_ranks(values[0], "v")._jdf.queryExecution().executedPlan().toString()
+    single = [line for line in plan.splitlines() if "SinglePartition" in line]
+    assert len(single) <= 1 and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    keyed = value_ranks(values[0], "v", ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in keyed
+
+
 def test_quantiles_equal_numpy_overall_and_per_key(values):
     frame, local = values
     levels = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.999, "e": 1.0}
