@@ -12,7 +12,7 @@ round's documents (one in ``SHARE`` of all training documents, so it grows with
 averaged by the tokens they saw, in two levels of grouped sums. Weights have a fixed size, about half a megabyte.
 Scoring carries the state through the whole document, so windows change nothing in the result.
 
-Counts of the ``HEAD`` most frequent words (a fixed number) are broadcast; the others are joined by a shuffle, after
+Counts of the at most ``HEAD`` most frequent words (a fixed bound) are broadcast; the others are joined by a shuffle, after
 repeats inside a document are summed.
 
 Defined results: a null or blank text is the end token alone. Ids decide what is held out; a null id counts as the
@@ -42,6 +42,7 @@ STEPS, LANES = 16, 64
 ROUNDS, SHARE = 4, 32
 RATE = 0.01
 CLIP = 1.0
+STEPS_PER_DOUBLING = 64
 END = 0  # the end token's number; no word hashes to it
 HELD_OUT = 10
 _CHUNK = 8192
@@ -338,7 +339,15 @@ def lexicon_of(docs: DataFrame) -> tuple[Lexicon, DataFrame]:
     training = docs.where(_in_training())
     counts = training.select("text").mapInArrow(_count, "hash long, tail long, n long").groupBy("hash")
     counts = staged(counts.agg(F.min("tail").alias("tail"), F.sum("n").alias("n")), "word-counts")
-    head = counts.orderBy(F.desc("n"), "hash").limit(HEAD).toPandas()
+    # Words are taken by whole frequency steps while they fit; a few thousand steps cover all counts.
+    step = F.floor(F.log2("n") * STEPS_PER_DOUBLING).cast("int")
+    fits, taken = None, 0
+    for row in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        taken += row["count"]
+        if taken > HEAD:
+            break
+        fits = row.step
+    head = counts.where(F.lit(False) if fits is None else step >= fits).toPandas()
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("types")).first()
     by_tail = counts.groupBy("tail").agg(F.sum(F.col("n") + 0.1).alias("mass")).toPandas()
     mass = np.zeros(TAIL_CLASSES)
