@@ -397,9 +397,14 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def trained(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> dict[str, np.ndarray] | None:
-    """Fit on at most ``documents`` documents that hold a digit or at sign, chosen by a hash of their text."""
-    sample = docs.where(F.col("text").rlike(CARRIER)).select(F.xxhash64("text").alias("rank"), "text")
-    sample = sample.orderBy("rank", "text").limit(documents)
+    """Fit on about ``documents`` different texts that hold a digit or at sign, and at most so many.
+
+    Texts are chosen by the value of their hash, each task for itself, so no task gathers candidates of all others.
+    """
+    carriers = docs.where(F.col("text").rlike(CARRIER)).select(F.xxhash64("text").alias("rank"), "text")
+    found = carriers.count()
+    highest = min(2**63 - 1, -(2**63) + int(2**64 * min(1.0, documents / max(found, 1))))
+    sample = carriers.where(F.col("rank") <= highest).dropDuplicates(["rank"]).orderBy("rank").limit(documents)
     rows = sample.coalesce(1).mapInArrow(_fit, "weights binary").collect()  # one row of fixed size
     if not rows:
         return None
