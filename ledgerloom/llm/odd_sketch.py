@@ -47,7 +47,7 @@ SAMPLE = 1024
 SKETCH_BITS = 2048
 MARGIN_WHOLE, MARGIN_SAMPLED = 0.035, 0.1
 BLOCK = 1000
-EARLY_ROUNDS = 2  # of joining components before the last search
+EARLY_ROUNDS = 1  # of joining components before the last search
 _PERMUTATIONS = BANDS * ROWS
 _WORDS = SKETCH_BITS // 64
 _U = np.uint64
