@@ -7,9 +7,11 @@ P(word | class, history); a further word has its smoothed corpus share inside it
 words never seen in training. So every text has a probability.
 
 Training is truncated backpropagation in numpy over windows of ``STEPS`` words, the state being carried from window to
-window. It takes ``ROUNDS`` rounds: in each, every task trains a copy of the current weights on its part of the
-round's documents (one in ``SHARE`` of all training documents, so it grows with the corpus), and the copies are
-averaged by the tokens they saw, in two levels of grouped sums. Weights have a fixed size, about half a megabyte.
+window. Documents lie end to end in up to ``LANES`` streams of equal length, so every window is full whatever the
+lengths of the documents; the state starts anew with each document. It takes ``ROUNDS`` rounds, which part the training
+documents among them: each document is read in exactly one round. In a round every task trains a copy of the current
+weights on its part of the round's documents, and the copies are averaged by the tokens they saw, in two levels of
+grouped sums. Weights have a fixed size, about half a megabyte.
 Scoring carries the state through the whole document, so windows change nothing in the result.
 
 Counts of the at most ``HEAD`` most frequent words (a fixed bound) are broadcast; the others are joined by a shuffle, after
@@ -38,8 +40,9 @@ VOCABULARY = WORD_CLASSES * CLASS_SIZE
 CLASSES = WORD_CLASSES + TAIL_CLASSES
 HEAD = 1 << 18
 HIDDEN = 16
-STEPS, LANES = 16, 64
-ROUNDS, SHARE = 4, 32
+STEPS, LANES = 16, 256
+WINDOWS = 32  # windows that a slice is cut into at least, before the streams get fewer
+ROUNDS = 4
 RATE = 0.01
 CLIP = 1.0
 STEPS_PER_DOUBLING = 64
@@ -161,9 +164,15 @@ def _step(w, h: np.ndarray, tokens: np.ndarray):
     return n + z * (h - n), (z, r, n, gates[:, 2 * HIDDEN :])
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _log_share(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log of the softmax down each column of ``x`` (overwritten) at the row chosen for it."""
+    x -= x.max(axis=0)
+    picked = x[chosen, np.arange(len(chosen))]
+    return picked - np.log(np.exp(x, out=x).sum(axis=0))
+
+
+def _classes_of(tokens: np.ndarray) -> np.ndarray:
+    return np.where(tokens < VOCABULARY, tokens // CLASS_SIZE, WORD_CLASSES + tokens - VOCABULARY)
 
 
 def _by_class(classes: np.ndarray):
@@ -177,14 +186,14 @@ def _by_class(classes: np.ndarray):
 def token_scores(w, h: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Natural log of P(class | h), times P(word | class, h) for words of the vocabulary."""
     out = np.empty(len(tokens))
-    classes = np.where(tokens < VOCABULARY, tokens // CLASS_SIZE, WORD_CLASSES + tokens - VOCABULARY)
+    classes = _classes_of(tokens)
     for at in range(0, len(tokens), _CHUNK):
         part = slice(at, at + _CHUNK)
-        out[part] = _log_softmax(h[part] @ w["c"] + w["cb"])[np.arange(len(classes[part])), classes[part]]
+        out[part] = _log_share(w["c"].T @ h[part].T + w["cb"][:, None], classes[part])
     for k, rows in _by_class(classes):
         for at in range(0, len(rows), _CHUNK):
             part = rows[at : at + _CHUNK]
-            out[part] += _log_softmax(h[part] @ w["w"][k] + w["wb"][k])[np.arange(len(part)), tokens[part] % CLASS_SIZE]
+            out[part] += _log_share(w["w"][k].T @ h[part].T + w["wb"][k][:, None], tokens[part] % CLASS_SIZE)
     return out
 
 
@@ -211,85 +220,130 @@ def text_scores(w, tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _window_gradients(w, h: np.ndarray, window: np.ndarray, mask: np.ndarray):
-    """Gradients of the mean negative log-likelihood over one window [steps, lanes], and the state after it."""
+def _excess(x: np.ndarray, chosen: np.ndarray, scale: np.float32) -> np.ndarray:
+    """Gradient of the negative log-likelihood by the logits, in their place: softmax less one at the chosen rows."""
+    x -= x.max(axis=0)
+    np.exp(x, out=x)
+    x /= x.sum(axis=0)
+    x[chosen, np.arange(len(chosen))] -= 1
+    x *= scale
+    return x
+
+
+def _window_gradients(w, h: np.ndarray, window: np.ndarray, mask: np.ndarray, fresh: np.ndarray | None = None):
+    """Gradients of the mean negative log-likelihood over one window [steps, lanes], and the state after it.
+
+    ``fresh`` marks first words of documents: the state before them is the start state. Inside, lanes are the last
+    axis, so that gates are whole blocks of memory.
+    """
     steps, lanes = window.shape
-    states, kept = [h], []
+    whole, start = mask.all(axis=1), np.zeros(steps, bool) if fresh is None else fresh.any(axis=1)
+    read = window.ravel()
+    x = np.ascontiguousarray((w["x"][read] + w["b"]).T).reshape(3 * HIDDEN, steps, lanes)
+    u = np.ascontiguousarray(w["u"].T)
+    after, kept = np.ascontiguousarray(h.T), []
+    states = np.empty((HIDDEN, steps, lanes), np.float32)
     for t in range(steps):
-        following, parts = _step(w, states[-1], window[t])
-        following = np.where(mask[t][:, None], following, states[-1])
-        states.append(following)
-        kept.append(parts)
-    seen = mask.ravel()
-    before = np.concatenate(states[:-1])[seen]
-    tokens = window.ravel()[seen]
-    classes = np.where(tokens < VOCABULARY, tokens // CLASS_SIZE, WORD_CLASSES + tokens - VOCABULARY)
-    scale = np.float32(1 / max(1, len(tokens)))
+        before = np.where(fresh[t], np.float32(0), after) if start[t] else after
+        states[:, t] = before
+        gates = u @ before
+        zr = _sigmoid(x[: 2 * HIDDEN, t] + gates[: 2 * HIDDEN])
+        z, r, candidate = zr[:HIDDEN], zr[HIDDEN:], gates[2 * HIDDEN :]
+        n = np.tanh(x[2 * HIDDEN :, t] + r * candidate)
+        after = n + z * (before - n)
+        if not whole[t]:
+            after = np.where(mask[t], after, before)
+        kept.append((before, z, r, n, candidate))
+    seen = np.flatnonzero(mask.ravel())
+    classes = _classes_of(read[seen])
+    order = np.argsort(classes, kind="stable")
+    seen, classes = seen[order], classes[order]
+    words = read[seen] % CLASS_SIZE
+    outputs = np.take(states.reshape(HIDDEN, -1), seen, axis=1)
+    scale = np.float32(1 / max(1, len(seen)))
     g = {k: np.zeros(s, np.float32) for k, s in _SHAPES.items()}
-    p = np.exp(_log_softmax(before @ w["c"] + w["cb"]))
-    p[np.arange(len(tokens)), classes] -= 1
-    p *= scale
-    g["c"], g["cb"] = before.T @ p, p.sum(axis=0)
-    back = p @ w["c"].T
-    for k, rows in _by_class(classes):
-        p = np.exp(_log_softmax(before[rows] @ w["w"][k] + w["wb"][k]))
-        p[np.arange(len(rows)), tokens[rows] % CLASS_SIZE] -= 1
-        p *= scale
-        g["w"][k], g["wb"][k] = before[rows].T @ p, p.sum(axis=0)
-        back[rows] += p @ w["w"][k].T
-    from_output = np.zeros((steps * lanes, HIDDEN), np.float32)
-    from_output[seen] = back
-    from_output = from_output.reshape(steps, lanes, HIDDEN)
-    flow = np.zeros((lanes, HIDDEN), np.float32)
-    inputs = np.zeros((steps, lanes, 3 * HIDDEN), np.float32)
+    p = _excess(w["c"].T @ outputs + w["cb"][:, None], classes, scale)
+    g["c"], g["cb"] = outputs @ p.T, p.sum(axis=1)
+    back = w["c"] @ p
+    edges = np.searchsorted(classes, np.arange(WORD_CLASSES + 1))
+    for k in range(WORD_CLASSES):
+        part = slice(edges[k], edges[k + 1])
+        if part.start < part.stop:
+            p = _excess(w["w"][k].T @ outputs[:, part] + w["wb"][k][:, None], words[part], scale)
+            g["w"][k], g["wb"][k] = outputs[:, part] @ p.T, p.sum(axis=1)
+            back[:, part] += w["w"][k] @ p
+    from_output = np.zeros((HIDDEN, steps * lanes), np.float32)
+    from_output[:, seen] = back
+    from_output = from_output.reshape(HIDDEN, steps, lanes)
+    flow = np.zeros((HIDDEN, lanes), np.float32)
+    inputs = np.empty((3 * HIDDEN, steps, lanes), np.float32)
+    gates = np.empty((3 * HIDDEN, lanes), np.float32)
     for t in reversed(range(steps)):
-        z, r, n, candidate = kept[t]
-        on = mask[t][:, None]
-        dh = np.where(on, flow, 0)
-        dn = dh * (1 - z) * (1 - n * n)
-        dz = dh * (states[t] - n) * z * (1 - z)
-        dr = dn * candidate * r * (1 - r)
-        gates = np.concatenate([dz, dr, dn * r], axis=1)
-        g["u"] += states[t].T @ gates
-        inputs[t] = np.concatenate([dz, dr, dn], axis=1)
-        flow = np.where(on, dh * z + gates @ w["u"].T, flow) + from_output[t]
-    flat = inputs.reshape(-1, 3 * HIDDEN)
-    np.add.at(g["x"], window.ravel(), flat)
-    g["b"] = flat.sum(axis=0)
-    return g, states[-1]
+        before, z, r, n, candidate = kept[t]
+        dh = flow if whole[t] else np.where(mask[t], flow, np.float32(0))
+        through = dh * z
+        dn = (dh - through) * (1 - n * n)
+        inputs[:HIDDEN, t] = gates[:HIDDEN] = through * (before - n) * (1 - z)
+        inputs[HIDDEN : 2 * HIDDEN, t] = gates[HIDDEN : 2 * HIDDEN] = dn * candidate * r * (1 - r)
+        inputs[2 * HIDDEN :, t] = dn
+        gates[2 * HIDDEN :] = dn * r
+        g["u"] += before @ gates.T
+        through += w["u"] @ gates
+        flow = (through if whole[t] else np.where(mask[t], through, flow)) + from_output[:, t]
+        if start[t]:
+            flow[:, fresh[t]] = 0
+    by_word = np.argsort(read, kind="stable")
+    kinds, edges = np.unique(read[by_word], return_index=True)
+    flat = inputs.reshape(3 * HIDDEN, -1)
+    g["x"][kinds] = np.add.reduceat(np.ascontiguousarray(flat.T)[by_word], edges)
+    g["b"] = flat.sum(axis=1)
+    return g, np.ascontiguousarray(after.T)
 
 
 class Trainer:
-    """Adam over windows of many texts side by side; state carried from window to window."""
+    """Adam over windows of many streams side by side; state carried from window to window of a document."""
 
     def __init__(self, flat: np.ndarray):
         self.flat = flat.astype(np.float32).copy()
         self.first, self.second, self.updates, self.tokens = np.zeros_like(self.flat), np.zeros_like(self.flat), 0, 0
 
     def fit(self, tokens: np.ndarray, offsets: np.ndarray) -> None:
-        order = np.argsort(-np.diff(offsets), kind="stable")
-        for at in range(0, len(order), LANES):
-            rows = order[at : at + LANES]
-            starts, lengths = offsets[:-1][rows], np.diff(offsets)[rows]
-            h = np.zeros((len(rows), HIDDEN), np.float32)
-            for begin in range(0, int(lengths[0]), STEPS):
-                active = int((lengths > begin).sum())
-                steps = np.arange(begin, min(begin + STEPS, int(lengths[0])))[:, None]
-                mask = steps < lengths[None, :active]
-                window = np.where(mask, tokens[np.minimum(starts[None, :active] + steps, len(tokens) - 1)], END)
-                g, h = _window_gradients(unpacked(self.flat), h[:active], window, mask)
-                self._update(packed(g))
-                self.tokens += int(mask.sum())
+        tokens = tokens[offsets[0] : offsets[-1]]
+        if not len(tokens):
+            return
+        first_words = np.zeros(len(tokens) + 1, bool)
+        first_words[offsets - offsets[0]] = True
+        lanes = min(LANES, max(1, len(tokens) // (STEPS * WINDOWS)))
+        length = -(-len(tokens) // lanes)
+        places = np.arange(lanes) * length
+        h = np.zeros((lanes, HIDDEN), np.float32)
+        for begin in range(0, length, STEPS):
+            steps = np.arange(begin, min(begin + STEPS, length))[:, None]
+            at = places + steps
+            mask = at < len(tokens)
+            at = np.minimum(at, len(tokens) - 1)
+            g, h = _window_gradients(unpacked(self.flat), h, tokens[at], mask, first_words[at])
+            self._update(packed(g))
+            self.tokens += int(mask.sum())
 
     def _update(self, g: np.ndarray) -> None:
         norm = float(np.sqrt(g @ g))
         if norm > CLIP:
             g = g * np.float32(CLIP / norm)
         self.updates += 1
-        self.first += 0.1 * (g - self.first)
-        self.second += 0.01 * (g * g - self.second)
-        rate = RATE * np.sqrt(1 - 0.99**self.updates) / (1 - 0.9**self.updates)
-        self.flat -= (rate * self.first / (np.sqrt(self.second) + 1e-8)).astype(np.float32)
+        rate = float(RATE * np.sqrt(1 - 0.99**self.updates) / (1 - 0.9**self.updates))
+        # python floats keep the arrays in single precision
+        self.first *= 0.9
+        self.first += 0.1 * g
+        self.second *= 0.99
+        g *= g
+        g *= 0.01
+        self.second += g
+        step = np.sqrt(self.second)
+        step += 1e-8
+        np.divide(self.first, step, out=step)
+        step *= rate
+        self.flat -= step
 
 
 # ---- jobs ---------------------------------------------------------------------------------------
@@ -357,12 +411,16 @@ def lexicon_of(docs: DataFrame) -> tuple[Lexicon, DataFrame]:
     return Lexicon(head, np.maximum(mass, 0.0), sums.n, sums.types, training.count()), counts
 
 
-def trained(docs: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS, share: int = SHARE) -> np.ndarray:
+def turns(docs: DataFrame, rounds: int = ROUNDS) -> list[DataFrame]:
+    """The training documents of every round: together all of them, each once."""
+    return [docs.where(_in_training() & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == k)) for k in range(rounds)]
+
+
+def trained(docs: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> np.ndarray:
     context = docs.sparkSession.sparkContext
     shared, flat = context.broadcast(lexicon), packed(start_weights(lexicon))
-    for k in range(rounds):
-        turn = docs.where(_in_training() & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == k)).select("text")
-        copies = turn.mapInArrow(_train(shared, context.broadcast(flat)), "block int, salt int, tokens long, sums binary")
+    for turn in turns(docs, rounds):
+        copies = turn.select("text").mapInArrow(_train(shared, context.broadcast(flat)), "block int, salt int, tokens long, sums binary")
         found = _averaged(staged(copies, "copies"))
         flat = flat if found is None else found
     return flat

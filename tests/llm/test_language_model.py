@@ -103,5 +103,29 @@ def test_base_scores_are_exact_and_the_model_beats_them(spark):
     assert sum(r.score for r in held_out) > sum(r.base_score for r in held_out) + 2 * len(held_out)
 
 
+def test_training_reads_every_document_once(spark):
+    rows = languages() + H.AWKWARD
+    docs = H.documents(spark, rows)
+    read = Counter((r.doc_id, r.text) for turn in G.turns(docs) for r in turn.collect())
+    assert read == Counter((d, t) for d, t in rows if in_training(d))
+
+
+def test_streams_read_every_token_and_start_anew_with_each_document(weights):
+    rng = np.random.default_rng(5)
+    lengths = [1, 3000, 17, 0, 9000, 64]
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    tokens = rng.integers(0, G.VOCABULARY + G.TAIL_CLASSES, offsets[-1])
+    trainer = G.Trainer(G.packed(weights))
+    trainer.fit(tokens, offsets)
+    assert trainer.tokens == len(tokens)
+    # two documents one behind the other give the gradients that they give side by side
+    window = rng.integers(0, G.VOCABULARY + G.TAIL_CLASSES, (8, 1))
+    fresh = np.isin(np.arange(8), [0, 4])[:, None]
+    joined, _ = G._window_gradients(weights, np.ones((1, G.HIDDEN), np.float32), window, np.ones((8, 1), bool), fresh)
+    apart, _ = G._window_gradients(weights, np.zeros((2, G.HIDDEN), np.float32), window.reshape(2, 4).T, np.ones((4, 2), bool))
+    for k in joined:
+        assert np.allclose(joined[k], apart[k], atol=1e-5)
+
+
 def test_empty_table(spark):
     assert G.document_scores(H.documents(spark, [])).count() == 0
