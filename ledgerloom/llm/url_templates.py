@@ -4,7 +4,7 @@ Paths of each host form a tree of segments. Level by level, a segment stays lite
 parent (``MIN_COUNT`` and ``MIN_SHARE``), and becomes the wildcard ``*`` otherwise: ids, dates and names melt
 together, fixed parts of the site stay. A parent keeps at most 1 / MIN_SHARE literal children, whatever its
 number of URLs. Sibling templates whose labelled purities do not differ significantly (two-proportion test,
-``ALIKE_Z``) are merged into one branch. A branch's purity is its share of bad labels, smoothed towards
+``ALIKE_Z``) from all that the branch holds, and from its purest member, are merged into one branch. A branch's purity is its share of bad labels, smoothed towards
 its host's share, which is smoothed towards the corpus; branches above ``REJECT`` are blocked.
 
 The labels come from a table of judged items whose ids are page ids; an item is bad if it is of low quality
@@ -19,7 +19,6 @@ named by the empty string. Rows that repeat a url count as often as they occur.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.staging import staged
@@ -28,6 +27,7 @@ LEVELS = 4
 MIN_COUNT = 8
 MIN_SHARE = 0.02
 ALIKE_Z = 1.96
+PURITY_STEPS = 1024  # siblings of one purity step and size are compared as one
 SMOOTHING = 8.0  # pseudo-URLs of the wider level
 REJECT = 0.5
 
@@ -81,23 +81,40 @@ def _templates(pages: DataFrame) -> DataFrame:
 
 
 def _branches(templates: DataFrame) -> DataFrame:
-    """(host, template, branch, labelled, bad): siblings of like purity share a branch.
+    """(host, parent, template, branch, labelled, bad): siblings of like purity share a branch.
 
-    Siblings are templates of one host and parent, at most 1 / MIN_SHARE literals and a wildcard with a few endings;
-    in order of purity, a template joins the branch of its neighbour unless the two differ significantly.
+    Siblings are the labelled templates of one host and parent. Those of like purity (``PURITY_STEPS``) and size (powers of
+    two) are summed first, so a parent has a bounded number of entries, whatever its number of children. In order of
+    purity, an entry joins the branch built so far unless its average member differs significantly from the
+    branch's pooled counts or from its first entry's average member; small siblings make no bridge between large ones.
     """
     parent = F.regexp_replace("template", r"/[^/]*/?$", "")
-    siblings = W.partitionBy("host", "parent").orderBy("purity", "template")
     n, b = F.col("labelled"), F.col("bad")
-    n0, b0 = F.lag("labelled").over(siblings), F.lag("bad").over(siblings)
-    pooled = (b + b0) / (n + n0)
-    error = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / n0))
-    differs = (b / n - b0 / n0) > ALIKE_Z * error
-    seen = templates.where("labelled > 0").withColumn("parent", parent).withColumn("purity", b / n)
-    seen = seen.withColumn("step", F.coalesce(differs, F.lit(False)).cast("int"))
-    seen = seen.withColumn("branch", F.sum("step").over(siblings).cast("int"))
-    merged = seen.groupBy("host", "parent", "branch").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    return seen.select("host", "parent", "template", "branch").join(merged, ["host", "parent", "branch"])
+    seen = templates.where("labelled > 0").withColumn("parent", parent)
+    seen = seen.withColumn("step", F.floor(b * PURITY_STEPS / n).cast("int")).withColumn("size", -F.floor(F.log2(n)).cast("int"))
+    entries = seen.groupBy("host", "parent", "step", "size").agg(F.count("*").alias("times"), F.sum(n).alias("n"), F.sum(b).alias("b"))
+    entries = entries.groupBy("host", "parent").agg(F.array_sort(F.collect_list(F.struct("step", "size", "times", "n", "b"))).alias("entries"))
+
+    def differs(n1: Column, b1: Column, n2: Column, b2: Column) -> Column:
+        pooled = (b1 + b2) / (n1 + n2)
+        return (b2 / n2 - b1 / n1) > ALIKE_Z * F.sqrt(F.greatest(pooled * (1 - pooled), F.lit(0.0)) * (1 / n1 + 1 / n2))
+
+    def grown(branches: Column, x: Column) -> Column:
+        last, m, k = F.get(branches, F.size(branches) - 1), x["n"] / x["times"], x["b"] / x["times"]
+        apart = (F.size(branches) == 0) | differs(last["n"], last["b"], m, k) | differs(last["m"], last["k"], m, k)
+        new = F.struct(x["step"].alias("step"), x["size"].alias("size"), x["n"].alias("n"), x["b"].alias("b"), m.alias("m"), k.alias("k"))
+        both = F.struct(
+            last["step"].alias("step"), last["size"].alias("size"), (last["n"] + x["n"]).alias("n"), (last["b"] + x["b"]).alias("b"),
+            last["m"].alias("m"), last["k"].alias("k"),
+        )
+        return F.when(apart, F.concat(branches, F.array(new))).otherwise(F.concat(F.slice(branches, F.lit(1), F.size(branches) - 1), F.array(both)))
+
+    none = F.array().cast("array<struct<step:int,size:int,n:bigint,b:bigint,m:double,k:double>>")
+    folded = staged(entries.select("host", "parent", F.aggregate("entries", none, grown).alias("branches")), "branches")
+    upto = F.filter("branches", lambda x: (x["step"] < F.col("step")) | ((x["step"] == F.col("step")) & (x["size"] <= F.col("size"))))
+    found = seen.select("host", "parent", "template", "step", "size").join(folded, ["host", "parent"]).withColumn("upto", upto)
+    own = F.get("upto", F.size("upto") - 1)
+    return found.select("host", "parent", "template", F.size("upto").alias("branch"), own["n"].alias("labelled"), own["b"].alias("bad"))
 
 
 def template_verdicts(pages: DataFrame, label: str) -> DataFrame:

@@ -138,5 +138,15 @@ def test_siblings_merge_unless_they_differ(spark):
     assert 6 / 80 - 5 / 100 < U.ALIKE_Z * sqrt(pooled * (1 - pooled) * (1 / 100 + 1 / 80))
 
 
+def test_small_siblings_are_no_bridge_between_large_ones(spark):
+    rows = [("h", "/articles", 1100, 0), ("h", "/news", 3, 0), ("h", "/faq", 3, 1), ("h", "/tags", 3, 2), ("h", "/blog", 3, 3), ("h", "/casino", 1000, 1000)]
+    rows += [("h", f"/small{k}", 3, k % 4) for k in range(400)]
+    got = {r.template: (r.labelled, r.bad) for r in U._branches(spark.createDataFrame(rows, "host string, template string, labelled long, bad long")).collect()}
+    assert len(got) == len(rows)
+    assert got["/casino"][1] / got["/casino"][0] > 0.75 and got["/articles"][1] / got["/articles"][0] < 0.25
+    got = {r.template: (r.labelled, r.bad) for r in U._branches(spark.createDataFrame(rows[:6], "host string, template string, labelled long, bad long")).collect()}
+    assert got["/casino"] == got["/blog"] == (1003, 1003) and got["/articles"] == (1103, 0) and got["/faq"] == got["/tags"] == (6, 3)
+
+
 def test_empty_pages(spark):
     assert U.judged(pages(spark, []), spark.createDataFrame([], LABELS)).count() == 0
