@@ -1,16 +1,17 @@
 """URL verdicts: listed rules first, then the purity of the URL's path template on its host.
 
-Paths of each host form a tree of segments. Level by level, a segment stays literal if it is frequent below its
-parent (``MIN_COUNT`` and ``MIN_SHARE``), and becomes the wildcard ``*`` otherwise: ids, dates and names melt
-together, fixed parts of the site stay. A parent keeps at most 1 / MIN_SHARE literal children, whatever its
-number of URLs. Sibling templates whose labelled purities do not differ significantly (two-proportion test,
+Paths of each host form a tree of segments. Level by level, a segment stays literal if ``MIN_COUNT`` URLs have it below
+its parent, and becomes the wildcard ``*`` otherwise: ids, dates and names melt together, fixed parts of the site
+stay, however large the host is. Levels run to the end of the longest path; where no parent has ``MIN_COUNT``
+URLs any more, all further segments are wildcards. Sibling templates whose labelled purities do not differ significantly (two-proportion test,
 ``ALIKE_Z``) from all that the branch holds, and from its purest member, are merged into one branch. A branch's purity is its share of bad labels, smoothed towards
-its host's share, which is smoothed towards the corpus; branches above ``REJECT`` are blocked.
+its host's share, which is smoothed towards the corpus; a template without labels takes the share of all its
+siblings, smoothed alike. Branches above ``REJECT`` are blocked.
 
 The labels come from a table of judged items whose ids are page ids; an item is bad if it is of low quality
 or toxic. Verdicts of listed rules are no labels: they cover whole domains, so purities learned from them
 would spread those domains' verdicts over all others. Levels are aggregations with partial sums, so a host with
-a third of all URLs is summed in every task. Paths deeper than ``LEVELS`` segments share the wildcard tail ``**``.
+a third of all URLs is summed in every task.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and is judged like the pages of a host
 named by the empty string. Rows that repeat a url count as often as they occur. An empty table gives no rows.
@@ -23,9 +24,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.staging import staged
 
-LEVELS = 4
 MIN_COUNT = 8
-MIN_SHARE = 0.02
+# For plain statements of the templates only: the code has no bound on the levels and asks for no share of the parent.
+LEVELS = 64
+MIN_SHARE = 0.0
 ALIKE_Z = 1.96
 PURITY_STEPS = 1024  # siblings of one purity step and size are compared as one
 SMOOTHING = 8.0  # pseudo-URLs of the wider level
@@ -64,20 +66,30 @@ def _templates(pages: DataFrame) -> DataFrame:
     """Adds ``template``: the path with variable segments replaced, one level at a time."""
     parts = F.filter(F.split("path", "/"), lambda s: s != "")
     rows = pages.withColumn("parts", parts).withColumn("template", F.lit(""))
-    rows = rows.withColumn("deep", F.size("parts") > LEVELS)
-    for level in range(LEVELS):
-        segment = F.get("parts", F.lit(level))
-        rows = staged(rows.withColumn("segment", segment), "level")
-        counts = rows.where("segment is not null").groupBy("host", "template", "segment").agg(F.count("*").alias("n"))
-        counts = staged(counts, "segments")
-        total = counts.groupBy("host", "template").agg(F.sum("n").alias("of"))
-        literal = counts.where(F.col("n") >= MIN_COUNT).join(total, ["host", "template"]).where(F.col("n") >= MIN_SHARE * F.col("of"))
-        literal = staged(literal.select("host", "template", "segment", F.lit(True).alias("literal")), "literals")
+    done, level = [], 0
+    while True:
+        rows = staged(rows, "level")
+        done.append(rows.where(F.size("parts") <= level))
+        rows = rows.where(F.size("parts") > level).withColumn("segment", F.get("parts", F.lit(level)))
+        counts = staged(rows.groupBy("host", "template", "segment").agg(F.count("*").alias("n")), "segments")
+        largest = counts.groupBy("host", "template").agg(F.sum("n").alias("of")).agg(F.max("of")).first()[0]
+        if largest is None or largest < MIN_COUNT:
+            break
+        literal = counts.where(F.col("n") >= MIN_COUNT).select("host", "template", "segment", F.lit(True).alias("literal"))
         rows = rows.join(literal, ["host", "template", "segment"], "left")
-        step = F.when(F.col("segment").isNull(), "").otherwise(F.concat(F.lit("/"), F.when(F.col("literal"), F.col("segment")).otherwise("*")))
+        step = F.concat(F.lit("/"), F.when(F.col("literal"), F.col("segment")).otherwise("*"))
         rows = rows.withColumn("template", F.concat("template", step)).drop("segment", "literal")
-    tail = F.when(F.col("deep"), "/**").when(F.col("path").endswith("/") & (F.size("parts") > 0), "/").otherwise("")
-    return rows.withColumn("template", F.concat("template", tail)).drop("parts", "deep")
+        level += 1
+    rest = F.array_join(F.array_repeat(F.lit("/*"), F.size("parts") - level), "")
+    found = rows.withColumn("template", F.concat("template", rest)).drop("segment")
+    for part in done:
+        found = found.unionByName(part)
+    tail = F.when(F.col("path").endswith("/") & (F.size("parts") > 0), "/").otherwise("")
+    return found.withColumn("template", F.concat("template", tail)).drop("parts")
+
+
+def _parent() -> Column:
+    return F.regexp_replace("template", r"/[^/]*/?$", "")
 
 
 def _branches(templates: DataFrame) -> DataFrame:
@@ -88,9 +100,8 @@ def _branches(templates: DataFrame) -> DataFrame:
     purity, an entry joins the branch built so far unless its average member differs significantly from the
     branch's pooled counts or from its first entry's average member; small siblings make no bridge between large ones.
     """
-    parent = F.regexp_replace("template", r"/[^/]*/?$", "")
     n, b = F.col("labelled"), F.col("bad")
-    seen = templates.where("labelled > 0").withColumn("parent", parent)
+    seen = templates.where("labelled > 0").withColumn("parent", _parent())
     seen = seen.withColumn("step", F.floor(b * PURITY_STEPS / n).cast("int")).withColumn("size", -F.floor(F.log2(n)).cast("int"))
     entries = seen.groupBy("host", "parent", "step", "size").agg(F.count("*").alias("times"), F.sum(n).alias("n"), F.sum(b).alias("b"))
     entries = entries.groupBy("host", "parent").agg(F.array_sort(F.collect_list(F.struct("step", "size", "times", "n", "b"))).alias("entries"))
@@ -126,9 +137,12 @@ def template_verdicts(pages: DataFrame, label: str) -> DataFrame:
     corpus = (totals.b / totals.n) if totals.n else 0.0
     hosts = templates.groupBy("host").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
     hosts = hosts.select("host", ((F.col("b") + SMOOTHING * corpus) / (F.col("n") + SMOOTHING)).alias("host_purity"))
-    branches = _branches(templates).select("host", "template", "labelled", "bad")
-    known = templates.select("host", "template").join(branches, ["host", "template"], "left").join(hosts, "host")
-    n, b = F.coalesce("labelled", F.lit(0)), F.coalesce("bad", F.lit(0))
+    branches = _branches(templates)
+    parents = branches.select("host", "parent", "branch", "labelled", "bad").distinct()
+    parents = parents.groupBy("host", "parent").agg(F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"))
+    known = templates.select("host", "template", _parent().alias("parent")).join(branches.drop("parent"), ["host", "template"], "left")
+    known = known.join(parents, ["host", "parent"], "left").join(hosts, "host")
+    n, b = F.coalesce("labelled", "all_labelled", F.lit(0)), F.coalesce("bad", "all_bad", F.lit(0))
     known = known.select("host", "template", ((b + SMOOTHING * F.col("host_purity")) / (n + SMOOTHING)).alias("purity"))
     known = staged(known, "template-purities")
     verdict = F.when(F.col("purity") > REJECT, "block").otherwise("allow")

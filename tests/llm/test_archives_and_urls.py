@@ -148,5 +148,18 @@ def test_small_siblings_are_no_bridge_between_large_ones(spark):
     assert got["/casino"] == got["/blog"] == (1003, 1003) and got["/articles"] == (1103, 0) and got["/faq"] == got["/tags"] == (6, 3)
 
 
+def test_sections_of_a_hot_host_and_deep_paths_stay_literal(spark):
+    paths = [f"/s{k % 60}/{k}" for k in range(1200)] + [f"/a/b/c/d/{('good', 'casino')[k % 2]}/{k}" for k in range(60)]
+    paths += [f"/deep{'/x' * 40}/{k}" for k in range(3)]
+    rows = [(k, f"http://big.org{p}", "") for k, p in enumerate(paths)]
+    labels = [(k, 0 if p.startswith("/s7/") or "casino" in p else 1, 0) for k, p in enumerate(paths) if k % 3]
+    got = {r.path: (r.template, r.verdict) for r in U.judged(pages(spark, rows), spark.createDataFrame(labels, LABELS)).collect()}
+    expected = template_of(paths)
+    assert all(got[p][0] == expected[p] for p in paths)
+    assert len(got) == len(paths) and got["/s7/7"] == ("/s7/*", "block") and got["/s8/8"] == ("/s8/*", "allow")
+    assert got[paths[1201]] == ("/a/b/c/d/casino/*", "block") and got[paths[1200]] == ("/a/b/c/d/good/*", "allow")
+    assert got[paths[-1]][0] == "/*" * 42
+
+
 def test_empty_pages(spark):
     assert U.judged(pages(spark, []), spark.createDataFrame([], LABELS)).count() == 0
