@@ -1,8 +1,9 @@
 """Repeated passages by content-defined chunks of a gear rolling hash.
 
 The gear hash of a byte position depends on the last ``GEAR_WINDOW`` bytes only. A chunk ends where that hash
-falls into one residue class, so cuts follow the content: an insertion moves the cuts around it and none
-behind it. Chunks are compared by 128-bit digests. The first occurrence of a chunk (smallest doc_id, then
+is the smallest within ``REACH`` bytes on both sides, so cuts follow the content: an insertion moves the cuts around it
+and none behind it. Equal smallest hashes all cut: text that repeats a word or line has a cut at the same place of
+every period, whatever its period. Chunks are compared by 128-bit digests. The first occurrence of a chunk (smallest doc_id, then
 position) is the original, all others are repeats. A run of neighbouring repeated chunks is a repeated passage if
 it holds at least ``MIN_WORDS`` words; a passage loses at most its two outermost chunks, and single short chunks that
 agree by chance make no run.
@@ -31,7 +32,7 @@ from ledgerloom.llm.staging import staged
 from ledgerloom.llm.text import _SPACE, buffers, slices
 
 GEAR_WINDOW = 16
-RATE = 24  # one cut in so many bytes, before the minimum
+REACH = 12  # one cut in 2 * REACH + 1 bytes of varied text
 MIN_BYTES, MAX_BYTES = 8, 1024
 MIN_WORDS = 16
 _gear = np.random.Generator(np.random.PCG64(2002)).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -48,15 +49,28 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def _smallest_near(h: np.ndarray) -> np.ndarray:
+    """Minimum of h over REACH places on both sides, by doubling the window."""
+    width, wanted = 1, 2 * REACH + 1
+    low = np.pad(h, REACH, constant_values=np.iinfo(h.dtype).max)
+    while width < wanted:
+        step = min(width, wanted - width)
+        low = np.minimum(low[:-step], low[step:])
+        width += step
+    return low
+
+
 def chunk_ends(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ends of all chunks of the texts between ``offsets``, and the row of each."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    # low bits know the last few bytes only; the upper half depends on the whole window
-    cuts = np.flatnonzero((gear_hashes(data) >> np.uint32(16)) % np.uint32(RATE) == 0) + 1
-    row_of = np.searchsorted(offsets, cuts, "left") - 1
-    # a window that reaches back over the text's start would depend on the text before
-    cuts = cuts[cuts - offsets[row_of] >= GEAR_WINDOW]
+    h = gear_hashes(data)
+    # a window that reaches back over the text's start would depend on the text before; REACH ends before the next full one
+    full = np.ones(len(data), bool)
+    early = (offsets[:-1, None] + np.arange(GEAR_WINDOW - 1)).ravel()
+    full[early[early < len(data)]] = False
+    h[~full] = np.iinfo(h.dtype).max
+    cuts = np.flatnonzero((h == _smallest_near(h)) & full) + 1
     ends: list[int] = []
     at = 0
     cut_list = cuts.tolist()

@@ -46,6 +46,18 @@ def test_repeated_passages_are_found_shifted_and_clean_texts_are_left(spark):
     assert all(cut[k].startswith(H.prose(k, 40 + k)) for k in range(2, 9))
 
 
+def test_periodic_passages_are_found_at_other_places(spark):
+    words = ["ingan", "ta", "x", "venost", "miremi", "quari", "del", "notalu", "ostven", "riri", "luta", "redelmi"]
+    rows = []
+    for k, word in enumerate(words):
+        for at in range(2):
+            rows.append((2 * k + at, f"{H.prose(500 + 2 * k + at, 30 + 7 * at)} {' '.join([word] * 51)} {H.prose(900 + 2 * k + at, 20)}"))
+    found = {}
+    for r in chunk_dedup.repeated_passages(H.documents(spark, rows)).collect():
+        found[r.doc_id] = max(found.get(r.doc_id, 0), r.n_words)
+    assert all(2 * k + 1 in found for k in range(len(words)))
+
+
 def test_whole_repeated_rows_and_empty_tables(spark):
     text = H.prose(3, 200)
     docs = H.documents(spark, [(1, text), (1, text), (2, text)])
