@@ -123,6 +123,101 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
 FROM firsts
 """
 
+# Two rounds, each an assignment of all parts and a new codebook.
+_ASSIGNED = """
+  SELECT p.row, p.part, p.v, arg_min(b.entry, b.far * 64 + b.entry) AS entry, min(b.far) AS far FROM parts p, LATERAL (
+    SELECT c.entry, list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - c.v[i]) * (p.v[i] - c.v[i])))::BIGINT AS far
+    FROM {book} c WHERE c.part = p.part
+  ) b GROUP BY p.row, p.part, p.v
+"""
+_UPDATED = """
+  SELECT c.part, c.entry, coalesce(m.v, c.v) AS v FROM {book} c LEFT JOIN (
+    SELECT part, entry, list(mean ORDER BY i) AS v FROM (
+      SELECT part, entry, i, floor(sum(x)::DECIMAL(38, 0) / count(*))::BIGINT AS mean
+      FROM (SELECT part, entry, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS x FROM {members}) GROUP BY part, entry, i
+    ) GROUP BY part, entry
+  ) m USING (part, entry)
+"""
+OP11_RESIDENT_CODES = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v,
+    row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT row, vec_id, label, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS v
+  FROM kept, (SELECT unnest(range(16)) AS part)
+), book0 AS MATERIALIZED (
+  SELECT part, row - 1 AS entry, v FROM parts WHERE row <= 64
+), members0 AS MATERIALIZED ({_ASSIGNED.format(book="book0")}
+), book1 AS MATERIALIZED ({_UPDATED.format(book="book0", members="members0")}
+), members1 AS MATERIALIZED ({_ASSIGNED.format(book="book1")}
+), book2 AS MATERIALIZED ({_UPDATED.format(book="book1", members="members1")}
+), members2 AS MATERIALIZED ({_ASSIGNED.format(book="book2")}
+), codes AS (
+  SELECT row, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(far)::BIGINT AS error FROM members2 GROUP BY row
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (row), digest
+"""
+
+
+OP12_DIVERGENCE = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWER} AS t FROM documents
+), words AS (
+  SELECT row, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM texts
+), kept AS (
+  SELECT lang, term, count(*) AS lang_n FROM words GROUP BY ALL HAVING count(DISTINCT row) >= 30
+), sizes AS (
+  SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+  SELECT lang, source, coalesce(any_value(v), 0) AS v, coalesce(any_value(lang_total), 0) AS lang_total, coalesce(any_value(total), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM texts) LEFT JOIN sizes USING (lang)
+    LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL) USING (lang, source)
+  GROUP BY ALL
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (total::HUGEINT + 5 * v) AS p,
+    1 + (1000000000::HUGEINT * (lang_n + 5)) // (lang_total::HUGEINT + 5 * v) AS q
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), distances AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), results AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN distances d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM results
+) WHERE part = 'pair' OR rank <= 50
+"""
+
+
+OP13_LINE_RUNS = """
+WITH lines AS (
+  SELECT row, doc_id, unnest(l) AS line, unnest(range(len(l))) AS place FROM (
+    SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+  )
+), keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+), firsts AS (
+  SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key
+), judged AS (
+  SELECT k.*, f.key IS NOT NULL AND k.doc_id IS DISTINCT FROM f.first AS gone FROM keyed k LEFT JOIN firsts f ON f.key = k.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY row, doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -130,4 +225,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_byte_shards": OP5_BYTE_SHARDS,
         "op7_host_rules": OP7_HOST_RULES,
         "op9_zip_warc": OP9_ZIP_WARC,
+        "op11_resident_codes": OP11_RESIDENT_CODES,
+        "op12_divergence": OP12_DIVERGENCE,
+        "op13_line_runs": OP13_LINE_RUNS,
     }

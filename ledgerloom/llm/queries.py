@@ -6,8 +6,23 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from ledgerloom.llm import bpe, byte_shards, chunk_dedup, gated_lm, host_rules, odd_sketch, pii_tagger, spaced_seed, url_templates, zip_warc
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import (
+    bpe,
+    byte_shards,
+    chunk_dedup,
+    divergence,
+    gated_lm,
+    host_rules,
+    line_runs,
+    odd_sketch,
+    pii_tagger,
+    resident_codes,
+    spaced_seed,
+    url_templates,
+    zip_warc,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -67,6 +82,22 @@ def op8_pii_tagger(spark: SparkSession, folder: str) -> DataFrame:
     return pii_tagger.personal_data(_table(spark, folder, "documents"))
 
 
+def op11_resident_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Product-quantisation codes of all embeddings after two Lloyd rounds: 16 parts, 64 entries."""
+    return resident_codes.vector_codes(_table(spark, folder, "embeddings"), parts=16, entries=64, rounds=2)
+
+
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Distances between all sources of each language, and each source's 50 most typical terms."""
+    return divergence.source_divergence(_table(spark, folder, "documents"))
+
+
+def op13_line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that an earlier document has; the digest is that of the text that stays."""
+    kept = line_runs.without_repeated_lines(_table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
@@ -79,4 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii_tagger": op8_pii_tagger,
         "op9_zip_warc": op9_zip_warc,
         "op10_url_templates": op10_url_templates,
+        "op11_resident_codes": op11_resident_codes,
+        "op12_divergence": op12_divergence,
+        "op13_line_runs": op13_line_runs,
     }

@@ -67,13 +67,15 @@ def slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         first = last
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word in ``data`` and the row that holds it (``offsets`` relative to ``data``)."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word in ``data`` and the row that holds it (``offsets`` relative to ``data``).
+
+    ``between`` tells for each byte value whether it lies between words."""
     n = len(data)
     if not n:
         empty = np.zeros(0, np.int64)
         return empty, empty, empty
-    inside = ~_SPACE[data]
+    inside = ~between[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     cuts = offsets[1:-1]

@@ -26,4 +26,4 @@ def test_stages_do_what_they_say(spark, tmp_path):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name.split("_")[0][2:]) for name in queries.queries()) == list(range(1, 11))
+    assert sorted(int(name.split("_")[0][2:]) for name in queries.queries()) == list(range(1, 14))
