@@ -132,8 +132,8 @@ def signed_log1p(value: Column) -> Column:
     return F.signum(number) * F.log1p(F.abs(number))
 
 
-def scaled_features(frame: DataFrame) -> DataFrame:
-    """Raw R/F/M plus their transformed z-scores (population deviation).
+def transformed_features(frame: DataFrame) -> DataFrame:
+    """Raw R/F/M plus their compressed values, not yet standardised.
 
     A missing recency stays null in the raw column; only the model copy uses one day more than
     the longest active recency.
@@ -141,13 +141,18 @@ def scaled_features(frame: DataFrame) -> DataFrame:
     raw = frame.select("customer_id", *[F.col(c).cast("double").alias(c) for c in RFM_COLUMNS])
     longest = raw.where(F.col("frequency") > 0).agg(F.max("recency_days")).scalar()
     filled = F.coalesce(F.col("recency_days"), longest + 1, F.lit(1.0))
-    transformed = raw.withColumns(
+    return raw.withColumns(
         {
             "recency_scaled": signed_log1p(filled),
             "frequency_scaled": signed_log1p(F.col("frequency")),
             "monetary_scaled": signed_log1p(F.col("monetary")),
         }
     )
+
+
+def scaled_features(frame: DataFrame) -> DataFrame:
+    """Raw R/F/M plus their transformed z-scores (population deviation)."""
+    transformed = transformed_features(frame)
     names = ["recency_scaled", "frequency_scaled", "monetary_scaled"]
     moments = transformed.agg(
         *[F.avg(n).alias(f"{n}_mean") for n in names], *[F.stddev_pop(n).alias(f"{n}_spread") for n in names]
@@ -157,4 +162,4 @@ def scaled_features(frame: DataFrame) -> DataFrame:
         spread = F.when(F.col(f"{name}_spread") > 0, F.col(f"{name}_spread")).otherwise(F.lit(1.0))
         return ((F.col(name) - F.col(f"{name}_mean")) / spread).alias(name)
 
-    return attach_row(transformed, moments).select(*raw.columns, *[standard(n) for n in names])
+    return attach_row(transformed, moments).select("customer_id", *RFM_COLUMNS, *[standard(n) for n in names])

@@ -12,21 +12,13 @@ from ledgerloom.plans import catalog
 
 QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 
-# Iterative fits: no SQL form.
-WITHOUT_ORACLE = {
-    "k01_evaluate_kmeans", "k02_select_k", "k03_fit_kmeans", "k04_cluster_profile",
-    "k05_segment_cluster_crosstab", "k06_clustering_stability",
-}
-
-
 @pytest.fixture(scope="module")
 def con():
     return duck(SMALL)
 
 
-def test_every_query_has_an_oracle_but_the_iterative_ones():
-    assert set(QUERIES) - set(ORACLES) == WITHOUT_ORACLE
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_every_operator_family_is_covered():
