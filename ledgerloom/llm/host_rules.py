@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.staging import staged
+from ledgerloom.llm.staging import free_names, staged
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20  # of the words, in five-word windows found more than once
@@ -128,6 +128,7 @@ def host_verdicts(docs: DataFrame, host: str = "source") -> DataFrame:
 
 def kept_documents(docs: DataFrame, host: str = "source") -> DataFrame:
     """The rows of ``docs`` that pass, all columns kept."""
-    dropped = host_verdicts(docs, host).where(~F.col("kept")).select(F.col("doc_id").alias("__dropped_id"), F.col("text_key").alias("__dropped_key"))
-    same = F.col("doc_id").eqNullSafe(F.col("__dropped_id")) & (F.xxhash64("text") == F.col("__dropped_key"))
+    dropped_id, dropped_key = free_names(docs, "dropped_id", "dropped_key")
+    dropped = host_verdicts(docs, host).where(~F.col("kept")).select(F.col("doc_id").alias(dropped_id), F.col("text_key").alias(dropped_key))
+    same = F.col("doc_id").eqNullSafe(F.col(dropped_id)) & (F.xxhash64("text") == F.col(dropped_key))
     return docs.join(dropped, same, "left_anti")

@@ -16,17 +16,16 @@ def _is_star_forest(edges: DataFrame) -> bool:
     return nodes.where("low > 1 or (low > 0 and high > 0)").agg(F.count("*")).first()[0] == 0
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int | None = None) -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root): every node with links that is not its component's smallest node, and that smallest node.
 
     Each round first hangs every larger neighbour on the smallest node around (large star), then every
     smaller neighbour (small star); the number of rounds grows with the logarithm of the longest path. Both
     stars are one aggregation and one join, so a node with very many links is pre-summed per task and its
-    join partition can be split. Rounds end when only stars are left, or after ``rounds``: then a root is some
-    smaller node of the same component, which is enough where roots only save work.
+    join partition can be split. Rounds end when only stars are left. Links with a null end or from a node to itself join nothing;
+    repeated links count once, and an empty table gives no rows.
     """
     edges = staged(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links")
-    done = 0
     while not _is_star_forest(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -35,7 +34,4 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int | None
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         edges = staged(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
-        done += 1
-        if done == rounds:
-            break
     return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))

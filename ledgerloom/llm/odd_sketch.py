@@ -17,10 +17,13 @@ Buckets are never expanded into all their pairs:
 1. Equal sets are one class, represented by the row with the smallest doc_id.
 2. Every class is tried against one leader of each of its buckets; the leader with the best estimate is
    confirmed. A group of near copies thereby falls together at a cost linear in its size.
-3. Only buckets that still hold several components are searched, and only across components. A bucket
-   of over ``BLOCK`` members is cut into blocks, and each pair of blocks is one task's work. First the best-looking
-   pair of each two components is confirmed, which joins what belongs together. Then every likely
-   pair that is still across components is confirmed, so no link is left out.
+3. Only buckets that still hold several components are searched, and only across components, which are run to the end
+   before each search. Members of the bucket's largest component are laid against the others alone; the others are cut into
+   blocks, by number and by size, and each pair of blocks is one task's work. First the best-looking pair of
+   each two components is confirmed, which joins what belongs together. Then every likely pair that is still across
+   components is confirmed, so no link is left out. Where a task finds more than ``DENSE`` likely pairs a row (a group whose
+   members lie just under the threshold, say), it passes on its rows instead of its pairs: their full sets meet in one task,
+   which counts the intersections and gives a spanning forest of the links, less than one link a row.
 
 Defined results: a null, empty or blank text has an empty set (size 0) and is linked with nothing; fewer words
 than a shingle make one shingle of all words. Rows that repeat a doc_id are judged by their own texts.
@@ -39,15 +42,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.links import components
-from ledgerloom.llm.staging import staged
+from ledgerloom.llm.staging import free_names, staged
 from ledgerloom.llm.text import hashed_words, mix, row_ranges
 
 BANDS, ROWS = 48, 6
 SAMPLE = 1024
 SKETCH_BITS = 2048
 MARGIN_WHOLE, MARGIN_SAMPLED = 0.035, 0.1
-BLOCK = 1000
-EARLY_ROUNDS = 1  # of joining components before the last search
+BLOCK = 1000  # rows of a block
+BLOCK_SHINGLES = 1 << 20  # and shingles, as far as single rows allow
+DENSE = 4
 _PERMUTATIONS = BANDS * ROWS
 _WORDS = SKETCH_BITS // 64
 _U = np.uint64
@@ -173,14 +177,18 @@ def _sets(width: int):
     return run
 
 
+def _full_sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(rid, shingles) of the rows ``wanted`` (rid)."""
+    wanted = wanted.distinct().join(classes, "rid").select("rid", "digest", F.col("doc_id").alias("wanted_id"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("rid", "digest", "text")
+    return staged(found.mapInArrow(_sets(width), "rid long, shingles array<long>").dropDuplicates(["rid"]), "sets")
+
+
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b: row numbers) with 100 * intersection >= percent * union, on full sets."""
     pairs = staged(pairs.select("a", "b").distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
-    wanted = wanted.join(classes, "rid").select("rid", "digest", F.col("doc_id").alias("wanted_id"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("rid", "digest", "text")
-    sets = staged(found.mapInArrow(_sets(width), "rid long, shingles array<long>").dropDuplicates(["rid"]), "sets")
+    sets = _full_sets(pairs.select(F.col("a").alias("rid")).union(pairs.select("b")), classes, docs, width)
     left = sets.select(F.col("rid").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("rid").alias("b"), F.col("shingles").alias("y"))
     joined = pairs.join(left, "a").join(right, "b")
@@ -188,6 +196,50 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     return staged(joined.where(F.col("i") * 100 >= (F.col("s") - F.col("i")) * percent).select("a", "b"), "confirmed")
 
 
+def _forest(percent: int):
+    def run(group: pa.Table) -> pa.Table:
+        """Links between the rows of one dense task, as a spanning forest over the components that they are in already."""
+        group = group.sort_by("rid")
+        rid, root, side = (group[c].to_numpy() for c in ("rid", "root", "side"))
+        sets = group["shingles"].combine_chunks()
+        sizes = sets.value_lengths().to_numpy().astype(np.int64)
+        owner = np.repeat(np.arange(len(rid)), sizes)
+        kinds, which = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        by_kind = np.argsort(which, kind="stable")
+        begins, holders = np.searchsorted(which[by_kind], np.arange(len(kinds) + 1)), owner[by_kind]
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        two_sides = side.min() < side.max()
+        tree: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (up := tree.get(x, x)) != x:
+                tree[x] = tree.get(up, up)
+                x = up
+            return x
+
+        links = []
+        for at in range(len(rid)):
+            if two_sides and side[at]:
+                continue
+            mine = which[bounds[at] : bounds[at + 1]]
+            common = np.zeros(len(rid), np.int64)
+            for kind in mine:
+                common[holders[begins[kind] : begins[kind + 1]]] += 1
+            linked = (root != root[at]) & (100 * common >= percent * (sizes + sizes[at] - common))
+            if two_sides:
+                linked &= side == 1
+            else:
+                linked[: at + 1] = False
+            for other in np.flatnonzero(linked).tolist():
+                x, y = top(int(root[at])), top(int(root[other]))
+                if x != y:
+                    tree[max(x, y)] = min(x, y)
+                    links.append((int(rid[at]), int(rid[other])))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return run
+
+
 def _likely(percent: int):
     """Sizes that allow the threshold at all, and an estimate not clearly below it."""
     sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
@@ -208,10 +260,11 @@ def _across(percent: int, best: bool):
     low = percent / 100
 
     def run(group: pa.Table) -> pa.Table:
-        """Likely pairs of one bucket, or of two blocks of it, that lie in different components.
+        """Likely pairs of one block, or of two blocks, that lie in different components.
 
         ``best`` keeps the best-looking pair of each two components. Otherwise every likely pair is
-        given, once: in the first bucket that both texts share.
+        given, once: in the first bucket that both texts share. Of very many pairs only the rows are given, as pairs
+        without a second row.
         """
         order = np.lexsort((group["rid"].to_numpy(), group["side"].to_numpy()))
         rid, root, size, side = (group[c].to_numpy()[order] for c in ("rid", "root", "n", "side"))
@@ -249,34 +302,71 @@ def _across(percent: int, best: bool):
             new[1:] = (np.diff(lower[ranked]) != 0) | (np.diff(upper[ranked]) != 0)
             keep = ranked[new]
             a, b, alike, lower, upper = a[keep], b[keep], alike[keep], lower[keep], upper[keep]
-        columns = (np.minimum(rid[a], rid[b]), np.maximum(rid[a], rid[b]), alike, lower, upper)
+        if not best and len(a) > DENSE * len(rid):
+            used = np.unique(np.concatenate([a, b]))
+            task = [np.full(len(used), group[c][0].as_py()) for c in _TASK]
+            columns = (rid[used], [None] * len(used), [None] * len(used), root[used], side[used], *task)
+        else:
+            columns = (np.minimum(rid[a], rid[b]), np.maximum(rid[a], rid[b]), alike, lower, upper, *[[None] * len(a)] * len(_TASK))
         return pa.table({c: pa.array(v, t) for (c, t), v in zip(_PAIR.items(), columns)})
 
     return run
 
 
-_PAIR = {"a": pa.int64(), "b": pa.int64(), "e": pa.float64(), "lower": pa.int64(), "upper": pa.int64()}
+_TASK = ["key", "kind", "p", "q"]
+_PAIR = {
+    "a": pa.int64(), "b": pa.int64(), "e": pa.float64(), "lower": pa.int64(), "upper": pa.int64(),
+    "key": pa.int64(), "kind": pa.int32(), "p": pa.int32(), "q": pa.int32(),
+}
 
 
-def _within_open_buckets(members: DataFrame, classes: DataFrame, roots: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Likely pairs across components in the buckets that hold more than one component."""
+_PAIR_SCHEMA = "a long, b long, e double, lower long, upper long, key long, kind int, p int, q int"
+
+
+def _tasks(members: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of buckets that hold more than one component, dealt to the tasks (key, kind, p, q) that compare them.
+
+    Kind 0 compares blocks p and q of the rows outside the largest component; kind 1 compares part p of that component with
+    block q of the others. So a bucket costs its largest component only once for each block of the others.
+    """
     placed = members.join(roots.toDF("rid", "found_root"), "rid", "left")
-    placed = staged(placed.select("key", "rid", F.coalesce("found_root", "rid").alias("root")), "placed")
-    still_open = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
-    still_open = staged(still_open.where("low < high").select("key", "members"), "open-buckets")
-    rows = placed.join(still_open, "key").join(classes.select("rid", "n", "sketch", "keys"), "rid")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select(
-        "key", "rid", "root", "n", "sketch", "keys", F.least("block", "with").alias("p"), F.greatest("block", "with").alias("q"),
-        (F.col("block") > F.col("with")).cast("int").alias("side"),
+    placed = staged(placed.select("key", "rid", "n", F.coalesce("found_root", "rid").alias("root")), "placed")
+    # each row counts for its part of a full block, by number or by shingles
+    parts = placed.groupBy("key", "root").agg(F.sum(F.greatest(F.lit(1 / BLOCK), F.col("n") / BLOCK_SHINGLES)).alias("weight"))
+    still_open = parts.groupBy("key").agg(F.max(F.struct("weight", "root")).alias("main"), F.sum("weight").alias("weight"), F.count("*").alias("components"))
+    blocks = lambda c: F.greatest(F.ceil(c - 1e-9), F.lit(1)).cast("int")
+    still_open = still_open.where("components > 1").select(
+        "key", F.col("main.root").alias("main"), blocks(F.col("main.weight")).alias("main_parts"), blocks(F.col("weight") - F.col("main.weight")).alias("blocks")
     )
-    schema = "a long, b long, e double, lower long, upper long"
-    pairs = rows.groupBy("key", "p", "q").applyInArrow(_across(percent, best), schema)
-    if best:
-        pairs = pairs.groupBy("lower", "upper").agg(F.max_by(F.struct("a", "b"), F.struct("e", "a", "b")).alias("pair")).select("pair.*")
-    return pairs.select("a", "b")
+    rows = placed.join(staged(still_open, "open-buckets"), "key").join(classes.select("rid", "sketch", "keys"), "rid")
+    in_main = F.col("root") == F.col("main")
+    block = F.pmod(F.xxhash64("rid"), F.when(in_main, F.col("main_parts")).otherwise(F.col("blocks"))).cast("int")
+    rows = rows.withColumn("block", block)
+    # p and q are packed with the kind and the side, so that one explode deals a row to all of its tasks
+    task = lambda kind, p, q, side: F.struct(F.lit(kind).alias("kind"), p.alias("p"), q.alias("q"), side.cast("int").alias("side"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    at = F.col("block")
+    as_main = F.transform(upto(F.col("blocks")), lambda q: task(1, at, q, F.lit(1)))
+    as_other = F.transform(upto(F.col("blocks")), lambda q: task(0, F.least(at, q), F.greatest(at, q), at > q))
+    against = F.transform(upto(F.col("main_parts")), lambda p: task(1, p, at, F.lit(0)))
+    rows = rows.withColumn("task", F.explode(F.when(in_main, as_main).otherwise(F.concat(as_other, against))))
+    return rows.select("key", "task.*", "rid", "root", "n", "sketch", "keys")
+
+
+def _best_links(rows: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Confirmed links among the best-looking pairs of each two components that meet in a bucket."""
+    pairs = rows.groupBy(*_TASK).applyInArrow(_across(percent, True), _PAIR_SCHEMA)
+    pairs = pairs.groupBy("lower", "upper").agg(F.max_by(F.struct("a", "b"), F.struct("e", "a", "b")).alias("pair")).select("pair.*")
+    return confirmed(pairs, classes, docs, width, percent)
+
+
+def _all_links(rows: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Confirmed links that join all components which any link across them joins."""
+    found = staged(rows.groupBy(*_TASK).applyInArrow(_across(percent, False), _PAIR_SCHEMA), "likely")
+    dense = found.where("b is null").select(F.col("a").alias("rid"), F.col("lower").alias("root"), F.col("upper").cast("int").alias("side"), *_TASK)
+    sets = _full_sets(dense.select("rid"), classes, docs, width)
+    forest = dense.join(sets, "rid").groupBy(*_TASK).applyInArrow(_forest(percent), "a long, b long")
+    return confirmed(found.where("b is not null"), classes, docs, width, percent).unionByName(staged(forest, "forest"))
 
 
 def _judged(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -286,17 +376,16 @@ def _judged(docs: DataFrame, width: int, percent: int) -> DataFrame:
     first = staged(first.select("digest", F.col("f.rid").alias("class"), F.col("f.doc_id").alias("class_id")), "classes")
     classes = staged(signed.join(first.select(F.col("class").alias("rid")), "rid", "left_semi"), "class-signatures")
 
-    keyed = classes.select("rid", F.explode("keys").alias("key"))
+    keyed = classes.select("rid", "n", F.explode("keys").alias("key"))
     buckets = keyed.groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct(F.xxhash64("rid", "key"), "rid")).alias("l"))
     buckets = staged(buckets.where("members > 1").select("key", F.col("l.rid").alias("leader")), "buckets")
     members = staged(keyed.join(buckets, "key"), "members")
 
     links = confirmed(_to_leaders(members, classes, percent), classes, docs, width, percent)
-    roots = staged(components(links, rounds=EARLY_ROUNDS), "roots")
-    for best in (True, False):
-        more = confirmed(_within_open_buckets(members, classes, roots, percent, best), classes, docs, width, percent)
-        links = links.unionByName(more)
-        roots = staged(components(links, rounds=EARLY_ROUNDS if best else None), "roots")
+    roots = staged(components(links), "roots")
+    for search in (_best_links, _all_links):
+        links = links.unionByName(search(_tasks(members, classes, roots), classes, docs, width, percent))
+        roots = staged(components(links), "roots")
 
     placed = first.join(roots.toDF("class", "root"), "class", "left").select("digest", "class_id", F.coalesce("root", "class").alias("root"))
     placed = staged(placed, "placed-classes")
@@ -326,7 +415,8 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     judged = _judged(docs, width, percent)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
     first = judged.where("root is not null").groupBy("root").agg(F.min(order).alias("f")).select("f.doc_id", "f.text_key")
-    stay = first.unionByName(judged.where("root is null").select("doc_id", "text_key")).toDF("__stay_id", "__stay_key")
-    marked = docs.withColumn("__text_key", F.xxhash64("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__stay_id")) & (F.col("__text_key") == F.col("__stay_key"))
-    return marked.join(stay, same, "left_semi").dropDuplicates(["doc_id", "__text_key"]).drop("__text_key")
+    stay_id, stay_key, text_key = free_names(docs, "stay_id", "stay_key", "text_key")
+    stay = first.unionByName(judged.where("root is null").select("doc_id", "text_key")).toDF(stay_id, stay_key)
+    marked = docs.withColumn(text_key, F.xxhash64("text"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(stay_id)) & (F.col(text_key) == F.col(stay_key))
+    return marked.join(stay, same, "left_semi").dropDuplicates(["doc_id", text_key]).drop(text_key)

@@ -41,6 +41,18 @@ def partitions_for(spark: SparkSession, size: int) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores appended until no column of ``df`` has it, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
     """Removes the folders that are staged inside the block when it ends."""
