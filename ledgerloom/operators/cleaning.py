@@ -15,6 +15,7 @@ from ..schema import CLEAN_COLUMNS, LEDGER_COLUMNS, NON_PRODUCT_CODES, NON_PRODU
 from ..sources.sheets import require_ledger_columns, sheet_position
 
 _KEY = [f"`{c}`" for c in LEDGER_COLUMNS]
+FILTER_BITS = 26  # of the set filter of repeated hashes: 8 MB of bits, at most a million rows
 
 
 def normalise(ledger: DataFrame) -> DataFrame:
@@ -36,19 +37,36 @@ def normalise(ledger: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_groups(rows: DataFrame) -> DataFrame:
-    """Groups of rows equal in all eight columns, one output row per group and sheet.
+def suspect_filter(hashed: DataFrame) -> DataFrame:
+    """A set filter of the ``_hash`` values that occur more than once: (_word, _bits), at most 2**(FILTER_BITS - 6) rows.
 
-    A narrow first pass counts 64-bit row hashes; only rows whose hash repeats are compared
-    on their real columns.  Counting is pre-aggregated before every shuffle, so a group that
-    holds a large share of the ledger costs one partial row per task.
+    Each repeated hash sets the bit that its low FILTER_BITS bits name. Only hashes and counts are shuffled for it.
+    """
+    repeated = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    bit = F.expr("shiftleft(1L, cast(_hash & 63 as int))")
+    return repeated.groupBy(_filter_word(F.col("_hash")).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+
+
+def _filter_word(value: Column) -> Column:
+    return F.shiftright(value.bitwiseAND((1 << FILTER_BITS) - 1), 6)
+
+
+def split_suspects(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_hash`` and ``_suspect``: true for every member of a repeated hash, and for few others.
+
+    The filter has a fixed largest size, so it is broadcast however large the ledger is; if it fills up, more rows are suspects,
+    which costs time but no correctness.
     """
     hashed = rows.withColumn("_hash", F.xxhash64(*_KEY))
-    suspects = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
-    per_sheet = (
-        hashed.join(suspects, "_hash", "left_semi")
-        .groupBy("_hash", *_KEY, "source_sheet")
-        .agg(F.count(F.lit(1)).alias("copies"), F.min("source_order").alias("_first"))
+    members = F.broadcast(suspect_filter(hashed))
+    held = hashed.join(members, _filter_word(F.col("_hash")) == F.col("_word"), "left")
+    inside = F.getbit(F.col("_bits"), F.col("_hash").bitwiseAND(63).cast("int")) == 1
+    return held.withColumn("_suspect", truth(inside)).drop("_word", "_bits")
+
+
+def _groups_of(suspects: DataFrame) -> DataFrame:
+    per_sheet = suspects.groupBy("_hash", *_KEY, "source_sheet").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("source_order").alias("_first")
     )
     # One row per sheet and group: the window never holds more rows than there are sheets.
     group = Window.partitionBy("_hash", *_KEY)
@@ -59,26 +77,38 @@ def duplicate_groups(rows: DataFrame) -> DataFrame:
     ).where("copies > 1 OR sheets > 1")
 
 
+def duplicate_groups(rows: DataFrame) -> DataFrame:
+    """Groups of rows equal in all eight columns, one output row per group and sheet.
+
+    Only rows that the filter of repeated 64-bit hashes lets through are compared on their real columns.
+    Counting is pre-aggregated before every shuffle, so a group that
+    holds a large share of the ledger costs one partial row per task.
+    """
+    return _groups_of(split_suspects(rows).where("_suspect"))
+
+
 def flag_duplicates(rows: DataFrame) -> DataFrame:
-    """Add both duplicate flags and ``is_repeat_of_earlier_sheet``."""
-    left = rows.withColumn("_hash", F.xxhash64(*_KEY)).alias("r")
-    groups = duplicate_groups(rows).alias("g")
-    same_row = (F.col("r._hash") == F.col("g._hash")) & (
-        F.col("r.source_sheet") == F.col("g.source_sheet")
-    )
+    """Add both duplicate flags and ``is_repeat_of_earlier_sheet``.
+
+    Rows that the filter clears are flagged where they are scanned; only suspects are shuffled.
+    """
+    split = split_suspects(rows)
+    columns = [*_KEY, "source_sheet", "source_order"]
+    flags = ["is_duplicate_within_sheet", "is_duplicate_cross_sheet", "is_repeat_of_earlier_sheet"]
+    clear = split.where(~F.col("_suspect")).select(*columns, *[F.lit(False).alias(flag) for flag in flags])
+    suspects = split.where("_suspect")
+    left, groups = suspects.alias("r"), _groups_of(suspects).alias("g")
+    same_row = (F.col("r._hash") == F.col("g._hash")) & (F.col("r.source_sheet") == F.col("g.source_sheet"))
     for name in _KEY:
         same_row = same_row & F.col(f"r.{name}").eqNullSafe(F.col(f"g.{name}"))
     crosses = truth(F.col("g.sheets") > 1)
-    return left.join(groups, same_row, "left").select(
-        *[F.col(f"r.{c}") for c in _KEY],
-        "r.source_sheet",
-        "r.source_order",
-        truth(F.col("g.copies") > 1).alias("is_duplicate_within_sheet"),
-        crosses.alias("is_duplicate_cross_sheet"),
-        (crosses & (F.col("r.source_sheet") != F.col("g.first_sheet"))).alias(
-            "is_repeat_of_earlier_sheet"
-        ),
+    settled = left.join(groups, same_row, "left").select(
+        *[F.col(f"r.{c}") for c in columns],
+        truth(F.col("g.copies") > 1).alias(flags[0]),
+        crosses.alias(flags[1]),
+        (crosses & (F.col("r.source_sheet") != F.col("g.first_sheet"))).alias(flags[2]),
     )
+    return clear.unionByName(settled)
 
 
 def drop_cross_sheet_repeats(flagged: DataFrame) -> DataFrame:

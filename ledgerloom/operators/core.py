@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from ..functions.expressions import money, round_half_even, sum_if
 from ..functions.ranks import continuous_quantiles, value_ranks
 from ..schema import CORE_SCHEMAS, FLAG_COLUMNS, PHYSICAL, PRODUCT_TYPES
+from ..session import scratch_table
 from ..sources.sheets import SHEET_SHIFT
 
-# Rows per block of source positions when numbering retained rows.
-BLOCK_BITS = 20
+# Source positions of one block of the index that numbers retained rows; at least 6 bits.
+BLOCK_BITS = 15
 
 
 def unit_price(price: Column) -> Column:
@@ -44,27 +45,53 @@ def core_rows(clean: DataFrame) -> DataFrame:
     )
 
 
-def number_rows(rows: DataFrame) -> DataFrame:
-    """1-based ordinal of each retained row within its sheet, as ``source_row_number``.
+def position_index(rows: DataFrame) -> DataFrame:
+    """Which source positions are taken: (source_sheet, _block, _before, _prefix, _words), one row per block of 2**BLOCK_BITS positions.
 
-    Positions are cut into blocks of 2**BLOCK_BITS; a row's ordinal is the prefix sum of the
-    block sizes before it plus its rank inside the block, so no task orders a whole sheet.
+    ``_before`` counts the rows of all earlier blocks of the sheet. A block without a hole needs nothing else; one with holes has its
+    positions as bits, 64 a word, and the running count of rows before each word. Only positions are read and shuffled for it.
     """
-    blocked = rows.withColumn("_block", F.shiftright("source_order", BLOCK_BITS))
-    # One row per block from here: about a millionth of the ledger.
-    sheet = Window.partitionBy("source_sheet").orderBy("_block")
-    offsets = (
-        blocked.groupBy("source_sheet", "_block")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .select("source_sheet", "_block", (F.sum("_size").over(sheet) - F.col("_size")).alias("_before"))
+    order, word_of_block = F.col("source_order"), (1 << (BLOCK_BITS - 6)) - 1
+    words = rows.groupBy("source_sheet", F.shiftright("source_order", 6).alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(source_order & 63 as int))")).alias("_bits"),
+        F.max(order.bitwiseAND((1 << BLOCK_BITS) - 1)).alias("_last"),
     )
-    inside = Window.partitionBy("source_sheet", "_block").orderBy("source_order")
-    return (
-        blocked.withColumn("_rank", F.row_number().over(inside))
-        .join(offsets, ["source_sheet", "_block"])
-        .withColumn("source_row_number", F.col("_before") + F.col("_rank"))
-        .drop("_block", "_rank", "_before")
+    # At most 2**(BLOCK_BITS - 6) words a block.
+    blocks = words.groupBy("source_sheet", F.shiftright("_word", BLOCK_BITS - 6).alias("_block")).agg(
+        F.sum(F.bit_count("_bits")).alias("_size"),
+        F.max("_last").alias("_last"),
+        F.map_from_entries(F.collect_list(F.struct(F.col("_word").bitwiseAND(word_of_block).cast("int"), "_bits"))).alias("_held"),
     )
+    # Rows before a block: those of earlier groups of blocks, and of earlier blocks of its group.
+    group = F.shiftright("_block", BLOCK_BITS)
+    groups = blocks.groupBy("source_sheet", group.alias("_group")).agg(F.sum("_size").alias("_group_size"))
+    sheet = Window.partitionBy("source_sheet").orderBy("_group")
+    groups = groups.withColumn("_earlier", F.sum("_group_size").over(sheet) - F.col("_group_size")).drop("_group_size")
+    inside = Window.partitionBy("source_sheet", "_group").orderBy("_block")
+    blocks = blocks.withColumn("_group", group).withColumn("_inside", F.sum("_size").over(inside) - F.col("_size"))
+    blocks = blocks.join(groups, ["source_sheet", "_group"])
+    dense = F.transform(F.sequence(F.lit(0), F.lit(word_of_block)), lambda w: F.coalesce(F.element_at("_held", w), F.lit(0).cast("bigint")))
+    holes = F.col("_last") + 1 > F.col("_size")
+    blocks = blocks.withColumn("_words", F.when(holes, dense))
+    prefix = F.transform(
+        "_words", lambda _, w: F.aggregate(F.slice("_words", 1, w), F.lit(0), lambda total, bits: total + F.bit_count(bits))
+    )
+    return blocks.select("source_sheet", "_block", (F.col("_earlier") + F.col("_inside")).alias("_before"), prefix.alias("_prefix"), "_words")
+
+
+def number_rows(rows: DataFrame) -> DataFrame:
+    """1-based ordinal of each retained row within its sheet, as ``source_row_number``.
+
+    Rows stay where they are: a number is the row's place in its block, less the holes before it, plus the rows of earlier blocks. The
+    index is written first, so that Spark sees its size and sends it to the rows while it is small.
+    """
+    index = scratch_table(position_index(rows), "positions")
+    place = F.col("source_order").bitwiseAND((1 << BLOCK_BITS) - 1).cast("int")
+    word = F.shiftright(place, 6)
+    lower = F.get("_words", word).bitwiseAND(F.expr("~shiftleft(-1L, cast(source_order & 63 as int))"))
+    rank = F.when(F.col("_words").isNull(), place).otherwise(F.get("_prefix", word) + F.bit_count(lower))
+    located = rows.withColumn("_block", F.shiftright("source_order", BLOCK_BITS)).join(index, ["source_sheet", "_block"])
+    return located.withColumn("source_row_number", F.col("_before") + rank + 1).drop("_block", "_before", "_prefix", "_words")
 
 
 def attribute_mode(stats: DataFrame, value: str) -> Column:

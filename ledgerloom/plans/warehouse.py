@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cleaning, core, marts
 from ..schema import CORE_TABLES, DEFAULT_SOURCE_SYSTEM
-from ..session import scratch_dir
+from ..session import drop_scratch, scratch_dir
 from ..sources import adapter, sheets
 from ..sources.fingerprint import ledger_fingerprint
 
@@ -113,6 +113,7 @@ class Warehouse:
         """Remove this run's staged tables; the folder is this warehouse's own."""
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        drop_scratch(self.spark)
         self._frames.clear()
         _OPEN.pop((self.spark.sparkContext.applicationId, self.folder), None)
 

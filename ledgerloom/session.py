@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Broadcast is chosen by Spark from measured sizes only; nothing in this package hints one on
 # data that grows. AQE splits skewed join partitions and coalesces small ones.
@@ -44,3 +46,25 @@ def scratch_dir(spark: SparkSession) -> str:
     path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/ledgerloom-scratch"
     spark.conf.set("spark.checkpoint.dir", path)
     return path
+
+
+_scratch: dict[str, list[str]] = {}
+
+
+def scratch_table(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once below the scratch folder and read back, so that plans know its size and start from files.
+
+    For small intermediate tables such as an index; ``drop_scratch`` removes those of the application.
+    """
+    spark = df.sparkSession
+    application = spark.sparkContext.applicationId
+    folder = f"{scratch_dir(spark)}/ledgerloom/{application}/scratch/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    _scratch.setdefault(application, []).append(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    for folder in _scratch.pop(spark.sparkContext.applicationId, []):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
