@@ -27,13 +27,14 @@ BLOCKS = {
         FROM ({ADAPTER_SQL.format(**{t: t for t in ADAPTER_TABLES})}) AS adapted
     """,
     "led_print": """
-        SELECT sha256(concat(count(*), ':', sum(('0x' || substr(md5(
-            concat_ws('|', coalesce(invoice, '\\N'), coalesce(stock_code, '\\N'), coalesce(description, '\\N'),
-                quantity::DECIMAL(38, 6)::VARCHAR, strftime(invoice_date, '%Y-%m-%d %H:%M:%S'),
-                price::DECIMAL(38, 6)::VARCHAR, coalesce(customer_id::DECIMAL(38, 6)::VARCHAR, '\\N'),
-                coalesce(country, '\\N'), source_sheet)
-            ), 1, 12))::BIGINT))) AS print, count(*) AS n
-        FROM led_raw
+        SELECT sha256(concat_ws(':', count(*), sum(('0x' || substr(h, 1, 15))::HUGEINT), sum(('0x' || substr(h, 16, 15))::HUGEINT))) AS print,
+            count(*) AS n
+        FROM (
+            SELECT sha256(to_json([invoice, stock_code, description, quantity::VARCHAR, strftime(invoice_date, '%Y-%m-%d %H:%M:%S.%f'),
+                CASE WHEN price = floor(price) THEN price::BIGINT::VARCHAR ELSE price::VARCHAR END, customer_id::VARCHAR, country,
+                source_sheet])::VARCHAR) AS h
+            FROM led_raw
+        )
     """,
     "led_norm": """
         SELECT trim(invoice) AS invoice, upper(trim(stock_code)) AS stock_code,

@@ -71,7 +71,7 @@ class Warehouse:
             )
             sheets.write_raw_snapshot(ledger, path, adapter.SOURCE_ORDER)
             folders = sheets.snapshot_sheets(path, adapter.SHEETS)
-            self._frames["raw"] = sheets.read_sheets(self.spark, folders)
+            self._frames["raw"] = sheets.read_sheets(self.spark, folders, snapshot=True)
         return self._frames["raw"]
 
     def fingerprint(self) -> str:

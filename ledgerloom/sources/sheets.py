@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,11 +13,7 @@ SHEET_BITS = 12
 FILE_BITS = 22
 ROW_BITS = 29
 SHEET_SHIFT = FILE_BITS + ROW_BITS
-
-# The file listing and the file metadata column write the slashes after a scheme differently,
-# so the listing carries every spelling and rows match without a per-row rewrite.
-_SCHEME = re.compile(r"^([a-z0-9]+):/+")
-
+ROWS_PER_TASK = 1 << 20  # of a raw snapshot
 
 def require_ledger_columns(ledger: DataFrame) -> DataFrame:
     """Fail on a missing source column; a ledger without sheet gets ``unknown``."""
@@ -40,38 +34,32 @@ def sheet_position(sheet: int, file: Column, row: Column) -> Column:
     return F.when(fits, packed).otherwise(F.raise_error(F.lit("source position out of range")).cast("bigint"))
 
 
-def _part_number(path: str) -> int | None:
-    part = re.search(r"part-(\d+)", path.rsplit("/", 1)[-1])
-    return int(part.group(1)) if part else None
+def _part_number(path: Column) -> Column:
+    return F.regexp_extract(path, r"part-(\d+)[^/]*$", 1).try_cast("bigint")
 
 
-def _file_table(spark: SparkSession, files: list[str]) -> DataFrame:
-    rows = [
-        (spelling, index)
-        for index, path in enumerate(sorted(files, key=lambda p: (_part_number(p) or 0, p)))
-        for spelling in {_SCHEME.sub(r"\1:/", path), _SCHEME.sub(r"\1:///", path), path}
-    ]
-    # Grouping declares the path unique, which lets Catalyst drop the join wherever the source
-    # position is not used.
-    listing = spark.createDataFrame(rows, "_path string, _file long")
-    return listing.groupBy("_path").agg(F.min("_file").alias("_file"))
+def _file_order(sheet: DataFrame) -> DataFrame:
+    """(_path, _file): the files of a sheet in order of their part numbers, then names; one row per file."""
+    paths = sheet.select(F.col("_metadata.file_path").alias("_path")).distinct()
+    order = Window.orderBy(F.coalesce(_part_number(F.col("_path")), F.lit(0)), "_path")
+    return paths.select("_path", (F.row_number().over(order) - 1).cast("bigint").alias("_file"))
+
 
+def read_sheet(spark: SparkSession, path: str, name: str, position: int, *, snapshot: bool = False) -> DataFrame:
+    """One Parquet sheet plus ``source_sheet`` and the sortable ``source_order``.
 
-def read_sheet(spark: SparkSession, path: str, name: str, position: int) -> DataFrame:
-    """One Parquet sheet plus ``source_sheet`` and the sortable ``source_order``."""
+    The files of a ``snapshot`` carry their order in their names; those of other folders are listed by a query.
+    """
     sheet = spark.read.parquet(path)
-    files = sheet.inputFiles()
-    parts = [_part_number(f) for f in files]
     located = sheet.select(
         "*",
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.row_index").alias("_row"),
     )
-    if None not in parts and len(set(parts)) == len(parts):
-        # Files of a snapshot carry their order in their name.
-        located = located.withColumn("_file", F.regexp_extract("_path", r"part-(\d+)[^/]*$", 1).cast("bigint"))
+    if snapshot:
+        located = located.withColumn("_file", _part_number(F.col("_path")))
     else:
-        located = located.join(_file_table(spark, files), "_path", "left")
+        located = located.join(_file_order(sheet), "_path", "left")
     file = F.coalesce("_file", F.raise_error(F.lit("row comes from an unlisted file")).cast("bigint"))
     return located.select(
         *[F.col(f"`{c}`") for c in sheet.columns],
@@ -80,23 +68,28 @@ def read_sheet(spark: SparkSession, path: str, name: str, position: int) -> Data
     )
 
 
-def read_sheets(spark: SparkSession, sheets: dict[str, str]) -> DataFrame:
+def read_sheets(spark: SparkSession, sheets: dict[str, str], *, snapshot: bool = False) -> DataFrame:
     """N Parquet sheets as one ledger; dictionary order is sheet order."""
-    frames = [read_sheet(spark, path, name, i) for i, (name, path) in enumerate(sheets.items())]
+    frames = [read_sheet(spark, path, name, i, snapshot=snapshot) for i, (name, path) in enumerate(sheets.items())]
     ledger = frames[0]
     for frame in frames[1:]:
         ledger = ledger.unionByName(frame, allowMissingColumns=True)
     return require_ledger_columns(ledger)
 
 
-def read_text_sheets(spark: SparkSession, sheets: dict[str, str], header: bool = True) -> DataFrame:
-    """N CSV sheets as all-text columns plus the position columns a snapshot sorts by."""
+def read_text_sheets(spark: SparkSession, sheets: dict[str, str], header: bool = True, multi_line: bool = False) -> DataFrame:
+    """N CSV sheets as all-text columns, the position columns a snapshot sorts by, and ``_broken``.
+
+    A row's position is its sheet, file and ordinal in the file: the rows of the file's earlier splits plus its place in its own split, so it
+    is the same however the file is split. ``_broken`` holds records with too few or too many cells, such as the halves of
+    a record with a line break in quotes; ``multi_line`` reads those, but a file then is one split.
+    """
+    schema = T.StructType([*TEXT_LEDGER_SCHEMA.fields, T.StructField(BROKEN, T.StringType())])
     ledger = None
     for i, (name, path) in enumerate(sheets.items()):
+        read = spark.read.schema(schema).option("header", header).option("multiLine", multi_line)
         frame = (
-            spark.read.schema(TEXT_LEDGER_SCHEMA)
-            .option("header", header)
-            .csv(path)
+            read.option("columnNameOfCorruptRecord", BROKEN).option("columnPruning", False).csv(path)
             .select(
                 "*",
                 F.lit(name).alias("source_sheet"),
@@ -104,18 +97,32 @@ def read_text_sheets(spark: SparkSession, sheets: dict[str, str], header: bool =
                 F.col("_metadata.file_path").alias("_path"),
                 F.col("_metadata.file_block_start").alias("_block"),
             )
-            # Ids grow along each split, which is all the sort key needs.
+            # Ids grow by one along each split.
             .withColumn("_seq", F.monotonically_increasing_id())
         )
+        splits = frame.groupBy("_path", "_block").agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+        earlier = F.sum("_rows").over(Window.partitionBy("_path").orderBy("_block")) - F.col("_rows")
+        splits = splits.select("_path", "_block", "_first", earlier.alias("_earlier"))
+        frame = frame.join(splits, ["_path", "_block"]).withColumn("_ordinal", F.col("_earlier") + F.col("_seq") - F.col("_first"))
+        frame = frame.select(*[F.col(f"`{c}`") for c in schema.names], "source_sheet", "_sheet", "_path", "_ordinal")
         ledger = frame if ledger is None else ledger.unionByName(frame)
     return require_ledger_columns(ledger)
 
 
-TEXT_POSITION = ["_sheet", "_path", "_block", "_seq"]
+def refuse_broken_records(text_ledger: DataFrame) -> DataFrame:
+    """The ledger without ``_broken``; an error if a record does not have the eight cells."""
+    broken = text_ledger.agg(F.count(BROKEN).alias("broken"), F.count(F.lit(1)).alias("rows"), F.count("Invoice")).first()["broken"]
+    if broken:
+        raise ValueError(f"records that do not have {len(LEDGER_COLUMNS)} cells: {broken}; line breaks in quotes need multi_line")
+    return text_ledger.drop(BROKEN)
+
+
+BROKEN = "_broken"
+TEXT_POSITION = ["_sheet", "_path", "_ordinal"]
 
 
 def write_raw_snapshot(ledger: DataFrame, path: str, order_by: list[str]) -> None:
-    """Persist the ledger, one folder per sheet, files and rows in source order.
+    """Persist the ledger, one folder per sheet, files and rows in source order; the number of files follows the rows.
 
     Columns that are neither text, number, boolean nor date are widened to text.
     """
@@ -126,8 +133,9 @@ def write_raw_snapshot(ledger: DataFrame, path: str, order_by: list[str]) -> Non
         if f.name not in order_by and f.name != "source_order"
     ]
     order = ["source_sheet", *order_by]
+    tasks = max(ledger.sparkSession.sparkContext.defaultParallelism, -(-ledger.count() // ROWS_PER_TASK))
     (
-        ledger.repartitionByRange(*order)
+        ledger.repartitionByRange(tasks, *order)
         .sortWithinPartitions(*order)
         .select(*columns)
         .write.mode("overwrite")

@@ -4,10 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.pipeline import run_clean
-from ledgerloom.sources.fingerprint import arrival_fingerprint, ledger_fingerprint
+from ledgerloom.sources.fingerprint import arrival_fingerprint, differing_leaves, ledger_fingerprint, ledger_tree
 from ledgerloom.sources.manifest import source_files
-from ledgerloom.sources.sheets import TEXT_POSITION, read_sheets, read_text_sheets, sheet_position, snapshot_sheets, write_raw_snapshot
-from ledgerloom.sources.store import CoreStore
+from ledgerloom.sources.sheets import TEXT_POSITION, read_sheets, read_text_sheets, refuse_broken_records, sheet_position, snapshot_sheets, write_raw_snapshot
+from ledgerloom.sources.store import CoreStore, PublicationConflict
 
 
 @pytest.fixture(scope="module")
@@ -35,8 +35,8 @@ def test_text_pipeline_end_to_end_and_snapshot_reuse(spark, text_sheets, tmp_pat
 
 def test_snapshot_keeps_source_order_across_files(spark, text_sheets, tmp_path):
     path = str(tmp_path / "raw")
-    write_raw_snapshot(read_text_sheets(spark, text_sheets), path, ["_sheet", "_path", "_block", "_seq"])
-    again = read_sheets(spark, snapshot_sheets(path, list(text_sheets)))
+    write_raw_snapshot(refuse_broken_records(read_text_sheets(spark, text_sheets)), path, TEXT_POSITION)
+    again = read_sheets(spark, snapshot_sheets(path, list(text_sheets)), snapshot=True)
     invoices = [r[0] for r in again.orderBy("source_order").select("Invoice").collect()]
     assert invoices == [str(i) for i in range(50)] + [str(i) for i in range(7)] + [f"C{i}" for i in range(20)]
 
@@ -49,6 +49,57 @@ def test_fingerprint_ignores_order_and_sees_one_changed_cell(spark, text_sheets)
     assert ledger_fingerprint(changed).first()["sha256"] != print_["sha256"]
 
 
+def test_fingerprint_sees_every_cell_and_no_two_rows_alike(spark, ledger):
+    def print_of(*rows):
+        return ledger_fingerprint(ledger(*rows).withColumn("source_sheet", F.lit("s"))).first()["sha256"]
+
+    pairs = [
+        ({"Invoice": "1|2", "StockCode": "3"}, {"Invoice": "1", "StockCode": "2|3"}),  # a border that moved
+        ({"Price": "2.0000001"}, {"Price": "2.0000002"}),
+        ({"Quantity": "abc"}, {"Quantity": "abd"}),  # both unreadable
+        ({"Quantity": "abc"}, {"Quantity": None}),
+        ({"Description": None}, {"Description": "null"}),
+        ({"InvoiceDate": "2011-01-01 10:00:00.000001"}, {"InvoiceDate": "2011-01-01 10:00:00.000002"}),
+    ]
+    for one, other in pairs:
+        assert print_of(one) != print_of(other)
+        left, right = (ledger_tree(ledger(x, {"Invoice": "9"}).withColumn("source_sheet", F.lit("s"))) for x in (one, other))
+        assert 1 <= differing_leaves(left, right, ["source_sheet", "bucket"]).count() <= 2
+    assert print_of({"Price": "2.50", "Quantity": "1.0", "InvoiceDate": "2011-01-01"}) == print_of({"Price": "2.5", "InvoiceDate": "2011-01-01 00:00:00"})
+
+
+def test_text_positions_do_not_depend_on_the_splits(spark, tmp_path):
+    folder = tmp_path / "wide"
+    folder.mkdir()
+    head = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
+    for part in range(2):
+        (folder / f"part-{part}.csv").write_text(head + "".join(f"{part}x{i},1,{'w' * (i % 90)},1,2011-01-01,1,1,UK\n" for i in range(400)))
+    found = []
+    for size in ("128m", "3k", "700"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            arrived = refuse_broken_records(read_text_sheets(spark, {"s": str(folder)}))
+            found.append((arrival_fingerprint(arrived, TEXT_POSITION).first()["sha256"], {r.Invoice: r._ordinal for r in arrived.collect()}))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0] == found[1] == found[2]
+    assert found[0][1] == {f"{part}x{i}": i for part in range(2) for i in range(400)}
+
+
+def test_line_breaks_in_quotes_are_refused_or_read(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text(
+        'Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n1,A,"two\nlines",1,2011-01-01,1,1,UK\n2,B,"a, b",1,2011-01-01,1,1,UK\n'
+    )
+    with pytest.raises(ValueError, match="cells: 2"):
+        refuse_broken_records(read_text_sheets(spark, {"s": str(path)}))
+    whole = refuse_broken_records(read_text_sheets(spark, {"s": str(path)}, multi_line=True))
+    assert sorted((r.Invoice, r.Description, r._ordinal) for r in whole.collect()) == [("1", "two\nlines", 0), ("2", "a, b", 1)]
+    with pytest.raises(ValueError, match="line breaks"):
+        run_clean(spark, {"s": str(path)}, str(tmp_path / "out"), text=True)
+    assert run_clean(spark, {"s": str(path)}, str(tmp_path / "out"), text=True, multi_line=True).summary.first()["raw_rows"] == 2
+
+
 def test_source_files_have_names_sizes_and_times(spark, text_sheets):
     import pathlib
 
@@ -62,7 +113,7 @@ def test_arrival_fingerprint_sees_order_and_damage(spark, tmp_path):
     def arrived(name, lines):
         (tmp_path / name).mkdir(exist_ok=True)
         (tmp_path / name / "x.csv").write_text("Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n" + "\n".join(lines))
-        return arrival_fingerprint(read_text_sheets(spark, {"s": str(tmp_path / name)}), TEXT_POSITION).first()["sha256"]
+        return arrival_fingerprint(refuse_broken_records(read_text_sheets(spark, {"s": str(tmp_path / name)})), TEXT_POSITION).first()["sha256"]
 
     rows = ["1,A,x,?5,2011-01-01,1,1,UK", "2,B,y|z,2,2011-01-01,1.0000001,1,UK"]
     first = arrived("a", rows)
@@ -101,3 +152,36 @@ def test_publish_replaces_one_namespace_atomically(spark, house, tmp_path):
     store.publish(fewer, "LEDGER")
     counts = {r[0]: r[1] for r in store.table("invoice_lines").groupBy("source_system").count().collect()}
     assert counts == {"LEDGER": 2, "OTHER": 3}
+
+
+def _some(core, n, system="LEDGER"):
+    return {t: f.limit(n).withColumn("source_system", F.lit(system)) for t, f in core.items()}
+
+
+def test_two_publishers_from_one_version_do_not_mix(spark, house, tmp_path):
+    core, store, other = house.core(), CoreStore(spark, str(tmp_path)), CoreStore(spark, str(tmp_path))
+    store.publish(_some(core, 1), "A/b")
+    start = store.current()["A/b"]
+    other.publish(_some(core, 2), "A/b", parent=start)
+    with pytest.raises(PublicationConflict):
+        store.publish(_some(core, 3), "A/b", parent=start)
+    assert store.table("customers").count() == 2
+    # a writer whose record another one had already taken the number of
+    created = store._create
+    store._create = lambda path, text: (other.publish(_some(core, 4), "A/b"), created(path, text))[1]
+    with pytest.raises(PublicationConflict):
+        store.publish(_some(core, 5), "A/b")
+    del store._create
+    assert {store.table(t).count() for t in ("customers", "invoice_lines")} == {4}
+
+
+def test_a_dead_writer_blocks_nobody_and_is_cleaned_up(spark, house, tmp_path):
+    core, store = house.core(), CoreStore(spark, str(tmp_path))
+    store.publish(_some(core, 1), "LEDGER")
+    (tmp_path / "log" / "LEDGER" / "2.json").write_text('{"source_system": "LEDGER", "version": 2, "par')  # cut short
+    with pytest.raises(RuntimeError):
+        store.publish(_some(core, 3), "LEDGER", fail_after="write")
+    store.publish(_some(core, 2), "LEDGER")
+    assert store.current() == {"LEDGER": 3} and store.table("products").count() == 2
+    assert store.clean_up(older_than=3600) == []
+    assert len(store.clean_up(older_than=0)) == 2 and store.table("products").count() == 2
