@@ -93,6 +93,24 @@ def continuous_quantiles(ranks: DataFrame, value: str, levels: dict[str, float],
     )
 
 
+def column_ranks(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``value_ranks`` of several columns in one plan: (column_name, value, n, lo, hi, total), values as doubles."""
+    cells = F.array(*[F.struct(F.lit(name).alias("column_name"), column.cast("double").alias("value")) for name, column in columns.items()])
+    stacked = df.select(F.explode(cells).alias("cell")).select("cell.*")
+    return value_ranks(stacked, "value", ["column_name"])
+
+
+def column_quantiles(df: DataFrame, columns: dict[str, Column], levels: dict[str, float]) -> DataFrame:
+    """Exact continuous quantiles of several columns: one row per column that has values."""
+    return continuous_quantiles(column_ranks(df, columns), "value", levels, ["column_name"])
+
+
+def column_limits(df: DataFrame, columns: dict[str, Column], level: float) -> DataFrame:
+    """One row with one quantile of each column under the column's name."""
+    found = column_quantiles(df, columns, {"limit": level})
+    return found.agg(*[F.max(F.when(F.col("column_name") == name, F.col("limit"))).alias(name) for name in columns])
+
+
 def exact_quantiles(df: DataFrame, value: str, levels: dict[str, float]) -> DataFrame:
     """One row of exact continuous quantiles over the whole frame."""
     return continuous_quantiles(value_ranks(df, value), value, levels)

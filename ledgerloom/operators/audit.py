@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.calendar import month_start, spine
 from ..functions.expressions import as_number, as_timestamp, attach_row, canonical_row, count_if, percent, strip, truth
-from ..functions.ranks import exact_quantiles
+from ..functions.ranks import column_limits, column_quantiles, exact_quantiles
 from ..schema import LEDGER_COLUMNS
 from .cleaning import duplicate_groups, flag_duplicates
 
@@ -149,18 +149,19 @@ def missing_together(ledger: DataFrame) -> DataFrame:
     ).agg(_all().alias("row_count"))
 
 
+def _moments() -> list[Column]:
+    return [
+        F.count("value").alias("value_count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
+    ]
+
+
 def number_summary(rows: DataFrame, column: str, levels: dict[str, float] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quantiles of one column."""
     levels = levels or {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     values = rows.select(as_number(rows, column).cast("double").alias("value"))
     quantiles = exact_quantiles(values, "value", levels)
-    summary = values.agg(
-        F.count("value").alias("value_count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    summary = values.agg(*_moments())
     return attach_row(summary, quantiles)
 
 
@@ -227,9 +228,13 @@ QUANTILE_GRID = {
 
 def describe_numbers(ledger: DataFrame) -> DataFrame:
     """Summary and nine-level quantile grid of quantity and price."""
-    return _union(
-        number_summary(ledger, c, QUANTILE_GRID).withColumn("column_name", F.lit(c)) for c in ("Quantity", "Price")
+    columns = {c: as_number(ledger, c) for c in ("Quantity", "Price")}
+    quantiles = column_quantiles(ledger, columns, QUANTILE_GRID)
+    summaries = _union(
+        ledger.select(column.cast("double").alias("value")).agg(*_moments()).withColumn("column_name", F.lit(name)) for name, column in columns.items()
     )
+    names = [c for c in summaries.columns if c != "column_name"]
+    return summaries.join(quantiles, "column_name", "left").select(*names, *QUANTILE_GRID, "column_name")
 
 
 def issue_table(ledger: DataFrame, level: float = 0.999) -> DataFrame:
@@ -237,9 +242,10 @@ def issue_table(ledger: DataFrame, level: float = 0.999) -> DataFrame:
     numbers = ledger.withColumns(
         {"_quantity": as_number(ledger, "Quantity"), "_price": as_number(ledger, "Price")}
     ).withColumn("_size", F.abs("_quantity"))
+    limits = column_limits(numbers, {"_size_limit": F.col("_size"), "_price_limit": F.col("_price")}, level)
+    numbers = attach_row(numbers, limits)
     quantity, price, size = F.col("_quantity"), F.col("_price"), F.col("_size")
-    size_limit = exact_quantiles(numbers, "_size", {"limit": level}).scalar()
-    price_limit = exact_quantiles(numbers, "_price", {"limit": level}).scalar()
+    size_limit, price_limit = F.col("_size_limit"), F.col("_price_limit")
     issues = {
         "quantity <= 0": quantity <= 0,
         "quantity < 0": quantity < 0,

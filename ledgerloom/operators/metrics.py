@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import spine, week_ending_monday
-from ..functions.expressions import count_if, money, ratio, sum_if
-from ..functions.ranks import exact_quantiles
+from ..functions.expressions import attach_row, count_if, money, ratio, sum_if
+from ..functions.ranks import column_limits
 from .marts import header_days, is_merchandise_return, is_sale
 
 
@@ -125,15 +125,13 @@ def transaction_taxonomy(lines: DataFrame) -> DataFrame:
 
 def flag_extremes(clean: DataFrame, level: float = 0.999) -> DataFrame:
     """Mark quantities and prices beyond the given quantile of the whole ledger."""
-    size = clean.withColumn("_size", F.abs("Quantity"))
-    quantity_limit = exact_quantiles(size, "_size", {"limit": level}).scalar()
-    price_limit = exact_quantiles(clean, "Price", {"limit": level}).scalar()
-    return clean.withColumns(
+    limits = column_limits(clean, {"_size_limit": F.abs("Quantity"), "_price_limit": F.col("Price")}, level)
+    return attach_row(clean, limits).withColumns(
         {
-            "is_extreme_quantity": F.abs("Quantity") > quantity_limit,
-            "is_extreme_price": F.col("Price") > price_limit,
+            "is_extreme_quantity": F.abs("Quantity") > F.col("_size_limit"),
+            "is_extreme_price": F.col("Price") > F.col("_price_limit"),
         }
-    )
+    ).drop("_size_limit", "_price_limit")
 
 
 def demand_target(lines: DataFrame, frequency: str = "Daily") -> DataFrame:

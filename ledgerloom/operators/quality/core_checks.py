@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ...functions.expressions import any_of, count_if, differs, sum_if
 from ...schema import CORE_SCHEMAS, GRAINS, MONEY_PRECISION
+from ...session import scratch_table
 from ..cleaning import is_non_product_code
 from ..core import invoice_kind
 from ..marts import is_merchandise_return, is_sale, namespace
@@ -93,47 +94,84 @@ def _integrity(child: str, parent: str, key: str):
     return check
 
 
-def _line_header_customer(core: Core) -> DataFrame:
-    per_invoice = (
-        core["invoice_lines"]
-        .where(F.col("customer_id").isNotNull())
-        .groupBy("source_system", "invoice_number", "customer_id")
-        .agg(F.count(F.lit(1)).alias("lines"))
-    )
-    headers = core["invoices"].select("source_system", "invoice_number", F.col("customer_id").alias("header_customer"))
-    wrong = per_invoice.join(headers, ["source_system", "invoice_number"]).where(
-        differs(F.col("customer_id"), F.col("header_customer"))
-    )
-    return _one(wrong.agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("n")), "integrity.line_header_customer")
-
-
 _INVOICE = ["source_system", "invoice_number"]
+_CUSTOMER = ["source_system", "customer_id"]
+_PRODUCT = ["source_system", "stock_code"]
 
 
-def _invoice_ledger(core: Core) -> DataFrame:
-    lines = core["invoice_lines"].groupBy(*_INVOICE).agg(
+def invoice_parts(core: Core) -> DataFrame:
+    """Lines summed per invoice and customer: what every check of invoices and customers needs of them."""
+    if "invoice_parts" in core:
+        return core["invoice_parts"]
+    return core["invoice_lines"].groupBy(*_INVOICE, "customer_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("quantity").alias("quantity"),
         F.sum("line_total").alias("amount"),
         F.min("invoice_date").alias("first_date"),
+        F.bool_or("is_cancellation").alias("cancelled"),
+        F.bool_or("is_bad_debt_adjustment").alias("bad_debt"),
+        F.bool_or("is_inventory_adjustment").alias("inventory"),
+        F.bool_or(is_sale()).alias("ordered"),
+        sum_if(F.col("line_total"), is_sale() | is_merchandise_return()).alias("spend"),
     )
+
+
+def product_parts(core: Core) -> DataFrame:
+    """Lines counted per stock code."""
+    if "product_parts" in core:
+        return core["product_parts"]
+    return core["invoice_lines"].groupBy(*_PRODUCT).agg(F.count(F.lit(1)).alias("n"))
+
+
+def with_shared_parts(core: Core) -> Core:
+    """The core with both summaries written once, for runs of many checks."""
+    return {
+        **core,
+        "invoice_parts": scratch_table(invoice_parts(core), "invoice-parts"),
+        "product_parts": scratch_table(product_parts(core), "product-parts"),
+    }
+
+
+def _orphan_lines(parts: Callable[[Core], DataFrame], parent: str, keys: list[str]):
+    """Lines whose key the parent table lacks, from their sums per key."""
+
+    def check(core: Core) -> DataFrame:
+        counted = parts(core).where(F.col(keys[1]).isNotNull()).groupBy(*keys).agg(F.sum("n").alias("n"))
+        lost = counted.join(core[parent].select(*keys), keys, "left_anti")
+        return _one(lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")), f"integrity.invoice_lines.{parent}")
+
+    return check
+
+
+def _line_header_customer(core: Core) -> DataFrame:
+    named = invoice_parts(core).where(F.col("customer_id").isNotNull()).select(*_INVOICE, "customer_id", "n")
+    headers = core["invoices"].select(*_INVOICE, F.col("customer_id").alias("header_customer"))
+    wrong = named.join(headers, _INVOICE).where(differs(F.col("customer_id"), F.col("header_customer")))
+    return _one(wrong.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")), "integrity.line_header_customer")
+
+
+def _invoice_sums(core: Core) -> DataFrame:
+    kind = invoice_kind(F.bool_or("cancelled"), F.bool_or("bad_debt"), F.bool_or("inventory"))
+    return invoice_parts(core).groupBy(*_INVOICE).agg(
+        F.sum("n").alias("n"), F.sum("quantity").alias("quantity"), F.sum("amount").alias("amount"),
+        F.min("first_date").alias("first_date"), kind.alias("kind"),
+    )
+
+
+def _invoice_ledger(core: Core) -> DataFrame:
     pairs = {
         "total_line_count": "n",
         "total_quantity": "quantity",
         "total_invoice_amount": "amount",
         "invoice_date": "first_date",
     }
-    joined = core["invoices"].join(lines, _INVOICE, "left")
+    joined = core["invoices"].join(_invoice_sums(core), _INVOICE, "left")
     wrong = any_of(differs(F.col(stored), F.col(found)) for stored, found in pairs.items())
     return _one(joined.agg(count_if(wrong).alias("n")), "financial.invoice_ledger")
 
 
 def _invoice_type(core: Core) -> DataFrame:
-    kind = invoice_kind(
-        F.bool_or("is_cancellation"), F.bool_or("is_bad_debt_adjustment"), F.bool_or("is_inventory_adjustment")
-    )
-    found = core["invoice_lines"].groupBy(*_INVOICE).agg(kind.alias("kind"))
-    joined = core["invoices"].join(found, _INVOICE, "left")
+    joined = core["invoices"].join(_invoice_sums(core), _INVOICE, "left")
     return _one(
         joined.agg(count_if(differs(F.col("invoice_type"), F.col("kind"))).alias("n")), "business.invoice_type"
     )
@@ -141,20 +179,16 @@ def _invoice_type(core: Core) -> DataFrame:
 
 def customer_totals(lines: DataFrame) -> DataFrame:
     """Valid orders and net merchandise spend per customer, straight from the lines."""
-    return (
-        lines.where(F.col("customer_id").isNotNull())
-        .groupBy("source_system", "customer_id", "invoice_number")
-        .agg(
-            F.bool_or(is_sale()).alias("ordered"),
-            sum_if(F.col("line_total"), is_sale() | is_merchandise_return()).alias("spend"),
-        )
-        .groupBy("source_system", "customer_id")
-        .agg(count_if(F.col("ordered")).alias("orders"), F.sum("spend").alias("spend"))
-    )
+    return _customer_sums({"invoice_lines": lines})
+
+
+def _customer_sums(core: Core) -> DataFrame:
+    named = invoice_parts(core).where(F.col("customer_id").isNotNull())
+    return named.groupBy(*_CUSTOMER).agg(count_if(F.col("ordered")).alias("orders"), F.sum("spend").alias("spend"))
 
 
 def _customer_merchandise(core: Core) -> DataFrame:
-    joined = core["customers"].join(customer_totals(core["invoice_lines"]), ["source_system", "customer_id"], "left")
+    joined = core["customers"].join(_customer_sums(core), _CUSTOMER, "left")
     wrong = differs(F.col("total_orders_lifetime"), F.col("orders")) | differs(
         F.col("total_merchandise_spend"), F.col("spend")
     )
@@ -162,18 +196,24 @@ def _customer_merchandise(core: Core) -> DataFrame:
 
 
 def _join_fanout(core: Core) -> DataFrame:
+    """Rows that joining the lines to their products, invoices and customers would add or lose.
+
+    A line meets as many rows as its parents have copies. Only keys whose number of copies is not one matter, and lines are looked up
+    by those alone; a line without customer, or with one that is missing, keeps its row.
+    """
+
+    def unusual(parts: DataFrame, parent: str, keys: list[str], name: str, required: bool) -> DataFrame:
+        copies = core[parent].groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+        found = parts.where(F.col(keys[1]).isNotNull()).select(*keys).distinct().join(copies, keys, "left" if required else "inner")
+        return found.withColumn(name, F.coalesce(name, F.lit(0))).where(F.col(name) != 1)
+
     lines = core["invoice_lines"].select("source_system", "stock_code", "invoice_number", "customer_id")
-    products = core["products"].select("source_system", "stock_code")
-    invoices = core["invoices"].select("source_system", "invoice_number")
-    customers = core["customers"].select("source_system", "customer_id")
-    joined = (
-        lines.join(products, ["source_system", "stock_code"])
-        .join(invoices, ["source_system", "invoice_number"])
-        .join(customers, ["source_system", "customer_id"], "left")
-        .agg(F.count(F.lit(1)).alias("joined"))
-    )
-    stored = lines.agg(F.count(F.lit(1))).scalar()
-    return _one(joined.select(F.abs(stored - F.col("joined")).alias("n")), "integrity.join_fanout")
+    names = {"products": (product_parts(core), _PRODUCT, True), "invoices": (invoice_parts(core), _INVOICE, True), "customers": (invoice_parts(core), _CUSTOMER, False)}
+    joined, rows = lines, F.lit(1).cast("decimal(38,0)")
+    for parent, (parts, keys, required) in names.items():
+        joined = joined.join(unusual(parts, parent, keys, f"_{parent}", required), keys, "left")
+        rows = rows * F.coalesce(F.col(f"_{parent}").cast("decimal(12,0)"), F.lit(1))
+    return _one(joined.agg(F.abs(F.coalesce(F.sum(rows - 1), F.lit(0))).alias("n")), "integrity.join_fanout")
 
 
 def _line_rule(name: str):
@@ -191,9 +231,9 @@ CHECKS: dict[str, Callable[[Core], DataFrame]] = {
         ["source_system", "source_sheet", "source_row_number"],
     ),
     "integrity.invoices.customers": _integrity("invoices", "customers", "customer_id"),
-    "integrity.invoice_lines.customers": _integrity("invoice_lines", "customers", "customer_id"),
-    "integrity.invoice_lines.products": _integrity("invoice_lines", "products", "stock_code"),
-    "integrity.invoice_lines.invoices": _integrity("invoice_lines", "invoices", "invoice_number"),
+    "integrity.invoice_lines.customers": _orphan_lines(invoice_parts, "customers", _CUSTOMER),
+    "integrity.invoice_lines.products": _orphan_lines(product_parts, "products", _PRODUCT),
+    "integrity.invoice_lines.invoices": _orphan_lines(invoice_parts, "invoices", _INVOICE),
     **{
         name: _line_rule(name)
         for name in (
@@ -229,8 +269,8 @@ def core_check(core: Core, name: str, source_system: str) -> DataFrame:
 
 
 def core_checks(core: Core, source_system: str) -> dict[str, DataFrame]:
-    """All checks, the line rules fused under one key."""
-    scoped = in_namespace(core, source_system)
+    """All checks, the line rules fused under one key and the sums of the lines written once."""
+    scoped = with_shared_parts(in_namespace(core, source_system))
     return {
         "line_rules": check_line_rules(scoped, FUSED),
         **{name: check(scoped) for name, check in CHECKS.items() if name not in FUSED},

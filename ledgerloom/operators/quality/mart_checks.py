@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.expressions import any_of, count_if, differs, sum_if
-from ..marts import eligible_ledger, is_merchandise_return, is_sale, namespace
+from ..marts import eligible_lines, header_days, is_merchandise_return, is_sale, namespace
 from .frames import extra_rows
 from .results import item_violations
 
@@ -23,6 +23,20 @@ def _unmatched(mart: DataFrame, wanted: DataFrame, grain: list[str], measures: l
     )
 
 
+def _invoice_days(lines: DataFrame, invoices: DataFrame, source_system: str, *keys: str) -> DataFrame:
+    """Eligible lines summed per invoice and ``keys``, then placed on the day and country of their header."""
+    total, quantity = F.col("line_total"), F.col("quantity")
+    sums = lines.groupBy("invoice_number", *keys).agg(
+        sum_if(total, is_sale()).alias("sales"),
+        sum_if(total, is_merchandise_return()).alias("returns"),
+        F.sum(total).alias("net"),
+        count_if(is_sale()).alias("sale_lines"),
+        sum_if(quantity, is_sale()).alias("sold"),
+        sum_if(quantity, is_merchandise_return()).alias("returned"),
+    )
+    return sums.join(header_days(invoices, source_system), "invoice_number")
+
+
 def _results(name: str, **counts: DataFrame) -> DataFrame:
     out = None
     for item, frame in counts.items():
@@ -34,19 +48,14 @@ def _results(name: str, **counts: DataFrame) -> DataFrame:
 def daily_sales_contract(mart, lines, invoices, products, source_system: str) -> DataFrame:
     grain = ["calendar_day", "country", "is_physical_merchandise"]
     classes = namespace(products, source_system).select("stock_code", "is_physical_merchandise")
-    total, quantity = F.col("line_total"), F.col("quantity")
-    wanted = (
-        eligible_ledger(lines, invoices, source_system)
-        .join(classes, "stock_code")
-        .groupBy(*grain)
-        .agg(
-            sum_if(total, is_sale()).alias("gross_sales"),
-            sum_if(total, is_merchandise_return()).alias("return_value"),
-            F.sum(total).alias("net_sales"),
-            F.countDistinct(F.when(is_sale(), F.col("invoice_number"))).alias("distinct_invoices"),
-            sum_if(quantity, is_sale()).alias("units_sold"),
-            (-sum_if(quantity, is_merchandise_return())).alias("units_returned"),
-        )
+    eligible = eligible_lines(lines, source_system).join(classes, "stock_code")
+    wanted = _invoice_days(eligible, invoices, source_system, "is_physical_merchandise").groupBy(*grain).agg(
+        F.sum("sales").alias("gross_sales"),
+        F.sum("returns").alias("return_value"),
+        F.sum("net").alias("net_sales"),
+        count_if(F.col("sale_lines") > 0).alias("distinct_invoices"),
+        F.sum("sold").alias("units_sold"),
+        (-F.sum("returned")).alias("units_returned"),
     )
     identity = differs(F.col("net_sales"), F.col("gross_sales") + F.col("return_value")) | differs(
         F.col("gross_sales"), F.col("valid_sales_revenue")
@@ -62,18 +71,13 @@ def daily_sales_contract(mart, lines, invoices, products, source_system: str) ->
 
 def customer_daily_contract(mart, lines, invoices, source_system: str) -> DataFrame:
     grain = ["customer_id", "calendar_day"]
-    total = F.col("line_total")
-    wanted = (
-        eligible_ledger(lines, invoices, source_system)
-        .where(F.col("customer_id").isNotNull())
-        .groupBy(*grain)
-        .agg(
-            F.countDistinct(F.when(is_sale(), F.col("invoice_number"))).alias("order_frequency"),
-            sum_if(total, is_sale()).alias("gross_spend"),
-            sum_if(total, is_merchandise_return()).alias("return_value"),
-            F.sum(total).alias("net_spend"),
-            count_if(is_sale()).alias("valid_transaction_count"),
-        )
+    named = eligible_lines(lines, source_system).where(F.col("customer_id").isNotNull())
+    wanted = _invoice_days(named, invoices, source_system, "customer_id").groupBy(*grain).agg(
+        count_if(F.col("sale_lines") > 0).alias("order_frequency"),
+        F.sum("sales").alias("gross_spend"),
+        F.sum("returns").alias("return_value"),
+        F.sum("net").alias("net_spend"),
+        F.sum("sale_lines").alias("valid_transaction_count"),
     )
     identity = differs(F.col("net_spend"), F.col("gross_spend") + F.col("return_value"))
     measures = ["order_frequency", "gross_spend", "return_value", "net_spend", "valid_transaction_count"]
@@ -88,17 +92,13 @@ def customer_daily_contract(mart, lines, invoices, source_system: str) -> DataFr
 
 def customer_snapshot_contract(mart, customers, lines, invoices, source_system: str, reference_date: date) -> DataFrame:
     """Covers every customer once, buyers or not, with measures recomputed from the lines."""
-    total, day = F.col("line_total"), F.when(is_sale(), F.col("calendar_day"))
-    activity = (
-        eligible_ledger(lines, invoices, source_system)
-        .where(F.col("customer_id").isNotNull())
-        .groupBy("customer_id")
-        .agg(
-            F.countDistinct(F.when(is_sale(), F.col("invoice_number"))).alias("frequency"),
-            F.sum(total).alias("monetary"),
-            F.min(day).alias("first_purchase_date"),
-            F.max(day).alias("last_purchase_date"),
-        )
+    named = eligible_lines(lines, source_system).where(F.col("customer_id").isNotNull())
+    day = F.when(F.col("sale_lines") > 0, F.col("calendar_day"))
+    activity = _invoice_days(named, invoices, source_system, "customer_id").groupBy("customer_id").agg(
+        count_if(F.col("sale_lines") > 0).alias("frequency"),
+        F.sum("net").alias("monetary"),
+        F.min(day).alias("first_purchase_date"),
+        F.max(day).alias("last_purchase_date"),
     )
     wanted = namespace(customers, source_system).select("customer_id").join(activity, "customer_id", "left").withColumns(
         {

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import attach_row, count_if
-from ..functions.ranks import value_ranks
+from ..functions.ranks import column_ranks
 
 RFM_COLUMNS = ["recency_days", "frequency", "monetary"]
 SCORE_COLUMNS = {
@@ -62,33 +62,35 @@ def _rank_score(rank: Column, total: Column) -> Column:
     return F.greatest(F.lit(1), F.floor((5 * (rank - 1) + steps - 1) / steps).cast("bigint"))
 
 
-def value_scores(active: DataFrame, metric: str, *, higher_is_better: bool) -> DataFrame:
-    """Score of every distinct value: the tie group's median quintile, halves to even.
+def value_scores(active: DataFrame) -> DataFrame:
+    """(metric, value, score) of every distinct value: the tie group's median quintile, halves to even.
 
-    Quintiles grow with the rank, so the median over ranks lo..hi is the mean of the scores of
-    its one or two middle ranks.
+    All three metrics go through one rank plan. Quintiles grow with the rank, so the median over ranks lo..hi is the mean of
+    the scores of its one or two middle ranks. A low recency is good, so its ranks count from the top.
     """
-    ranks = value_ranks(active, metric)
-    low, high, total = F.col("lo"), F.col("hi"), F.col("total")
-    if not higher_is_better:
-        low, high = total - high + 1, total - low + 1
+    ranks = column_ranks(active, {metric: F.col(metric) for metric in SCORE_COLUMNS}).withColumnRenamed("column_name", "metric")
+    total, turned = F.col("total"), F.col("metric") == "recency_days"
+    low = F.when(turned, total - F.col("hi") + 1).otherwise(F.col("lo"))
+    high = F.when(turned, total - F.col("lo") + 1).otherwise(F.col("hi"))
     lower_middle = F.floor((low + high) / 2).cast("bigint")
     upper_middle = F.ceil((low + high) / 2).cast("bigint")
     doubled = _rank_score(lower_middle, total) + _rank_score(upper_middle, total)
-    return ranks.select(metric, F.rint(doubled / 2.0).cast("int").alias(SCORE_COLUMNS[metric]))
+    return ranks.select("metric", "value", F.rint(doubled / 2.0).cast("int").alias("score"))
 
 
 def rfm_scores(frame: DataFrame) -> DataFrame:
     """Add the three 1-5 scores and their concatenation; inactive customers score 1."""
-    active = frame.where(F.col("frequency") > 0)
-    scored = frame
-    for metric, score in SCORE_COLUMNS.items():
-        # A score is a step function of the value: at most five value ranges, looked up without a join.
-        table = value_scores(active, metric, higher_is_better=metric != "recency_days")
-        steps = table.groupBy(F.col(score).alias("score")).agg(F.min(metric).alias("low"), F.max(metric).alias("high"))
-        packed = steps.agg(F.collect_list(F.struct("score", "low", "high")).alias("_steps"))
-        held = F.get(F.filter("_steps", lambda step: (F.col(metric) >= step["low"]) & (F.col(metric) <= step["high"])), F.lit(0))
-        scored = attach_row(scored, packed).withColumn(score, F.when(F.col("frequency") > 0, F.coalesce(held["score"], F.lit(1))).otherwise(F.lit(1))).drop("_steps")
+    # A score is a step function of the value: at most five value ranges a metric, looked up without a join.
+    steps = value_scores(frame.where(F.col("frequency") > 0)).groupBy("metric", "score").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    packed = steps.agg(F.collect_list(F.struct("metric", "score", "low", "high")).alias("_steps"))
+    scored = attach_row(frame, packed)
+
+    def score(metric: str) -> Column:
+        value = F.col(metric).cast("double")
+        held = F.filter("_steps", lambda step: (step["metric"] == metric) & (value >= step["low"]) & (value <= step["high"]))
+        return F.when(F.col("frequency") > 0, F.coalesce(F.get(held, F.lit(0))["score"], F.lit(1))).otherwise(F.lit(1))
+
+    scored = scored.withColumns({name: score(metric) for metric, name in SCORE_COLUMNS.items()})
     scores = list(SCORE_COLUMNS.values())
     return scored.select(
         *frame.columns, *scores, F.concat(*[F.col(s).cast("string") for s in scores]).alias("rfm_score")

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from ...operators import eda, features
+from ...operators import eda, features, known_at, sketches
 from ..registry import day, query, real, whole
 
 # A day inside the data, so that the as-of bound cuts rows.
@@ -73,6 +73,127 @@ query(
 )
 
 
+# --- attributes as they were known on a day -----------------------------------------------------------
+
+EARLIER_DAY = date(1998, 3, 31)
+_KNOWN = {
+    "asof_days": "SELECT unnest([DATE '1998-03-31', DATE '2000-06-30']) AS as_of",
+    "asof_country": """
+        SELECT customer_id, as_of, country FROM core_rows, asof_days WHERE customer_id IS NOT NULL AND invoice_date::DATE <= as_of
+        GROUP BY customer_id, as_of, country
+        QUALIFY row_number() OVER (PARTITION BY customer_id, as_of ORDER BY count(*) DESC, max(pos) DESC) = 1
+    """,
+    "asof_features": """
+        SELECT k.customer_id, k.country AS primary_country, k.as_of AS reference_date, k.as_of - a.last_day AS recency_days,
+            coalesce(a.orders, 0) AS frequency, coalesce(a.net, 0) AS monetary,
+            CASE WHEN a.orders > 0 THEN (2 * (a.gross * 100)::HUGEINT + a.orders) // (2 * a.orders) END::DOUBLE / 100 AS average_order_value,
+            k.as_of - a.first_day AS tenure_days
+        FROM asof_country AS k
+        LEFT JOIN (
+            SELECT customer_id, as_of, min(calendar_day) FILTER (is_valid_sale) AS first_day, max(calendar_day) FILTER (is_valid_sale) AS last_day,
+                count(DISTINCT invoice_number) FILTER (is_valid_sale) AS orders, sum(line_total) FILTER (is_valid_sale) AS gross, sum(line_total) AS net
+            FROM sales_lines, asof_days WHERE customer_id IS NOT NULL AND calendar_day <= as_of GROUP BY customer_id, as_of
+        ) AS a ON a.customer_id = k.customer_id AND a.as_of = k.as_of
+    """,
+    # the leading country after each day on which a customer has a line, from all lines up to it
+    "asof_leading": """
+        SELECT e.customer_id, e.day, r.country
+        FROM (SELECT DISTINCT customer_id, invoice_date::DATE AS day FROM core_rows WHERE customer_id IS NOT NULL) AS e
+        JOIN core_rows AS r ON r.customer_id = e.customer_id AND r.invoice_date::DATE <= e.day
+        GROUP BY e.customer_id, e.day, r.country
+        QUALIFY row_number() OVER (PARTITION BY e.customer_id, e.day ORDER BY count(*) DESC, max(r.pos) DESC) = 1
+    """,
+}
+
+
+def _country_changes(w):
+    return w.stage("country_changes", lambda: known_at.country_changes(w.clean()))
+
+
+query(
+    "f01_customer_features_as_known",
+    lambda w: known_at.features_at(w.table("mart_customer_daily"), _country_changes(w), [EARLIER_DAY, FEATURE_DAY]),
+    f"""SELECT customer_id, primary_country, {day('reference_date')}, {whole('recency_days', 'frequency')},
+        {real('monetary')}, average_order_value, {whole('tenure_days')} FROM asof_features""",
+    _KNOWN,
+)
+query(
+    "f03_country_changes",
+    _country_changes,
+    f"""SELECT customer_id, primary_country, {day('known_from')}, strftime(lead(known_from) OVER (PARTITION BY customer_id ORDER BY known_from), '%Y-%m-%d') AS known_to
+    FROM (
+        SELECT customer_id, country AS primary_country, day AS known_from, lag(country) OVER (PARTITION BY customer_id ORDER BY day) AS before FROM asof_leading
+    ) WHERE before IS NULL OR before <> primary_country""",
+    _KNOWN,
+)
+
+# --- summaries per day that are merged for any period -------------------------------------------------
+
+_YEAR, _MONTH = "yyyy", "yyyy-MM"
+_LEVELS = {"p50": 0.5, "p95": 0.95}
+
+
+def _sketched_quantiles(w):
+    """Quantiles per year from the days' sketches, and whether their ranks are as near as promised."""
+    mart = w.table("mart_daily_sales")
+    found = sketches.period_quantiles(sketches.daily_value_sketches(mart, "calendar_day", "net_sales"), F.date_format("day", _YEAR), _LEVELS)
+    errors = sketches.rank_error(mart.withColumn("day", F.col("calendar_day")), F.date_format("day", _YEAR), "net_sales", found, _LEVELS)
+    return found.join(errors, "period").select("period", "value_count", (F.col("rank_error") <= sketches.RANK_ERROR).alias("within_bound"))
+
+
+query(
+    "e01_sales_distribution_sketched",
+    _sketched_quantiles,
+    "SELECT strftime(calendar_day, '%Y') AS period, count(*) AS value_count, TRUE AS within_bound FROM mart_daily GROUP BY ALL",
+)
+
+
+def _monthly_customers(w):
+    daily = w.stage("customer_sketches", lambda: sketches.daily_customer_sketches(w.table("mart_customer_daily"), "calendar_day"))
+    return sketches.period_customers(daily, F.date_format("day", _MONTH))
+
+
+def _month_members(w):
+    return w.table("mart_customer_daily").select(F.date_format("calendar_day", _MONTH).alias("period"), "customer_id").distinct()
+
+
+def _active(w):
+    exact = _month_members(w).groupBy("period").agg(F.count(F.lit(1)).alias("exact"))
+    near = F.abs(F.col("active_customers") - F.col("exact")) <= sketches.SET_ERROR * F.col("exact")
+    return _monthly_customers(w).join(exact, "period").select("period", F.col("exact").alias("active_customers"), near.alias("within_bound"))
+
+
+def _retained(w):
+    """Customers of two months running, from sketches, against the exact overlap; the error is relative to both months together."""
+    months = _monthly_customers(w)
+    kept = sketches.retained_customers(months)
+    one, two = _month_members(w), _month_members(w).toDF("next_period", "customer_id")
+    exact = kept.select("period", "next_period").join(one, "period").join(two, ["next_period", "customer_id"]).groupBy("period").agg(F.count(F.lit(1)).alias("exact"))
+    sizes = one.groupBy("period").agg(F.count(F.lit(1)).alias("size"))
+    joined = kept.join(exact, "period", "left").join(sizes, "period").join(sizes.toDF("next_period", "next_size"), "next_period")
+    overlap = F.coalesce("exact", F.lit(0))
+    near = F.abs(F.col("retained") - overlap) <= sketches.SET_ERROR * (F.col("size") + F.col("next_size") - overlap)
+    return joined.select("period", "next_period", overlap.alias("retained"), near.alias("within_bound"))
+
+
+_MONTHS = {"sk_months": "SELECT DISTINCT strftime(calendar_day, '%Y-%m') AS period, customer_id FROM mart_buyer_day"}
+query(
+    "x06_active_customers_sketched",
+    _active,
+    "SELECT period, count(*) AS active_customers, TRUE AS within_bound FROM sk_months GROUP BY period",
+    _MONTHS,
+)
+query(
+    "x06_retained_customers_sketched",
+    _retained,
+    """SELECT p.period, p.next_period, count(b.customer_id) AS retained, TRUE AS within_bound
+    FROM (SELECT period, lead(period) OVER (ORDER BY period) AS next_period FROM (SELECT DISTINCT period FROM sk_months)) AS p
+    JOIN sk_months AS a ON a.period = p.period LEFT JOIN sk_months AS b ON b.period = p.next_period AND b.customer_id = a.customer_id
+    WHERE p.next_period IS NOT NULL GROUP BY p.period, p.next_period""",
+    _MONTHS,
+)
+
+
 def _written_features(w):
     return features.write_features(feature_frame(w), f"{w.root}/customer_features")
 
