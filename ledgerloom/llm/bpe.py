@@ -8,8 +8,9 @@ come from one Aho-Corasick pass), checking it against the token before, and step
 fits. A position that was left once never fits again, which makes the work linear in the word's length.
 Compatibilities are kept in a table as they come up.
 
-The vocabulary file is read once on the driver and broadcast; its size is fixed. Words repeat, so each worker
-keeps the ids of up to twice ``CACHED_WORDS`` words; the cache only saves time.
+The vocabulary file is read once on the driver and broadcast; its size is fixed. Words repeat, so a task keeps the ids
+of recent words, up to twice ``CACHED_BYTES`` of memory whatever the words are, and ``CACHED_PAIRS`` compatibilities. The caches
+only save time; they are dropped when the task ends, since its worker process may stay and serve other work.
 
 Defined results: a null text is encoded like an empty one, with no ids and an empty decoded text. Texts of
 any length are encoded whole. Strings of special tokens inside a text become their ids, as the library does.
@@ -30,8 +31,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-CACHED_WORDS = 250_000
-CACHED_PAIRS = 1_000_000
+CACHED_BYTES = 32 << 20
+CACHED_PAIRS = 200_000
+LONG_WORD = 64  # longer words hardly repeat and are not kept
+_ENTRY_BYTES = 120  # of a dictionary entry, its text and its tuple, without letters and ids
 _NEVER = 1 << 60
 # Unicode White_Space, which differs from str.isspace by the separators U+001C..U+001F
 _WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -69,7 +72,6 @@ class WordBpe:
         self.left, self.right, self.born = [-1] * size, [-1] * size, [-1] * size
         for order, ((a, b), whole) in enumerate(self.merged.items()):
             self.left[whole], self.right[whole], self.born[whole] = a, b, order
-        self.compatible_pairs: dict[tuple[int, int], bool] = {}
 
         # one symbol for each byte, and another for each byte that ends a word
         byte_of = {letter: b for b, letter in enumerate(byte_letters())}
@@ -86,18 +88,25 @@ class WordBpe:
         for token, number in [*vocab.items(), *self.special.items()]:
             names[number] = token.encode()
         self.offsets = np.concatenate([[0], np.cumsum([len(n) for n in names])])
-        self.characters = b"".join(names)
+        self.characters = np.frombuffer(b"".join(names) + b" ", np.uint8)
         self.numbers = [str(k) for k in range(size)]
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the caches."""
+        self.compatible_pairs: dict[int, bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
         self.older_words: dict[str, tuple[int, ...]] = {}
+        self.word_bytes = 0
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether merging the text of ``a`` and ``b`` leaves a border between them."""
-        known = self.compatible_pairs.get((a, b))
+        pair = a << 32 | b
+        known = self.compatible_pairs.get(pair)
         if known is None:
             if len(self.compatible_pairs) >= CACHED_PAIRS:
                 self.compatible_pairs.clear()
-            known = self.compatible_pairs[a, b] = self._border_holds(a, b)
+            known = self.compatible_pairs[pair] = self._border_holds(a, b)
         return known
 
     def _border_holds(self, a: int, b: int) -> bool:
@@ -150,12 +159,14 @@ class WordBpe:
         return ids
 
     def _word(self, word: str) -> tuple[int, ...]:
-        if len(self.words) >= CACHED_WORDS:  # words in use move on to the new generation, the others go
-            self.older_words, self.words = self.words, {}
         ids = self.older_words.get(word)
         if ids is None:
             ids = tuple(chain.from_iterable(map(self.encode_piece, self.pieces.findall(word))))
-        self.words[word] = ids
+        if len(word) <= LONG_WORD:
+            if self.word_bytes >= CACHED_BYTES:  # words in use move on to the new generation, the others go
+                self.older_words, self.words, self.word_bytes = self.words, {}, 0
+            self.words[word] = ids
+            self.word_bytes += _ENTRY_BYTES + 4 * len(word) + 8 * len(ids)
         return ids
 
     def _plain(self, text: str) -> list[int]:
@@ -180,7 +191,7 @@ class WordBpe:
         ends = np.cumsum(lengths)
         # source position of every output byte; the byte after each token is a space
         source = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
-        characters = np.frombuffer(self.characters + b" ", np.uint8)[np.minimum(source, len(self.characters))]
+        characters = self.characters[np.minimum(source, len(self.characters) - 1)]
         characters[ends - 1] = 32
         return characters[:-1].tobytes()
 
@@ -209,6 +220,8 @@ def _encode_batches(content, key: str, with_ids: bool):
                 columns.append(pa.array(kept, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
+        coder.forget()
+        pa.default_memory_pool().release_unused()
 
     return run
 

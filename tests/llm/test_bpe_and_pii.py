@@ -43,9 +43,15 @@ def test_random_texts_agree_with_the_library(coders):
 
 
 def test_words_outside_the_caches_are_the_same(coders, monkeypatch):
-    monkeypatch.setattr(bpe, "CACHED_WORDS", 3)
+    monkeypatch.setattr(bpe, "CACHED_BYTES", 400)
     monkeypatch.setattr(bpe, "CACHED_PAIRS", 3)
-    agree((bpe.WordBpe(open(VOCABULARY, "rb").read()), coders[1]), H.prose(1, 400))
+    coder = bpe.WordBpe(open(VOCABULARY, "rb").read())
+    for text in (H.prose(1, 400), "long" * 40 + " word", H.prose(2, 50)):
+        agree((coder, coders[1]), text)
+        assert len(coder.words) <= 3 and len(coder.older_words) <= 3 and len(coder.compatible_pairs) <= 3
+        assert not any(len(word) > bpe.LONG_WORD for word in [*coder.words, *coder.older_words])
+    coder.forget()
+    assert not coder.words and not coder.older_words and not coder.compatible_pairs
 
 
 def test_query_rows(spark, coders):

@@ -25,5 +25,17 @@ def test_stages_do_what_they_say(spark, tmp_path):
     assert bpe.encoded is not None and [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "decontamination", "personal_data", "bpe"]
 
 
+def test_runs_twice_in_one_session_and_on_empty_tables(spark, tmp_path):
+    rows = [(k, H.prose(k, 40)) for k in range(20)] + [(30, None)]
+    H.documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    first, second = (sorted((r.doc_id, r.ids_sha256) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) for _ in range(2))
+    assert first == second and [k for k, _ in first] == list(range(20))
+    empty = tmp_path / "empty"
+    H.documents(spark, []).write.parquet(str(empty / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(empty / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(empty)).count() == 0
+
+
 def test_one_query_for_each_operator():
     assert sorted(int(name.split("_")[0][2:]) for name in queries.queries()) == list(range(1, 14))
