@@ -12,8 +12,10 @@ Most document positions hit nothing. A bitmap of fixed size (8 MB) with one bit
 inside the scan; it is broadcast, and its size does not depend on the data. A bitmap that fills up lets
 more rows through to the join but never changes the result.
 
-Items of fewer than ``VERIFY`` words count only if all their words are equal; those of fewer than ``SPAN`` use one dense
-mask of ``SHORT_SPAN`` words, and items shorter than that show nothing and never match. Items of equal text are one item with the smallest id.
+Items of fewer than ``VERIFY`` words have masks of their own and are compared as a whole by the same percentage: one
+substitution from six words on, two from ten on. Items of fewer than six words show nothing and never match. Items of equal
+text are one item with the smallest id; an item without id counts like any other and is reported with a null id.
+Alignments are gathered per document and item, so a sentence that many items share makes many rows and no large one.
 Defined results: null or blank texts contain nothing; rows repeating a doc_id are judged by their own texts;
 an empty benchmark or document table gives no rows and drops nothing.
 """
@@ -27,24 +29,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.staging import staged
+from ledgerloom.llm.staging import free_names, staged
 from ledgerloom.llm.text import hashed_words, mix, row_ranges
 
-MASKS = ("10101111", "11100111", "11101101")
-SPAN = len(MASKS[0])
-SHORT_SPAN = 6
+LONG_MASKS = ("10101111", "11100111", "11101101")  # for items of VERIFY words and more
+SHORT_MASKS = ("111100", "110011", "001111")  # for items of six words and more
+MASKS = (*LONG_MASKS, *SHORT_MASKS)
+LEAST = len(SHORT_MASKS[0])
 VERIFY = 12
 EQUAL_PERCENT = 80
 BITMAP_BITS = 26
 
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(4004))
-_STEPS = _rng.integers(0, 2**62, (len(MASKS) + 1, SPAN), dtype=np.uint64) * _U(2) + _U(1)
+_STEPS = _rng.integers(0, 2**62, (len(MASKS), len(LONG_MASKS[0])), dtype=np.uint64) * _U(2) + _U(1)
 
 
 def _seeds(words: np.ndarray, rows: np.ndarray, mask: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of one mask (the last is the dense short one) at all positions whose window stays inside its text."""
-    marks = MASKS[mask] if mask < len(MASKS) else "1" * SHORT_SPAN
+    """Hashes of one mask at all positions whose window stays inside its text."""
+    marks = MASKS[mask]
     n = len(words) - len(marks) + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -62,9 +65,9 @@ def _benchmark_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for first, last, words, rows, _ in hashed_words(batch.column(1)):
             bounds = row_ranges(rows, last - first)
             lengths = np.diff(bounds)
-            for mask in range(len(MASKS) + 1):
+            for mask in range(len(MASKS)):
                 hashes, at = _seeds(words, rows, mask)
-                right = lengths[rows[at]] >= SPAN if mask < len(MASKS) else lengths[rows[at]] < SPAN
+                right = (lengths[rows[at]] >= VERIFY) == (mask < len(LONG_MASKS))
                 hashes, at = hashes[right], at[right]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(hashes.view(np.int64)), pa.array(ids[first + rows[at]]), pa.array((at - bounds[rows[at]]).astype(np.int32))],
@@ -98,7 +101,7 @@ def _scan(bitmap):
         for batch in batches:
             for first, last, words, rows, _ in hashed_words(batch.column(2)):
                 bounds = row_ranges(rows, last - first)
-                for mask in range(len(MASKS) + 1):
+                for mask in range(len(MASKS)):
                     hashes, at = _seeds(words, rows, mask)
                     place = hashes & low
                     found = np.flatnonzero((bits[(place >> _U(6)).astype(np.int64)] >> (place & _U(63))) & _U(1))
@@ -114,18 +117,17 @@ def _scan(bitmap):
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The document's words under each aligned item, and the item position where they begin."""
+    """The document's words under an item at each of its alignments, and the item position where they begin."""
     for batch in batches:
-        lines = batch.column(3).to_pylist()
+        items, lengths, shifts = (batch.column(c).to_pylist() for c in (3, 4, 5))
         for first, last, words, rows, _ in hashed_words(batch.column(2)):
             bounds = row_ranges(rows, last - first)
             out = []
             for row in range(first, last):
                 lo, hi = bounds[row - first], bounds[row - first + 1]
-                for line in lines[row]:
-                    begin = max(0, line["shift"])
-                    end = min(hi - lo, line["shift"] + line["item_length"])
-                    out.append((row, line["item"], begin, begin - line["shift"], words[lo + begin : lo + end].view(np.int64)))
+                for shift in shifts[row]:
+                    begin, end = max(0, shift), min(hi - lo, shift + lengths[row])
+                    out.append((row, items[row], begin, begin - shift, words[lo + begin : lo + end].view(np.int64)))
             for at in range(0, len(out), 10_000):
                 part = out[at : at + 10_000]
                 where = pa.array([p[0] for p in part])
@@ -149,8 +151,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(same) < window:
                 continue
             sums = np.concatenate([[0], np.cumsum(same)])
-            percent = EQUAL_PERCENT if window == VERIFY else 100
-            good = np.flatnonzero(100 * (sums[window:] - sums[:-window]) >= percent * window)
+            good = np.flatnonzero(100 * (sums[window:] - sums[:-window]) >= EQUAL_PERCENT * window)
             if len(good):
                 begin, end = int(good[0]), int(good[-1]) + window
                 kept.append(row)
@@ -160,35 +161,38 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where = pa.array(kept, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [*[batch.column(c).take(where) for c in (0, 1, 2)], pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(equals, pa.int64())],
-            ["doc_id", "text_key", "item_id", "start_word", "n_words", "n_equal"],
+            ["doc_id", "text_key", "item", "start_word", "n_words", "n_equal"],
         )
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, text_key, item_id, start_word, n_words, n_equal): every benchmark passage in every document."""
-    items = benchmark.where("text is not null").groupBy("text").agg(F.min(F.col("item_id").cast("long")).alias("item"))
-    items = staged(items.where("item is not null").select("item", "text"), "items")
-    seeds = staged(items.mapInArrow(_benchmark_seeds, "hash long, item long, item_at int"), "item-seeds")
-    words = staged(items.mapInArrow(_item_words, "item long, item_words array<long>"), "item-words")
+    """(doc_id, text_key, item, item_id, start_word, n_words, n_equal): every benchmark passage in every document."""
+    items = benchmark.where("text is not null").groupBy("text").agg(F.min(F.col("item_id").cast("long")).alias("item_id"))
+    items = staged(items.withColumn("item", F.monotonically_increasing_id()), "items")
+    numbered = items.select("item", "text")
+    seeds = staged(numbered.mapInArrow(_benchmark_seeds, "hash long, item long, item_at int"), "item-seeds")
+    words = staged(numbered.mapInArrow(_item_words, "item long, item_words array<long>"), "item-words")
     bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(seeds))
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     hits = texts.mapInArrow(_scan(bitmap), "doc_id long, text_key long, hash long, at int")
-    lines = hits.join(seeds, "hash").select("doc_id", "text_key", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
-    lines = lines.join(words.select("item", F.size("item_words").alias("item_length")), "item")
-    lines = lines.groupBy(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")).agg(F.collect_list(F.struct("item", "shift", "item_length")).alias("lines"))
-    lines = staged(lines, "lines")
+    lines = hits.join(seeds, "hash").select(
+        F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key"), "item", (F.col("at") - F.col("item_at")).alias("shift")
+    )
+    lines = lines.groupBy("hit_id", "hit_key", "item").agg(F.collect_set("shift").alias("shifts"))
+    lines = staged(lines.join(words.select("item", F.size("item_words").alias("item_length")), "item"), "lines")
     same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_key") == F.col("hit_key"))
-    hit = texts.dropna(subset=["text"]).join(lines, same).select("doc_id", "text_key", "text", "lines")
+    hit = texts.dropna(subset=["text"]).join(lines, same).select("doc_id", "text_key", "text", "item", "item_length", "shifts")
     schema = "doc_id long, text_key long, item long, start int, item_start int, doc_words array<long>"
     aligned = hit.mapInArrow(_aligned, schema).join(words, "item")
     aligned = aligned.select("doc_id", "text_key", "item", "start", "item_start", "doc_words", "item_words")
-    return aligned.mapInArrow(_verify, "doc_id long, text_key long, item_id long, start_word long, n_words long, n_equal long")
+    found = aligned.mapInArrow(_verify, "doc_id long, text_key long, item long, start_word long, n_words long, n_equal long")
+    return found.join(items.select("item", "item_id"), "item")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item: the longest overlap, and how often the item occurs in it."""
-    found = overlaps(docs, benchmark).groupBy("doc_id", "item_id")
+    found = overlaps(docs, benchmark).groupBy("doc_id", "item", "item_id")
     best = F.max(F.struct("n_equal", "n_words", (-F.col("start_word")).alias("s"))).alias("best")
     return found.agg(best, F.count("*").alias("n_overlaps")).select(
         "doc_id", "item_id", (-F.col("best.s")).alias("start_word"), F.col("best.n_words").alias("n_words"),
@@ -198,6 +202,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any benchmark passage, all columns kept."""
-    found = staged(overlaps(docs, benchmark).select(F.col("doc_id").alias("__hit_id"), F.col("text_key").alias("__hit_key")).distinct(), "contaminated")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__hit_id")) & (F.xxhash64("text") == F.col("__hit_key"))
+    hit_id, hit_key = free_names(docs, "hit_id", "hit_key")
+    found = staged(overlaps(docs, benchmark).select(F.col("doc_id").alias(hit_id), F.col("text_key").alias(hit_key)).distinct(), "contaminated")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(hit_id)) & (F.xxhash64("text") == F.col(hit_key))
     return docs.join(found, same, "left_anti")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from itertools import combinations
 
 import llm_helpers as H
@@ -66,7 +67,7 @@ def test_whole_repeated_rows_and_empty_tables(spark):
     assert chunk_dedup.repeated_passages(H.documents(spark, [])).count() == 0
 
 
-BENCH = [(1, H.prose(900, 40)), (2, H.prose(901, 9)), (3, "too short"), (4, None), (5, H.prose(900, 40)), (6, "")]
+BENCH = [(1, H.prose(900, 40)), (2, H.prose(901, 9)), (3, "too short"), (4, None), (5, H.prose(900, 40)), (6, ""), (None, H.prose(902, 10)), (None, H.prose(903, 6))]
 BENCH_SCHEMA = "item_id long, text string"
 
 
@@ -76,42 +77,50 @@ def test_passages_with_substitutions_are_found_and_clean_texts_kept(spark):
     rows = [
         (1, f"{H.prose(1, 50)} {BENCH[0][1].upper()} {H.prose(2, 50)}"), (2, " ".join([*H.prose(3, 20).split(), *swapped])),
         (3, " ".join(item[10:30])), (4, f"{H.prose(4, 5)} {BENCH[1][1]}"), (5, H.prose(5, 500)), (6, f"{H.prose(6, 9)} too short"),
-        (7, " ".join(item[:7])), (8, " ".join(w if k % 2 else f"q{k}" for k, w in enumerate(item))), (1, "same id, clean text"), *H.AWKWARD,
+        (20, f"{H.prose(7, 9)} {' '.join(['qq', *BENCH[1][1].split()[1:]])}"), (21, " ".join(["x1", "x2", *BENCH[1][1].split()[2:], "x3"])),
+        (22, " ".join("qq" if k in (3, 7) else w for k, w in enumerate(BENCH[6][1].split()))), (23, BENCH[7][1].upper()),
+        (24, " ".join("qq" if k in (1, 3) else w for k, w in enumerate(BENCH[7][1].split()))), (7, " ".join(item[:7])), (8, " ".join(w if k % 2 else f"q{k}" for k, w in enumerate(item))), (1, "same id, clean text"), *H.AWKWARD,
     ]
     docs, bench = H.documents(spark, rows), spark.createDataFrame(BENCH, BENCH_SCHEMA)
     found = {(r.doc_id, r.item_id): r for r in spaced_seed.contaminated(docs, bench).collect()}
-    assert set(found) == {(1, 1), (2, 1), (3, 1), (4, 2)}
+    assert set(found) == {(1, 1), (2, 1), (3, 1), (4, 2), (20, 2), (22, None), (23, None)}
     assert (found[1, 1].start_word, found[1, 1].n_words, found[1, 1].n_equal) == (50, 40, 40)
     assert found[2, 1].n_equal == sum(a == b for a, b in zip(item, swapped))
     kept = spaced_seed.decontaminated(docs, bench)
-    assert kept.count() == len(rows) - 4 and kept.columns == docs.columns
+    assert kept.count() == len(rows) - 7 and kept.columns == docs.columns
+    clashing = docs.withColumn("hit_id", docs.doc_id).withColumn("__hit_key", docs.doc_id)
+    assert spaced_seed.decontaminated(clashing, bench).columns == clashing.columns
     assert [r.text for r in kept.where("doc_id = 1 and text like 'same%'").collect()] == ["same id, clean text"]
 
 
 def test_overlaps_equal_brute_force_alignment(spark):
     rows = [(k, f"{H.prose(k, 30)} {' '.join(BENCH[0][1].split()[k : k + 8 + k])} {H.prose(100 + k, 30)}") for k in range(1, 20)]
+    for k in range(40):  # changed copies of the shorter items
+        item = BENCH[(1, 6, 7)[k % 3]][1].split()
+        changed = random.Random(k).sample(range(len(item)), k % 4)
+        rows.append((200 + k, " ".join(f"q{k}" if at in changed else w for at, w in enumerate(item)) + (" and more" if k % 2 else "")))
     found = {r.doc_id for r in spaced_seed.contaminated(H.documents(spark, rows), spark.createDataFrame(BENCH, BENCH_SCHEMA)).collect()}
     expected = set()
     for doc_id, text in rows:
         doc = H.words(text)
-        for _, item in BENCH[:2]:
+        for _, item in BENCH:
             item = H.words(item)
             window = min(spaced_seed.VERIFY, len(item))
-            for shift in range(-len(item), len(doc)):
+            for shift in range(-len(item), len(doc)) if window >= spaced_seed.LEAST else ():
                 same = [0 <= shift + k < len(doc) and doc[shift + k] == w for k, w in enumerate(item)]
-                percent = spaced_seed.EQUAL_PERCENT if window == spaced_seed.VERIFY else 100
-                if any(100 * sum(same[k : k + window]) >= percent * window for k in range(len(item) - window + 1)):
+                inside = lambda k: 0 <= shift + k and shift + k + window <= len(doc)
+                if any(inside(k) and 100 * sum(same[k : k + window]) >= spaced_seed.EQUAL_PERCENT * window for k in range(len(item) - window + 1)):
                     expected.add(doc_id)
-    assert found == expected
+    assert found == expected and len(expected) > 25
 
 
-def test_masks_leave_no_two_substitutions_unseen():
-    for missed in combinations(range(spaced_seed.VERIFY), spaced_seed.VERIFY * (100 - spaced_seed.EQUAL_PERCENT) // 100):
-        assert any(
-            all(mark == "0" or at + k not in missed for k, mark in enumerate(mask))
-            for mask in spaced_seed.MASKS
-            for at in range(spaced_seed.VERIFY - spaced_seed.SPAN + 1)
-        )
+def test_masks_leave_no_tolerated_substitutions_unseen():
+    for length in range(spaced_seed.LEAST, spaced_seed.VERIFY + 1):
+        masks = spaced_seed.LONG_MASKS if length >= spaced_seed.VERIFY else spaced_seed.SHORT_MASKS
+        for missed in combinations(range(length), length * (100 - spaced_seed.EQUAL_PERCENT) // 100):
+            assert any(
+                all(mark == "0" or at + k not in missed for k, mark in enumerate(mask)) for mask in masks for at in range(length - len(mask) + 1)
+            )
 
 
 def test_no_benchmark_and_no_documents(spark):
