@@ -6,19 +6,23 @@ two bytes. A GRU reads a text word by word and gives P(class | history) and, for
 P(word | class, history); a further word has its smoothed corpus share inside its class, with one more share for
 words never seen in training. So every text has a probability.
 
+Every text is cut into words once; the numbers of its tokens are written as a table that training and scoring read.
+
 Training is truncated backpropagation in numpy over windows of ``STEPS`` words, the state being carried from window to
 window. Documents lie end to end in up to ``LANES`` streams of equal length, so every window is full whatever the
 lengths of the documents; the state starts anew with each document. It takes ``ROUNDS`` rounds, which part the training
-documents among them: each document is read in exactly one round. In a round every task trains a copy of the current
-weights on its part of the round's documents, and the copies are averaged by the tokens they saw, in two levels of
-grouped sums. Weights have a fixed size, about half a megabyte.
+documents among them: each document is read in exactly one round. A round's documents are dealt by a hash of id and text to blocks
+of about ``COPY_TOKENS`` tokens, as many as the corpus needs. Every block trains a copy of the current weights on its documents
+in order of their hashes, and the copies are averaged by the tokens they saw, ``FAN_IN`` at a time, in order of their
+numbers. So scores do not depend on how the input is partitioned. Weights have a fixed size, about half a megabyte.
 Scoring carries the state through the whole document, so windows change nothing in the result.
 
-Counts of the at most ``HEAD`` most frequent words (a fixed bound) are broadcast; the others are joined by a shuffle, after
-repeats inside a document are summed.
+The vocabulary is a top-k of all words. Counts of the most frequent words, as many whole steps of frequency as ``HEAD`` words
+hold (a fixed bound), are broadcast; the others are joined by a shuffle, after repeats inside a document are summed.
 
 Defined results: a null or blank text is the end token alone. Ids decide what is held out; a null id counts as the
-text 'null'. Rows that repeat are scored each. With no training documents all counts are zero and
+text 'null'. Rows that repeat are scored each and all are trained on; those of one input batch that repeat id and text are spread over
+the blocks, and only then blocks depend on the batches. With no training documents all counts are zero and
 the model gives its uniform start. Words are told apart by 64-bit numbers.
 """
 
@@ -40,8 +44,8 @@ VOCABULARY = WORD_CLASSES * CLASS_SIZE
 CLASSES = WORD_CLASSES + TAIL_CLASSES
 HEAD = 1 << 18
 HIDDEN = 16
-STEPS, LANES = 16, 256
-WINDOWS = 32  # windows that a slice is cut into at least, before the streams get fewer
+STEPS, LANES = 16, 512
+WINDOWS = 64  # windows that a slice is cut into at least, before the streams get fewer
 ROUNDS = 4
 RATE = 0.01
 CLIP = 1.0
@@ -54,8 +58,10 @@ _SHAPES = {
     "c": (HIDDEN, CLASSES), "cb": (CLASSES,), "w": (WORD_CLASSES, HIDDEN, CLASS_SIZE), "wb": (WORD_CLASSES, CLASS_SIZE),
 }
 _SIZES = {k: int(np.prod(s)) for k, s in _SHAPES.items()}
+_CLASS_OF = np.concatenate([np.repeat(np.arange(WORD_CLASSES), CLASS_SIZE), WORD_CLASSES + np.arange(TAIL_CLASSES)]).astype(np.int16)
+COPY_TOKENS = 1 << 20
+FAN_IN = 64
 _BLOCK = 8192  # weights per row when copies are averaged
-_FAN_IN = 64
 
 
 # ---- words --------------------------------------------------------------------------------------
@@ -69,15 +75,14 @@ def _tail_classes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hashes, classes = [], []
+        hashes, classes = [(np.array([END], np.uint64), np.array([batch.num_rows]))], [np.array([-1])]  # the end of every text
         for _, _, words, _, (data, starts, stops) in hashed_words(batch.column(0)):
             found, first, counts = np.unique(words, return_index=True, return_counts=True)
             hashes.append((found, counts))
             classes.append(_tail_classes(data, starts[first], stops[first]))
-        if hashes:
-            rows = pd.DataFrame({"hash": np.concatenate([h for h, _ in hashes]).view(np.int64), "n": np.concatenate([c for _, c in hashes]), "tail": np.concatenate(classes)})
-            rows = rows.groupby("hash", sort=False).agg({"n": "sum", "tail": "first"}).reset_index()
-            yield pa.RecordBatch.from_pandas(rows[["hash", "tail", "n"]].astype("int64"), preserve_index=False)
+        rows = pd.DataFrame({"hash": np.concatenate([h for h, _ in hashes]).view(np.int64), "n": np.concatenate([c for _, c in hashes]), "tail": np.concatenate(classes)})
+        rows = rows.groupby("hash", sort=False).agg({"n": "sum", "tail": "first"}).reset_index()
+        yield pa.RecordBatch.from_pandas(rows[["hash", "tail", "n"]].astype("int64"), preserve_index=False)
 
 
 class Lexicon:
@@ -164,17 +169,19 @@ def _step(w, h: np.ndarray, tokens: np.ndarray):
     return n + z * (h - n), (z, r, n, gates[:, 2 * HIDDEN :])
 
 
-def _log_share(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+def _tame(weights: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether no logit can leave the range of exp in single precision: states lie between -1 and 1."""
+    return float(np.abs(weights).sum(axis=-2).max() + np.abs(bias).max()) < 80
+
+
+def _log_share(x: np.ndarray, chosen: np.ndarray, tame: bool) -> np.ndarray:
     """Log of the softmax down each column of ``x`` (overwritten) at the row chosen for it."""
-    x -= x.max(axis=0)
+    if not tame:
+        x -= x.max(axis=0)
     picked = x[chosen, np.arange(len(chosen))]
     return picked - np.log(np.exp(x, out=x).sum(axis=0))
 
 
-def _classes_of(tokens: np.ndarray) -> np.ndarray:
-    return np.where(tokens < VOCABULARY, tokens // CLASS_SIZE, WORD_CLASSES + tokens - VOCABULARY)
-
-
 def _by_class(classes: np.ndarray):
     order = np.argsort(classes, kind="stable")
     edges = np.searchsorted(classes[order], np.arange(WORD_CLASSES + 1))
@@ -186,14 +193,15 @@ def _by_class(classes: np.ndarray):
 def token_scores(w, h: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Natural log of P(class | h), times P(word | class, h) for words of the vocabulary."""
     out = np.empty(len(tokens))
-    classes = _classes_of(tokens)
+    classes = _CLASS_OF[tokens]
+    tame, tame_words = _tame(w["c"], w["cb"]), _tame(w["w"], w["wb"])
     for at in range(0, len(tokens), _CHUNK):
         part = slice(at, at + _CHUNK)
-        out[part] = _log_share(w["c"].T @ h[part].T + w["cb"][:, None], classes[part])
+        out[part] = _log_share(w["c"].T @ h[part].T + w["cb"][:, None], classes[part], tame)
     for k, rows in _by_class(classes):
         for at in range(0, len(rows), _CHUNK):
             part = rows[at : at + _CHUNK]
-            out[part] += _log_share(w["w"][k].T @ h[part].T + w["wb"][k][:, None], tokens[part] % CLASS_SIZE)
+            out[part] += _log_share(w["w"][k].T @ h[part].T + w["wb"][k][:, None], tokens[part] % CLASS_SIZE, tame_words)
     return out
 
 
@@ -204,29 +212,32 @@ def text_scores(w, tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     starts, lengths = offsets[:-1][order], lengths[order]
     h = np.zeros((len(order), HIDDEN), np.float32)
     total = np.zeros(len(order))
-    for begin in range(0, int(lengths[0]) if len(lengths) else 0, STEPS):
-        states, read, owner = [], [], []
-        for t in range(begin, min(begin + STEPS, int(lengths[0]))):
-            active = int(np.searchsorted(-lengths, -t, "left"))  # texts longer than t
-            now = tokens[starts[:active] + t]
-            states.append(h[:active].copy())
-            read.append(now)
-            owner.append(np.arange(active))
-            h[:active] = _step(w, h[:active], now)[0]
-        scores = token_scores(w, np.concatenate(states), np.concatenate(read))
-        total += np.bincount(np.concatenate(owner), scores, minlength=len(order))
+    states, read, owner, waiting = [], [], [], 0
+    longest = int(lengths[0]) if len(lengths) else 0
+    for t in range(longest):
+        active = int(np.searchsorted(-lengths, -t, "left"))  # texts longer than t
+        now = tokens[starts[:active] + t]
+        states.append(h[:active].copy())
+        read.append(now)
+        owner.append(np.arange(active))
+        h[:active] = _step(w, h[:active], now)[0]
+        waiting += active
+        if waiting >= _CHUNK or t + 1 == longest:  # few long texts wait until a whole chunk can be scored
+            scores = token_scores(w, np.concatenate(states), np.concatenate(read))
+            total += np.bincount(np.concatenate(owner), scores, minlength=len(order))
+            states, read, owner, waiting = [], [], [], 0
     out = np.empty(len(order))
     out[order] = total
     return out
 
 
-def _excess(x: np.ndarray, chosen: np.ndarray, scale: np.float32) -> np.ndarray:
+def _excess(x: np.ndarray, chosen: np.ndarray, scale: np.float32, tame: bool) -> np.ndarray:
     """Gradient of the negative log-likelihood by the logits, in their place: softmax less one at the chosen rows."""
-    x -= x.max(axis=0)
+    if not tame:
+        x -= x.max(axis=0)
     np.exp(x, out=x)
-    x /= x.sum(axis=0)
-    x[chosen, np.arange(len(chosen))] -= 1
-    x *= scale
+    x *= scale / x.sum(axis=0)
+    x[chosen, np.arange(len(chosen))] -= scale
     return x
 
 
@@ -255,21 +266,21 @@ def _window_gradients(w, h: np.ndarray, window: np.ndarray, mask: np.ndarray, fr
             after = np.where(mask[t], after, before)
         kept.append((before, z, r, n, candidate))
     seen = np.flatnonzero(mask.ravel())
-    classes = _classes_of(read[seen])
+    classes = _CLASS_OF[read[seen]]
     order = np.argsort(classes, kind="stable")
     seen, classes = seen[order], classes[order]
     words = read[seen] % CLASS_SIZE
     outputs = np.take(states.reshape(HIDDEN, -1), seen, axis=1)
     scale = np.float32(1 / max(1, len(seen)))
     g = {k: np.zeros(s, np.float32) for k, s in _SHAPES.items()}
-    p = _excess(w["c"].T @ outputs + w["cb"][:, None], classes, scale)
+    p = _excess(w["c"].T @ outputs + w["cb"][:, None], classes, scale, _tame(w["c"], w["cb"]))
     g["c"], g["cb"] = outputs @ p.T, p.sum(axis=1)
     back = w["c"] @ p
-    edges = np.searchsorted(classes, np.arange(WORD_CLASSES + 1))
+    edges, tame = np.searchsorted(classes, np.arange(WORD_CLASSES + 1)), _tame(w["w"], w["wb"])
     for k in range(WORD_CLASSES):
         part = slice(edges[k], edges[k + 1])
         if part.start < part.stop:
-            p = _excess(w["w"][k].T @ outputs[:, part] + w["wb"][k][:, None], words[part], scale)
+            p = _excess(w["w"][k].T @ outputs[:, part] + w["wb"][k][:, None], words[part], scale, tame)
             g["w"][k], g["wb"][k] = outputs[:, part] @ p.T, p.sum(axis=1)
             back[:, part] += w["w"][k] @ p
     from_output = np.zeros((HIDDEN, steps * lanes), np.float32)
@@ -292,7 +303,7 @@ def _window_gradients(w, h: np.ndarray, window: np.ndarray, mask: np.ndarray, fr
         flow = (through if whole[t] else np.where(mask[t], through, flow)) + from_output[:, t]
         if start[t]:
             flow[:, fresh[t]] = 0
-    by_word = np.argsort(read, kind="stable")
+    by_word = np.argsort(read.astype(np.int16), kind="stable")  # 16 bits are sorted by radix
     kinds, edges = np.unique(read[by_word], return_index=True)
     flat = inputs.reshape(3 * HIDDEN, -1)
     g["x"][kinds] = np.add.reduceat(np.ascontiguousarray(flat.T)[by_word], edges)
@@ -349,36 +360,110 @@ class Trainer:
 # ---- jobs ---------------------------------------------------------------------------------------
 
 
-def _train(lexicon, weights):
+def _occurrences(keys: np.ndarray) -> np.ndarray:
+    """How often each value stood before in the list."""
+    order = np.argsort(keys, kind="stable")
+    new = np.ones(len(keys), bool)
+    new[1:] = np.diff(keys[order]) != 0
+    first = np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.arange(len(keys)) - first
+    return out
+
+
+NUMBERED = (
+    "doc_id long, turn int, key long, spread long, tokens array<int>, n_seen long, plain double, extra double, rare array<long>, times array<long>"
+)
+
+
+def _number(lexicon):
+    """Token numbers of every text, its base score as far as the broadcast counts go, and the words that need the others."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(weights.value)
+        known = lexicon.value
+        end, divisor = np.log10((known.documents + 0.1) / known.divisor), np.log10(known.divisor)
+        names = [x.split(" ")[0] for x in NUMBERED.split(", ")]
         for batch in batches:
-            for _, _, tokens, offsets, _ in _numbered(batch.column(0), lexicon.value):
-                trainer.fit(tokens, offsets)
-        if trainer.tokens:
-            values = trainer.flat.astype(np.float64) * trainer.tokens
-            blocks = range(0, len(values), _BLOCK)
-            salt = int(np.random.default_rng().integers(_FAN_IN))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b // _BLOCK for b in blocks], pa.int32()), pa.array([salt] * len(blocks), pa.int32()),
-                 pa.array([trainer.tokens] * len(blocks), pa.int64()), pa.array([values[b : b + _BLOCK].tobytes() for b in blocks])],
-                ["block", "salt", "tokens", "sums"],
-            )
+            done = 0
+            key = batch.column("key").to_numpy()
+            spread = (key.view(np.uint64) >> np.uint64(8)).astype(np.int64) + _occurrences(key)
+            for first, last, tokens, bounds, (words, numbers, counts, rows, tails) in _numbered(batch.column("text"), known):
+                n = last - first
+                in_head = counts >= 0
+                logs = np.log10(np.maximum(counts, 0) + 0.1)
+                plain = np.bincount(rows, np.where(in_head, logs, 0) - divisor, minlength=n) + end
+                # words outside the vocabulary: their share of their class; unjoined counts are added later
+                outside = numbers < 0
+                inside_class = np.where(outside & in_head, logs, 0.0) - np.where(outside, np.log10(known.tail_mass[np.maximum(tails - VOCABULARY, 0)]), 0.0)
+                extra = np.bincount(rows, inside_class, minlength=n)
+                seen = np.bincount(rows, in_head & (counts > 0), minlength=n) + (known.documents > 0)
+                rare = ~in_head
+                owner, word = rows[rare], words[rare]
+                order = np.lexsort((word, owner))
+                owner, word = owner[order], word[order]
+                new = np.ones(len(owner), bool)
+                new[1:] = (np.diff(owner) != 0) | (word[1:] != word[:-1])
+                at = np.flatnonzero(new)
+                times = np.diff(np.append(at, len(owner)))
+                cuts = pa.array(np.searchsorted(owner[at], np.arange(n + 1)).astype(np.int32))
+                hashes = pa.ListArray.from_arrays(cuts, pa.array(word[at].view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).slice(first, n) for c in ("doc_id", "turn", "key")), pa.array(spread[first:last]),
+                        pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(tokens)), pa.array(seen.astype(np.int64)),
+                        pa.array(plain), pa.array(extra), hashes, pa.ListArray.from_arrays(cuts, pa.array(times)),
+                    ],
+                    names,
+                )
+                done = last
+            assert done == batch.num_rows
 
     return run
 
 
-def _add(group: pa.Table) -> pa.Table:
-    total = np.sum([np.frombuffer(v.as_py()) for v in group["sums"]], axis=0)
-    tokens = sum(group["tokens"].to_pylist())
-    return pa.table({"block": group["block"].slice(0, 1), "tokens": pa.array([tokens]), "sums": pa.array([total.tobytes()])})
+def numbered(docs: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> DataFrame:
+    """The token table of all documents, written once. ``turn`` is the round that reads a document, -1 if it is held out."""
+    key = F.xxhash64("doc_id", "text")
+    turn = F.when(_in_training(), F.pmod(key, F.lit(rounds)).cast("int")).otherwise(-1)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), turn.alias("turn"), key.alias("key"), "text")
+    rows = texts.mapInArrow(_number(docs.sparkSession.sparkContext.broadcast(lexicon)), NUMBERED)
+    return staged(rows.withColumn("row", F.monotonically_increasing_id()), "tokens")
 
 
-def _averaged(copies: DataFrame) -> np.ndarray | None:
-    """Token-weighted mean of the trained copies: groups of copies first, then one row per block of weights."""
-    schema = "block int, tokens long, sums binary"
-    some = copies.groupBy("block", "salt").applyInArrow(_add, schema)
-    rows = some.groupBy("block").applyInArrow(_add, schema).toPandas().sort_values("block")
+COPIES = "block int, copy long, tokens long, sums binary"
+
+
+def _train(weights):
+    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        group = group.sort_by("key")
+        tokens = group.column("tokens").combine_chunks()
+        trainer = Trainer(weights.value)
+        trainer.fit(tokens.flatten().to_numpy(), np.concatenate([[0], np.cumsum(tokens.value_lengths().to_numpy())]))
+        values = trainer.flat.astype(np.float64) * trainer.tokens
+        blocks = range(0, len(values), _BLOCK)
+        columns = [range(len(blocks)), [key[0].as_py()] * len(blocks), [trainer.tokens] * len(blocks), [values[b : b + _BLOCK].tobytes() for b in blocks]]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.binary()))], ["block", "copy", "tokens", "sums"])
+
+    return run
+
+
+def _add(group: pa.Table) -> pa.Table:
+    group = group.sort_by("copy")
+    total = np.frombuffer(group["sums"][0].as_py()).copy()
+    for values in group["sums"][1:]:
+        total += np.frombuffer(values.as_py())
+    copy = group["copy"][0].as_py() // FAN_IN
+    return pa.table({"block": group["block"].slice(0, 1), "copy": [copy], "tokens": [sum(group["tokens"].to_pylist())], "sums": pa.array([total.tobytes()])})
+
+
+def _averaged(copies: DataFrame, number: int) -> np.ndarray | None:
+    """Token-weighted mean of the trained copies: ``FAN_IN`` copies at a time, then one row per block of weights."""
+    while True:
+        copies = copies.withColumn("of", F.expr(f"copy div {FAN_IN}")).groupBy("block", "of").applyInArrow(_add, COPIES)
+        number = -(-number // FAN_IN)
+        if number <= 1:
+            break
+    rows = copies.toPandas().sort_values("block")
     if not len(rows):
         return None
     return np.concatenate([np.frombuffer(s) / n for s, n in zip(rows["sums"], rows["tokens"])]).astype(np.float32)
@@ -393,7 +478,9 @@ def lexicon_of(docs: DataFrame) -> tuple[Lexicon, DataFrame]:
     training = docs.where(_in_training())
     counts = training.select("text").mapInArrow(_count, "hash long, tail long, n long").groupBy("hash")
     counts = staged(counts.agg(F.min("tail").alias("tail"), F.sum("n").alias("n")), "word-counts")
-    # Words are taken by whole frequency steps while they fit; a few thousand steps cover all counts.
+    documents = sum(row.n for row in counts.where(F.col("hash") == END).collect())
+    counts = counts.where(F.col("hash") != END)
+    # The broadcast head has whole frequency steps while they fit; a few thousand steps cover all counts.
     step = F.floor(F.log2("n") * STEPS_PER_DOUBLING).cast("int")
     fits, taken = None, 0
     for row in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
@@ -401,27 +488,25 @@ def lexicon_of(docs: DataFrame) -> tuple[Lexicon, DataFrame]:
         if taken > HEAD:
             break
         fits = row.step
+    top = counts.orderBy(F.desc("n"), "hash").limit(VOCABULARY - 1).toPandas()
     head = counts.where(F.lit(False) if fits is None else step >= fits).toPandas()
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("types")).first()
-    by_tail = counts.groupBy("tail").agg(F.sum(F.col("n") + 0.1).alias("mass")).toPandas()
+    by_tail = counts.groupBy("tail").agg((F.sum("n") + F.count("*") * 0.1).alias("mass")).toPandas()
     mass = np.zeros(TAIL_CLASSES)
     mass[by_tail["tail"]] = by_tail["mass"]
-    top = head.sort_values(["n", "hash"], ascending=[False, True]).iloc[: VOCABULARY - 1]
     np.subtract.at(mass, top["tail"].to_numpy(), top["n"].to_numpy() + 0.1)
-    return Lexicon(head, np.maximum(mass, 0.0), sums.n, sums.types, training.count()), counts
-
-
-def turns(docs: DataFrame, rounds: int = ROUNDS) -> list[DataFrame]:
-    """The training documents of every round: together all of them, each once."""
-    return [docs.where(_in_training() & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == k)) for k in range(rounds)]
-
-
-def trained(docs: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> np.ndarray:
-    context = docs.sparkSession.sparkContext
-    shared, flat = context.broadcast(lexicon), packed(start_weights(lexicon))
-    for turn in turns(docs, rounds):
-        copies = turn.select("text").mapInArrow(_train(shared, context.broadcast(flat)), "block int, salt int, tokens long, sums binary")
-        found = _averaged(staged(copies, "copies"))
+    return Lexicon(pd.concat([head, top]).drop_duplicates("hash"), np.maximum(mass, 0.0), sums.n, sums.types, documents), counts
+
+
+def trained(tokens: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights after ``rounds`` rounds over the token table; every training document is in one of them."""
+    context = tokens.sparkSession.sparkContext
+    flat = packed(start_weights(lexicon))
+    blocks = max(1, -(-int(lexicon.tokens) // (rounds * COPY_TOKENS)))
+    for turn in range(rounds):
+        rows = tokens.where(F.col("turn") == turn).select(F.pmod("spread", F.lit(blocks)).alias("copy"), "key", "tokens")
+        copies = rows.groupBy("copy").applyInArrow(_train(context.broadcast(flat)), COPIES)
+        found = _averaged(staged(copies, "copies"), blocks)
         flat = flat if found is None else found
     return flat
 
@@ -429,64 +514,39 @@ def trained(docs: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> np.ndarr
 _LOG10 = np.log(10.0)
 
 
-def _score(lexicon, weights):
+def _score(weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, w = lexicon.value, unpacked(weights.value)
-        end = np.log10((known.documents + 0.1) / known.divisor)
+        w = unpacked(weights.value)
         for batch in batches:
-            tokens, offsets, rest = [], [np.zeros(1, np.int64)], []
-            for first, last, part, bounds, (words, numbers, counts, rows, tails) in _numbered(batch.column(1), known):
-                tokens.append(part)
-                offsets.append(bounds[1:] + offsets[-1][-1])
-                n = last - first
-                in_head = counts >= 0
-                logs = np.log10(np.maximum(counts, 0) + 0.1)
-                plain = np.bincount(rows, np.where(in_head, logs, 0) - np.log10(known.divisor), minlength=n) + end
-                # words outside the vocabulary: their share of their class; unjoined counts are added later
-                outside = numbers < 0
-                inside_class = np.where(outside & in_head, logs, 0.0) - np.where(outside, np.log10(known.tail_mass[np.maximum(tails - VOCABULARY, 0)]), 0.0)
-                extra = np.bincount(rows, inside_class, minlength=n)
-                seen = np.bincount(rows, in_head & (counts > 0), minlength=n) + (known.documents > 0)
-                rare = ~in_head
-                pairs = np.stack([rows[rare].astype(np.uint64), words[rare]], axis=1)
-                distinct, times = np.unique(pairs, axis=0, return_counts=True) if len(pairs) else (pairs, np.zeros(0, np.int64))
-                cuts = np.searchsorted(distinct[:, 0], np.arange(n + 1, dtype=np.uint64)).astype(np.int32)
-                hashes = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.ascontiguousarray(distinct[:, 1]).view(np.int64)))
-                rest.append((np.diff(bounds), seen, plain, extra, hashes, pa.ListArray.from_arrays(pa.array(cuts), pa.array(times))))
-            if not rest:
-                continue
-            model = text_scores(w, np.concatenate(tokens), np.concatenate(offsets)) / _LOG10
-            lengths, seen, plain, extra = (np.concatenate([r[k] for r in rest]) for k in range(4))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(lengths.astype(np.int64)), pa.array(seen.astype(np.int64)), pa.array(plain), pa.array(model + extra),
-                 pa.concat_arrays([r[4] for r in rest]), pa.concat_arrays([r[5] for r in rest])],
-                ["doc_id", "n_tokens", "n_seen", "plain", "model", "rare", "times"],
-            )
+            tokens = batch.column("tokens")
+            lengths = tokens.value_lengths().to_numpy()
+            model = text_scores(w, tokens.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lengths)])) / _LOG10
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(lengths.astype(np.int64)), pa.array(model)], ["row", "n_tokens", "model"])
 
     return run
 
 
-def scored(docs: DataFrame, lexicon: Lexicon, counts: DataFrame, weights: np.ndarray) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document."""
-    context = docs.sparkSession.sparkContext
-    schema = "doc_id long, n_tokens long, n_seen long, plain double, model double, rare array<long>, times array<long>"
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = texts.mapInArrow(_score(context.broadcast(lexicon), context.broadcast(weights)), schema)
-    rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "scores")
-    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("hash"), F.col("w.times").alias("times"))
+def scored(tokens: DataFrame, lexicon: Lexicon, counts: DataFrame, weights: np.ndarray) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document of the token table."""
+    shared = tokens.sparkSession.sparkContext.broadcast(weights)
+    rows = tokens.select("row", "tokens").mapInArrow(_score(shared), "row long, n_tokens long, model double")
+    rows = staged(rows, "scores").join(tokens.drop("tokens", "key", "spread"), "row")
+    rare = tokens.where(F.size("rare") > 0)
+    rare = rare.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("hash"), F.col("w.times").alias("times"))
     n = F.coalesce("n", F.lit(0))
     rare = rare.join(counts.select("hash", "n"), "hash", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(n + 0.1)).alias("rare_logs"), F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rare_known")
     )
     logs = F.coalesce("rare_logs", F.lit(0.0))
     return rows.drop("rare", "times").join(rare, "row", "left").select(
-        "doc_id", (~_in_training()).alias("held_out"), "n_tokens",
+        "doc_id", (F.col("turn") < 0).alias("held_out"), "n_tokens",
         (F.col("n_seen") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(int(lexicon.tokens)).cast("long").alias("train_tokens"),
-        (F.col("plain") + logs).alias("base_score"), (F.col("model") + logs).alias("score"),
+        (F.col("plain") + logs).alias("base_score"), (F.col("model") + F.col("extra") + logs).alias("score"),
     )
 
 
 def document_scores(docs: DataFrame) -> DataFrame:
     """Count the training documents, train the model on them, and score every document."""
     lexicon, counts = lexicon_of(docs)
-    return scored(docs, lexicon, counts, trained(docs, lexicon))
+    tokens = numbered(docs, lexicon)
+    return scored(tokens, lexicon, counts, trained(tokens, lexicon))

@@ -104,10 +104,39 @@ def test_base_scores_are_exact_and_the_model_beats_them(spark):
 
 
 def test_training_reads_every_document_once(spark):
-    rows = languages() + H.AWKWARD
-    docs = H.documents(spark, rows)
-    read = Counter((r.doc_id, r.text) for turn in G.turns(docs) for r in turn.collect())
-    assert read == Counter((d, t) for d, t in rows if in_training(d))
+    rows = languages() + H.AWKWARD + [(10, "twice")] * 30
+    lexicon, _ = G.lexicon_of(H.documents(spark, rows))
+    table = G.numbered(H.documents(spark, rows), lexicon).collect()
+    read = Counter(r.doc_id for r in table if r.turn >= 0)
+    assert read == Counter(d for d, t in rows if in_training(d)) and {r.turn for r in table} == {-1, *range(G.ROUNDS)}
+    assert sum(len(r.tokens) for r in table if r.turn >= 0) == lexicon.tokens
+    assert len({r.spread for r in table if r.doc_id == 10}) > 5  # equal rows are spread
+
+
+def test_scores_do_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(G, "COPY_TOKENS", 700)  # many copies, averaged in several levels
+    monkeypatch.setattr(G, "FAN_IN", 3)
+    monkeypatch.setattr(G, "HEAD", 40)
+    rows = languages() + H.AWKWARD[:9]
+    found = []
+    for docs in (H.documents(spark, rows).repartition(7, "text"), H.documents(spark, rows).coalesce(1)):
+        lexicon, counts = G.lexicon_of(docs)
+        tokens = G.numbered(docs, lexicon)
+        weights = G.trained(tokens, lexicon)
+        found.append((weights, {r.doc_id: r for r in G.scored(tokens, lexicon, counts, weights).collect()}))
+    (weights, apart), (same_weights, whole) = found
+    assert np.array_equal(weights, same_weights) and len(whole) == len(rows)
+    for k, r in whole.items():  # what is left is single precision in products of other shapes
+        assert r.base_score == pytest.approx(apart[k].base_score, abs=1e-9) and r.score == pytest.approx(apart[k].score, rel=1e-6, abs=1e-4)
+
+
+def test_vocabulary_does_not_depend_on_the_broadcast_head(spark, monkeypatch):
+    docs = H.documents(spark, languages())
+    large, _ = G.lexicon_of(docs)
+    monkeypatch.setattr(G, "HEAD", 5)  # less than the first frequency step
+    small, _ = G.lexicon_of(docs)
+    assert np.array_equal(large.vocabulary_counts, small.vocabulary_counts) and (small.vocabulary_counts > 0).sum() > 100
+    assert np.allclose(large.tail_mass, small.tail_mass)
 
 
 def test_streams_read_every_token_and_start_anew_with_each_document(weights):
