@@ -40,7 +40,7 @@ MIN_DOCUMENTS = 30
 TOP_TERMS = 50
 SMOOTHING = 5
 SHARES = 1_000_000_000
-BLOCK_CELLS = 1 << 19
+BLOCK_CELLS = (1 << 16, 1 << 21)  # of a task: at least the pairs of groups that it may answer with, within these bounds
 RUN_POSTINGS = 1 << 18  # postings in one vector step
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
@@ -178,7 +178,8 @@ def _baselines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def pair_distances(groups: DataFrame, cells: DataFrame) -> DataFrame:
     """(lang, source, item, value) for every two different sources of a language, in both orders."""
-    blocks = -(-cells.count() // BLOCK_CELLS) or 1
+    most = groups.groupBy("lang").count().agg(F.max("count")).first()[0] or 0
+    blocks = -(-cells.count() // min(max(most * most, BLOCK_CELLS[0]), BLOCK_CELLS[1])) or 1
     block = F.pmod(F.xxhash64("term"), F.lit(blocks)).alias("block")
     shared = cells.select("lang", block, "source", "term", "p", "z").groupBy("lang", "block").applyInArrow(_accumulated, PAIR)
     # Distinct shares of a group and the baselines of a language's groups: the size of one row of the result's matrix.

@@ -131,7 +131,7 @@ def test_divergence_matches_brute_force(spark, monkeypatch):
     got = lambda: {tuple(r) for r in divergence.source_divergence(docs, 5, 7).collect()}
     want = audited(rows, 5, 7)
     assert got() == want and len(want) > 60
-    monkeypatch.setattr(divergence, "BLOCK_CELLS", 20)  # many blocks of terms
+    monkeypatch.setattr(divergence, "BLOCK_CELLS", (20, 20))  # many blocks of terms
     monkeypatch.setattr(divergence, "RUN_POSTINGS", 3)
     assert got() == want
 
