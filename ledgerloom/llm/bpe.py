@@ -3,9 +3,9 @@
 The merge order of a BPE vocabulary decides, for any two tokens, whether they may stand side by side: they
 may not if a merge across their border would have happened before one of them was complete. A text has
 exactly one split into tokens whose neighbours are all compatible, and that split is what merging step by step
-would give. So a word is encoded by taking the longest token at each position (all occurrences of tokens
-come from one Aho-Corasick pass), checking it against the token before, and stepping back where no token
-fits. A position that was left once never fits again, which makes the work linear in the word's length.
+would give. So a word is encoded by taking the longest token at each position (found by an Aho-Corasick automaton),
+checking it against the token before, trying the shorter tokens that begin it where it does not fit, and stepping
+back where none fits. A position that was left once never fits again, which makes the work linear in the word's length.
 Compatibilities are kept in a table as they come up.
 
 The vocabulary file is read once on the driver and broadcast; its size is fixed. Words repeat, so a task keeps the ids
@@ -18,6 +18,7 @@ any length are encoded whole. Strings of special tokens inside a text become the
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
@@ -75,13 +76,19 @@ class WordBpe:
 
         # one symbol for each byte, and another for each byte that ends a word
         byte_of = {letter: b for b, letter in enumerate(byte_letters())}
+        number_of: dict[str, int] = {}
         self.tokens = ahocorasick.Automaton()
+        self.lengths, self.shorter = [0] * size, [-1] * size  # the longest token that begins a token
         for token, number in vocab.items():
             body, ends = (token[: -len(self.suffix)], True) if token.endswith(self.suffix) and len(token) > len(self.suffix) else (token, False)
             symbols = [byte_of[c] for c in body]
             if ends:
                 symbols[-1] += 256
-            self.tokens.add_word("".join(map(chr, symbols)), (number, len(symbols)))
+            number_of["".join(map(chr, symbols))] = number
+        for symbols, number in number_of.items():
+            self.tokens.add_word(symbols, number)
+            self.lengths[number] = len(symbols)
+            self.shorter[number] = next((number_of[symbols[:k]] for k in range(len(symbols) - 1, 0, -1) if symbols[:k] in number_of), -1)
         self.tokens.make_automaton()
 
         names = [b""] * size
@@ -129,39 +136,54 @@ class WordBpe:
         symbols = raw[:-1].decode("latin-1") + chr(raw[-1] + 256)
         end = len(symbols)
         # Longest tokens from left to right are the answer if no border among them breaks.
-        ids = [number for _, (number, _) in self.tokens.iter_long(symbols)]
-        if all(map(self.compatible, ids, ids[1:])):
-            return ids
-        starting: list[list[tuple[int, int]]] = [[] for _ in range(end)]
-        for last, (number, length) in self.tokens.iter(symbols):
-            starting[last + 1 - length].append((length, number))  # later ends come later: shortest first
+        ids = [number for _, number in self.tokens.iter_long(symbols)]
+        known, before = self.compatible_pairs.get, ids[0]
+        for k in range(1, len(ids)):
+            token = ids[k]
+            holds = known(before << 32 | token)
+            if holds is None:
+                holds = self.compatible(before, token)
+            if not holds:
+                return self._stepped_back(symbols, ids[:k], token)
+            before = token
+        return ids
+
+    def _stepped_back(self, symbols: str, ids: list[int], refused: int) -> list[int]:
+        """Goes on behind ``ids``, where ``refused`` is the longest token but does not fit."""
+        known, shorter, lengths, longest = self.compatible_pairs.get, self.shorter, self.lengths, self.tokens.iter_long
+        end, here, candidate = len(symbols), 0, shorter[refused]
+        for token in ids:
+            here += lengths[token]
         left_behind = bytearray(end + 1)
-        ids, at, tries = [], [0], [len(starting[0])]
-        while at[-1] < end:
-            here, k = at[-1], tries[-1] - 1
-            while k >= 0:
-                length, number = starting[here][k]
-                if not left_behind[here + length] and (not ids or self.compatible(ids[-1], number)):
-                    break
-                k -= 1
-            tries[-1] = k
-            if k >= 0:
-                ids.append(number)
-                at.append(here + length)
-                tries.append(len(starting[here + length]) if here + length < end else 0)
-            else:
+        while True:
+            before = ids[-1] if ids else -1
+            while candidate >= 0:
+                if not left_behind[here + lengths[candidate]]:
+                    holds = before < 0 or known(before << 32 | candidate)
+                    if holds or (holds is None and self.compatible(before, candidate)):
+                        break
+                candidate = shorter[candidate]
+            if candidate >= 0:
+                ids.append(candidate)
+                here += lengths[candidate]
+                if here == end:
+                    return ids
+                candidate = next(longest(symbols, here))[1]
+            elif ids:
                 left_behind[here] = 1
-                if not ids:
-                    raise ValueError(f"the vocabulary has no tokens for {piece!r}")
-                ids.pop()
-                at.pop()
-                tries.pop()
-        return ids
+                last = ids.pop()
+                here, candidate = here - lengths[last], shorter[last]
+            else:
+                raise ValueError(f"the vocabulary has no tokens for {symbols!r}")
 
     def _word(self, word: str) -> tuple[int, ...]:
         ids = self.older_words.get(word)
         if ids is None:
-            ids = tuple(chain.from_iterable(map(self.encode_piece, self.pieces.findall(word))))
+            pieces = self.pieces.findall(word)
+            if len(pieces) == 1:
+                ids = tuple(self.encode_piece(pieces[0]))
+            else:  # no alternative of the pattern looks around, so a piece alone is the same piece
+                ids = tuple(chain.from_iterable([self.words.get(p) or self._word(p) for p in pieces]))
         if len(word) <= LONG_WORD:
             if self.word_bytes >= CACHED_BYTES:  # words in use move on to the new generation, the others go
                 self.older_words, self.words, self.word_bytes = self.words, {}, 0
@@ -204,6 +226,7 @@ def _encode_batches(content, key: str, with_ids: bool):
         coder = _loaded.get(key)
         if coder is None:
             coder = _loaded[key] = WordBpe(content.value)
+            gc.freeze()  # the tables stay; garbage collections need not walk them
         numbers = coder.numbers
         for batch in batches:
             counts, id_digests, text_digests, kept = [], [], [], []
