@@ -1,6 +1,6 @@
 """Personal data: fixed patterns, and spans added by a character-level bidirectional LSTM with CRF transitions.
 
-The patterns label a bounded sample of documents; those spans, and variants of them that the patterns miss
+The patterns label a bounded sample of documents, drawn for every kind by itself; those spans, and variants of them that the patterns miss
 (spaces around the at sign, phones without a plus, bracketed dots), train the tagger in numpy, in one
 task. Then every document is cut into overlapping windows, each window is decoded by Viterbi, and the
 windows are reconciled over the whole document: a position takes its tag from the window in which it lies
@@ -26,8 +26,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.staging import staged
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCUMENTS = 600  # labelled documents for the fit
@@ -396,15 +398,37 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([flat.tobytes()])], ["weights"])
 
 
-def trained(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> dict[str, np.ndarray] | None:
-    """Fit on about ``documents`` different texts that hold a digit or at sign, and at most so many.
+def _kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rank, kind) for every kind that a text has a pattern span of; one row with no kind's number if it has none."""
+    for batch in batches:
+        found = [sorted({kind for _, kind, _ in pattern_spans(t)}) or [len(KINDS)] for t in batch.column(1).to_pylist()]
+        where = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+        kinds = pa.array([kind for f in found for kind in f], pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(where), kinds], ["rank", "kind"])
+
+
+def fit_sample(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> DataFrame:
+    """(rank, text): at most ``documents`` different texts, in equal shares for each kind and for texts without a span.
 
+    Every text that holds a digit or at sign is looked through. A kind's share comes from the texts that have a
+    pattern span of it, so a kind is learned however rare it is; a kind with fewer texts than its share gives them all.
     Texts are chosen by the value of their hash, each task for itself, so no task gathers candidates of all others.
     """
     carriers = docs.where(F.col("text").rlike(CARRIER)).select(F.xxhash64("text").alias("rank"), "text")
-    found = carriers.count()
-    highest = min(2**63 - 1, -(2**63) + int(2**64 * min(1.0, documents / max(found, 1))))
-    sample = carriers.where(F.col("rank") <= highest).dropDuplicates(["rank"]).orderBy("rank").limit(documents)
+    kinds = staged(carriers.mapInArrow(_kinds, "rank long, kind int").distinct(), "kinds")
+    share = documents // (len(KINDS) + 1)
+    wanted = share + 4 * share**0.5  # so many are expected below the bound: enough for the share, and few more
+    near = F.lit(False)
+    for kind, n in kinds.groupBy("kind").count().collect():  # a row for each kind
+        near |= (F.col("kind") == kind) & (F.col("rank") <= min(2**63 - 1, -(2**63) + int(2**64 * min(1.0, wanted / n))))
+    place = F.row_number().over(W.partitionBy("kind").orderBy("rank"))
+    chosen = kinds.where(near).withColumn("place", place).where(F.col("place") <= share).select("rank").distinct()
+    return carriers.join(F.broadcast(chosen), "rank").dropDuplicates(["rank"]).select("rank", "text")
+
+
+def trained(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> dict[str, np.ndarray] | None:
+    """Weights fitted on ``fit_sample``; none if no text has a pattern span."""
+    sample = fit_sample(docs, documents)
     rows = sample.coalesce(1).mapInArrow(_fit, "weights binary").collect()  # one row of fixed size
     if not rows:
         return None

@@ -165,3 +165,17 @@ def test_query_rows_and_redaction(spark):
     assert not any(plain_spans(r.text or "") for r in clean.values()) and clean[1].text is None and clean[9].text == H.AWKWARD[8][1]
     assert clean[100].n_chars == len(clean[100].text)
     assert P.personal_data(H.documents(spark, [])).count() == 0
+
+
+def test_rare_kinds_are_in_the_fit_sample(spark):
+    rnd = random.Random(8)
+    rows = [(k, f"{H.prose(k, 12)} version {k} page {k % 7}") for k in range(3000)]
+    rows += [(5000 + k, f"{H.prose(k, 9)} a{k}@mail.example.com {H.prose(k, 5)}") for k in range(6)]
+    rows += [(6000 + k, f"{H.prose(k, 9)} {card(rnd)} {H.prose(k, 5)}") for k in range(400)]
+    rows += [(7000 + k, rows[-1][1]) for k in range(500)] + H.AWKWARD
+    texts = [r.text for r in P.fit_sample(H.documents(spark, rows), 100).collect()]
+    kinds = [{kind for _, kind, _ in P.pattern_spans(t)} for t in texts]
+    assert len(set(texts)) == len(texts) <= 100
+    assert [sum(k in found for found in kinds) for k in (0, 1, 2, 3)] == [6, 0, 20, 0] and sum(not found for found in kinds) == 20
+    assert P.trained(H.documents(spark, rows), 100) is not None
+    assert P.trained(H.documents(spark, rows[:50] + H.AWKWARD), 100) is None
