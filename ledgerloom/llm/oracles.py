@@ -84,6 +84,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged j
 """
 
+# Ten equal words of twelve, and 80 % of a shorter item of six words or more, hold three equal words in a row: all lines
+# on which an item can lie along a document come from a join of three words, and are then compared word by word.
+OP4_SPACED_SEED = f"""
+WITH items AS (
+  SELECT row_number() OVER (ORDER BY text) AS item, item_id, {_WORDS.format(_LOWER)} AS b FROM (
+    SELECT text, min(item_id) AS item_id FROM benchmark WHERE text IS NOT NULL GROUP BY text
+  )
+), docs AS (
+  SELECT doc_id, {_WORDS.format(_LOWER)} AS d FROM documents
+), item_threes AS (
+  SELECT item, unnest(range(0, len(b) - 2)) AS i, unnest(list_transform(range(1, len(b) - 1), lambda k: b[k] || ' ' || b[k + 1] || ' ' || b[k + 2])) AS three
+  FROM items WHERE len(b) >= 6
+), doc_threes AS (
+  SELECT doc_id, unnest(range(0, len(d) - 2)) AS j, unnest(list_transform(range(1, len(d) - 1), lambda k: d[k] || ' ' || d[k + 1] || ' ' || d[k + 2])) AS three
+  FROM docs WHERE len(d) >= 3
+), lines AS (
+  SELECT DISTINCT doc_id, item, j - i AS shift FROM doc_threes JOIN item_threes USING (three)
+), compared AS (
+  SELECT doc_id, item, item_id, greatest(0, shift) AS start, least(12, len(b)) AS span,
+    list_transform(range(greatest(0, shift), least(len(d), shift + len(b))), lambda k: (d[k + 1] = b[k - shift + 1])::INTEGER) AS same
+  FROM lines JOIN items USING (item) JOIN docs USING (doc_id)
+), windows AS (
+  SELECT *, list_filter(range(0, len(same) - span + 1), lambda k: 100 * list_sum(same[k + 1:k + span]) >= 80 * span) AS good FROM compared
+), found AS (
+  SELECT doc_id, item, item_id, start + good[1] AS start_word, good[-1] + span - good[1] AS n_words,
+    list_sum(same[good[1] + 1:good[-1] + span]) AS n_equal
+  FROM windows WHERE len(good) > 0
+)
+SELECT doc_id, item_id, best.s::BIGINT AS start_word, best.n::BIGINT AS n_words, best.e::BIGINT AS n_equal, n_overlaps FROM (
+  SELECT doc_id, item_id, arg_max({{'e': n_equal, 'n': n_words, 's': start_word}}, (n_equal, n_words, -start_word)) AS best, count(*) AS n_overlaps
+  FROM found GROUP BY doc_id, item, item_id
+)
+"""
+
+
 # The checksum is stated bit by bit: a table of 256 entries from the polynomial, then one step per byte.
 OP5_BYTE_SHARDS = """
 WITH RECURSIVE bits AS (
@@ -222,6 +257,7 @@ FROM judged GROUP BY row, doc_id
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_near_dedup": OP1_NEAR_DEDUP,
+        "op4_spaced_seed": OP4_SPACED_SEED,
         "op5_byte_shards": OP5_BYTE_SHARDS,
         "op7_host_rules": OP7_HOST_RULES,
         "op9_zip_warc": OP9_ZIP_WARC,

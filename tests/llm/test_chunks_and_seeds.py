@@ -59,6 +59,62 @@ def test_periodic_passages_are_found_at_other_places(spark):
     assert all(2 * k + 1 in found for k in range(len(words)))
 
 
+def plain_chunks(raw):
+    """Ends of the chunks of one text, byte by byte."""
+    gear = [int(g) for g in chunk_dedup._gear]
+    first, reach = chunk_dedup.GEAR_WINDOW - 1, chunk_dedup.REACH
+    h = [sum(gear[raw[at - j]] << j for j in range(first + 1)) % 2**32 if at >= first else 2**32 for at in range(len(raw))]
+    cuts = [at + 1 for at in range(first, len(raw)) if h[at] == min(h[max(0, at - reach) : at + reach + 1])]
+    ends, begin = [], 0
+    for cut in [*(c for c in cuts if c < len(raw)), len(raw)]:
+        if cut < len(raw) and cut - begin < chunk_dedup.MIN_BYTES:
+            continue
+        while cut - begin > chunk_dedup.MAX_BYTES:
+            begin += chunk_dedup.MAX_BYTES
+            ends.append(begin)
+        if cut > begin:
+            ends.append(cut)
+            begin = cut
+    return ends
+
+
+def plain_passages(rows):
+    """All repeated passages of rows (doc_id, text_key, text) by the definition, without digests."""
+    places, words = {}, {}
+    for doc_id, key, text in set(rows):
+        raw, begin = (text or "").encode(), 0
+        for end in plain_chunks(raw):
+            place = (doc_id is None, doc_id or 0, key, begin)
+            places.setdefault(raw[begin:end], []).append((place, end))
+            words[place] = sum(raw[k] not in b" \t\n\x0b\x0c\r" and (k == 0 or raw[k - 1] in b" \t\n\x0b\x0c\r") for k in range(begin, end))
+            begin = end
+    repeats = sorted((place, end, min(found)[0]) for found in places.values() for place, end in found if place != min(found)[0])
+    runs = []
+    for place, end, original in repeats:
+        if not (runs and runs[-1][-1][0][:3] == place[:3] and runs[-1][-1][1] == place[3]):
+            runs.append([])
+        runs[-1].append((place, end, original))
+    out = []
+    for run in runs:
+        n_words = sum(words[place] for place, _, _ in run)
+        longest = max(run, key=lambda c: (c[1] - c[0][3], -c[0][3]))[2]
+        if n_words >= chunk_dedup.MIN_WORDS:
+            out.append((None if run[0][0][0] else run[0][0][1], run[0][0][2], run[0][0][3], run[-1][1], n_words, len(run), None if longest[0] else longest[1]))
+    return sorted(out, key=str)
+
+
+def test_all_rows_equal_brute_force_chunks_and_runs(spark):
+    shared = [H.prose(70 + k, 25 + 20 * k) for k in range(4)]
+    rows = [(k, f"{H.prose(k, 20 + k)}\n{shared[k % 4]} {H.prose(200 + k, k)} {shared[k % 3].upper() if k % 5 == 0 else shared[k % 3]}") for k in range(1, 40)]
+    rows += [(100 + k, f"{H.prose(k, k)} {' '.join([word] * 60)} {H.prose(300 + k, 9)}") for k, word in enumerate(["ta", "ingan", "x", "ta", "ingan", "x"])]
+    rows += [(200, "z" * 5000), (201, "y" + "z" * 4000), (202, "Ä é 中 " * 40), (203, f"{H.prose(5, 3)} {'Ä é 中 ' * 40}"), (7, rows[20][1]), (None, rows[3][1])]
+    docs = H.documents(spark, rows + rows[5:8] + [*H.AWKWARD[:8], *H.AWKWARD[9:]])
+    given = [tuple(r) for r in docs.selectExpr("doc_id", "xxhash64(text)", "text").collect()]
+    got = chunk_dedup.repeated_passages(docs).select("doc_id", "text_key", "start", "stop", "n_words", "n_chunks", "first_doc_id").collect()
+    expected = plain_passages(given)
+    assert sorted(map(tuple, got), key=str) == expected and len(expected) > 60
+
+
 def test_whole_repeated_rows_and_empty_tables(spark):
     text = H.prose(3, 200)
     docs = H.documents(spark, [(1, text), (1, text), (2, text)])
