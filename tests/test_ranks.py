@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.calendar import week_ending_monday
 from ledgerloom.functions.expressions import round_half_even
-from ledgerloom.functions.ranks import continuous_quantiles, exact_quantiles, scale_position, value_ranks
+from ledgerloom.functions.ranks import continuous_quantiles, exact_quantiles, group_ranks, scale_position, value_ranks
 
 
 @pytest.fixture(scope="module")
@@ -72,3 +72,20 @@ def test_price_rounding_follows_the_binary_value(spark):
     frame = spark.createDataFrame([(0.105,), (0.115,), (2.675,), (1.005,), (-0.105,)], "x double")
     got = [r[0] for r in frame.select(round_half_even(F.col("x"), 2)).collect()]
     assert got == pd.Series([0.105, 0.115, 2.675, 1.005, -0.105]).round(2).tolist()
+
+
+def test_group_ranks_equal_value_ranks_in_two_shuffles(spark, values):
+    frame, _ = values
+    odd = spark.createDataFrame([(None, 1.0), (7, None), (8, 2.0), (8, 2.0), (8, -1.0)], "k long, v double")
+    both = frame.select(F.col("k").cast("long").alias("k"), "v").unionByName(odd)
+    rows = lambda found: sorted(map(tuple, found.select("k", "v", "n", "lo", "hi", "total").collect()))
+    grouped = group_ranks(both, "v", ["k"])
+    assert rows(grouped) == rows(value_ranks(both, "v", ["k"])) and {r[0] for r in rows(grouped)} >= {0, 1, 2, 8}
+    assert grouped._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+
+
+def test_product_medians_take_two_shuffles_of_prices(house):
+    from ledgerloom.operators import core
+
+    plan = core.build_products(house.clean(), "s", "f")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 5
