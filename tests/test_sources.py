@@ -185,3 +185,46 @@ def test_a_dead_writer_blocks_nobody_and_is_cleaned_up(spark, house, tmp_path):
     assert store.current() == {"LEDGER": 3} and store.table("products").count() == 2
     assert store.clean_up(older_than=3600) == []
     assert len(store.clean_up(older_than=0)) == 2 and store.table("products").count() == 2
+
+
+def test_digest_sums_are_whole_beyond_longs(spark):
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from ledgerloom.sources.fingerprint import digest_leaves
+
+    digests = ["f" * 64] * 40 + ["0" * 14 + "1" + "8" * 49] * 3
+    rows = spark.createDataFrame([(i % 2, d) for i, d in enumerate(digests)], "k int, d string")
+    got = {r["k"]: (r["rows"], r["digest_a"], r["digest_b"]) for r in digest_leaves(rows, F.col("d"), {"k": F.col("k")}).collect()}
+    want = {}
+    for k in (0, 1):
+        own = [d for i, d in enumerate(digests) if i % 2 == k]
+        want[k] = (len(own), Decimal(sum(int(d[:15], 16) for d in own)), Decimal(sum(int(d[15:30], 16) for d in own)))
+    assert got == want and want[0][1] > 2**63
+    plan = digest_leaves(rows, F.col("d"), {"k": F.col("k")})._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan and not any("partial_sum(cast" in line and "decimal" in line for line in plan.splitlines())
+
+
+def test_strip_leaves_no_white_space(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerloom.functions.expressions import WHITESPACE, strip
+
+    texts = [None, "", " ", "a", " a", "a ", "a b", "!~", "~ ", "\u00e9", "\u00a0x\u3000", "x\u2003", "\x1fx", "\x7fx\x7f", "\U0001f600 ", "\x85!"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").select("t", strip(F.col("t")).alias("s"))
+    assert {r["t"]: r["s"] for r in frame.collect()} == {t: None if t is None else t.strip(WHITESPACE) for t in texts}
+    spared = frame.select("s")._jdf.queryExecution().executedPlan().toString()
+    assert "CASE WHEN" in spared  # cells with bare ends are not trimmed
+
+
+def test_snapshot_of_known_size_is_not_counted(spark, tmp_path, monkeypatch):
+    ledger = spark.range(40).selectExpr("cast(id as string) AS Invoice", "if(id % 2 = 0, 'a', 'b') AS source_sheet", "-id AS place")
+
+    def count(_):
+        raise AssertionError("counted")
+
+    monkeypatch.setattr(type(ledger), "count", count)
+    write_raw_snapshot(ledger, str(tmp_path / "raw"), ["place"], rows=40)
+    monkeypatch.undo()
+    assert spark.read.parquet(str(tmp_path / "raw")).count() == 40
