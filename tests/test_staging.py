@@ -53,3 +53,11 @@ def test_lines_reach_their_snapshot_in_source_order_without_being_sampled(spark,
     for sheet in adapter.SHEETS:
         expected = wanted.where(F.col("source_sheet") == sheet).orderBy(*adapter.SOURCE_ORDER).select(*names).collect()
         assert got.where(F.col("source_sheet") == sheet).orderBy("source_order").select(*[f"`{c}`" for c in LEDGER_COLUMNS]).collect() == expected
+
+
+def test_invoices_are_built_in_one_shuffle(spark, ledger):
+    rows = ledger({"Customer ID": None}, {"Country": "FR"}, {"Customer ID": "7"}, {"Invoice": "C2", "Quantity": "-3"})
+    invoices = core.build_invoices(cleaning.clean_ledger(rows).localCheckpoint(), "X", "f")
+    assert plan_of(invoices).count("Exchange hashpartitioning") == 1
+    got = {r.invoice_number: (r.customer_id, r.country, r.invoice_type, r.total_line_count, r.total_quantity, float(r.total_invoice_amount)) for r in invoices.collect()}
+    assert got == {"1": (12345, "UK", "SALE", 3, 3, 6.0), "C2": (12345, "UK", "CANCELLATION", 1, -3, -6.0)}
