@@ -61,3 +61,20 @@ def test_invoices_are_built_in_one_shuffle(spark, ledger):
     assert plan_of(invoices).count("Exchange hashpartitioning") == 1
     got = {r.invoice_number: (r.customer_id, r.country, r.invoice_type, r.total_line_count, r.total_quantity, float(r.total_invoice_amount)) for r in invoices.collect()}
     assert got == {"1": (12345, "UK", "SALE", 3, 3, 6.0), "C2": (12345, "UK", "CANCELLATION", 1, -3, -6.0)}
+
+
+def test_text_files_follow_the_rows_and_their_rows_are_not_shuffled(spark, ledger, tmp_path, monkeypatch):
+    monkeypatch.setattr(sheets, "ROWS_PER_TASK", 10)
+    raw = ledger(*[{"Invoice": str(i)} for i in range(80)]).withColumn("source_order", F.monotonically_increasing_id())
+    raw = raw.withColumn("source_sheet", F.when(F.col("source_order") < 70, "S1").otherwise("S2"))
+    paths = ingest_and_cleaning._text_sheets(SimpleNamespace(spark=spark, root=str(tmp_path), _frames={}, raw=lambda: raw))
+    assert len(list(pathlib.Path(paths["S1"]).glob("*.csv"))) == 7
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        read = read_text_sheets(spark, paths)
+        assert "SortMergeJoin" not in plan_of(read)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    found = read.orderBy("_sheet", "_path", "_ordinal").select("Invoice").collect()
+    assert [r.Invoice for r in found] == [str(i) for i in range(80)]
