@@ -55,6 +55,16 @@ def test_lines_reach_their_snapshot_in_source_order_without_being_sampled(spark,
         assert got.where(F.col("source_sheet") == sheet).orderBy("source_order").select(*[f"`{c}`" for c in LEDGER_COLUMNS]).collect() == expected
 
 
+def test_the_ledger_is_scanned_once_to_be_flagged(spark, ledger, tmp_path):
+    ledger({}, {}, {"Invoice": "2"}).withColumn("source_sheet", F.lit("s")).withColumn("source_order", F.monotonically_increasing_id()).write.parquet(
+        f"{tmp_path}/flagged_ledger"
+    )
+    flagged = cleaning.flag_duplicates(cleaning.normalise(spark.read.parquet(f"{tmp_path}/flagged_ledger")))
+    scans = [line for line in plan_of(flagged).splitlines() if "FileScan parquet" in line]
+    assert len([line for line in scans if "_hash" not in line and "_bits" not in line]) == 1
+    assert sorted((r.Invoice, r.is_duplicate_within_sheet) for r in flagged.collect()) == [("1", True), ("1", True), ("2", False)]
+
+
 def test_invoices_are_built_in_one_shuffle(spark, ledger):
     rows = ledger({"Customer ID": None}, {"Country": "FR"}, {"Customer ID": "7"}, {"Invoice": "C2", "Quantity": "-3"})
     invoices = core.build_invoices(cleaning.clean_ledger(rows).localCheckpoint(), "X", "f")
