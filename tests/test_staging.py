@@ -8,6 +8,7 @@ from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import ranks
 from ledgerloom.operators import cleaning, core
 from ledgerloom.plans import warehouse
 from ledgerloom.plans.families import ingest_and_cleaning
@@ -88,3 +89,52 @@ def test_text_files_follow_the_rows_and_their_rows_are_not_shuffled(spark, ledge
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     found = read.orderBy("_sheet", "_path", "_ordinal").select("Invoice").collect()
     assert [r.Invoice for r in found] == [str(i) for i in range(80)]
+
+
+def test_a_staged_ledger_is_cleaned_in_two_scans(spark, ledger, tmp_path):
+    rows = [{"Customer ID": None}, {"Customer ID": None}, {"Invoice": "2"}, {"Invoice": "C3", "Price": "x"}, {"Invoice": "2"}, {}]
+    sheets_of = F.when(F.monotonically_increasing_id() < 4, "a").otherwise("b")
+    ledger(*rows).withColumn("source_sheet", sheets_of).withColumn("source_order", F.monotonically_increasing_id()).write.parquet(f"{tmp_path}/rows")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    stored = spark.read.parquet(f"{tmp_path}/rows")
+    counted = stored.mapInArrow(count, stored.schema)
+    writers = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    staged = cleaning.write_clean_ledger(counted, f"{tmp_path}/clean")
+    assert seen.value == 2 * len(rows) and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == writers
+    expected = cleaning.clean_ledger(stored)
+    assert staged.columns == expected.columns
+    got = staged.orderBy("source_order").collect()
+    assert got == expected.orderBy("source_order").collect() and len(got) == 5
+    empty = cleaning.write_clean_ledger(stored.where("Invoice = 'none'"), f"{tmp_path}/empty")
+    assert empty.count() == 0 and empty.columns == expected.columns
+
+
+def test_prices_of_a_code_are_sorted_once(spark):
+    rows = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("a", 3.0), ("b", 2.0), ("b", None)], "k string, v double")
+    ranked = ranks.group_ranks(rows, "v", ["k"])
+    assert plan_of(ranked).count("Sort [") == 1
+    got = sorted(tuple(r) for r in ranked.collect())
+    assert got == [("a", 1.0, 2, 1, 2, 3), ("a", 3.0, 1, 3, 3, 3), ("b", 2.0, 1, 1, 1, 1)]
+
+
+def test_staged_tables_are_packed_and_orders_joined_without_a_sort(spark, tmp_path):
+    order_tables(spark, tmp_path)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(limit, "-1")
+    try:
+        house = warehouse.Warehouse(spark, str(tmp_path), root=f"{tmp_path}/staged")
+        placed = adapter.placed_lines(spark, str(tmp_path), 4)
+        placed.collect()
+        assert "ShuffledHashJoin" in plan_of(placed)
+        core_tables = house.core()
+    finally:
+        spark.conf.unset(limit)
+    assert core_tables["invoice_lines"].count() == house.clean().count() > 0
+    written = [p.name for p in pathlib.Path(f"{tmp_path}/staged").rglob("*.parquet")]
+    assert written and all(".zstd." in name for name in written)
